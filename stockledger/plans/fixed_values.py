@@ -1,0 +1,75 @@
+"""Names and numbers that users' data and results depend on."""
+
+# The raw tables, the cleaned tables and the facts.
+BRONZE = [
+    "regions",
+    "hubs",
+    "suppliers",
+    "components",
+    "server_skus",
+    "bom",
+    "purchase_orders",
+    "inventory_snapshots",
+    "capacity_forecast",
+    "rack_deployments",
+    "supplier_invoices",
+    "cost_centers",
+    "gl_accounts",
+    "gl_journal",
+    "budget",
+]
+SILVER = ["stg_purchase_orders", "stg_gl_journal", "stg_rack_deployments"]
+GOLD = [
+    "fct_supplier_otif",
+    "fct_purchase_price_variance",
+    "fct_capacity_plan_vs_actual",
+    "fct_inventory_days_of_supply",
+    "fct_capex_by_region",
+    "fct_budget_vs_actual",
+    "fct_ap_aging",
+]
+
+# Parts every rack has, and those only racks of a family have.
+RACK_INFRA = {"CMP-RCK-01": 1, "CMP-SW-01": 2, "CMP-PDU-01": 2, "CMP-OPT-01": 64}
+FAMILY_INFRA = {"GPU Accelerated": {"CMP-CDU-01": 1}}
+
+# Months of useful life.
+USEFUL_LIFE = {"GPU Accelerated": 48}
+DEFAULT_LIFE = 72
+
+# Price curves as (trend per month, swing, period, phase).
+PRICE_PATHS = {"GPU": (0.012, 0.03, 3, 0), "Memory": (-0.015, 0.08, 4, 1)}
+PRICE_BOUNDS = (0.6, 1.6)
+
+# Demand by family, growth over the window, and the ramp of one family.
+FAMILY_MIX = {
+    "General Compute": 0.42,
+    "High-Memory": 0.12,
+    "GPU Accelerated": 0.31,
+    "Storage Dense": 0.15,
+}
+BASE_RACKS = 140
+GROWTH = (1.0, 1.55)
+FAMILY_RAMPS = {"GPU Accelerated": (0.7, 1.6)}
+
+# Monthly run rate by account, and seasons as (swing, phase).
+RUN_RATE = {
+    "5200": 7_500_000,
+    "5300": 3_800_000,
+    "5400": 1_600_000,
+    "5500": 900_000,
+    "5800": 180_000,
+}
+SEASONS = {"5200": (0.12, -1.2)}
+
+# Budget as a share of actuals.
+BUDGET_FACTORS = {"5100": 0.94, "5200": 0.94}
+DEFAULT_BUDGET_FACTOR = 1.02
+
+# A region served by another region's hub.
+HUB_OVERRIDES = {"apj-2": "HUB-SIN"}
+
+# Formats of generated ids.
+RACK_ID = "RCK-%06d"
+PO_LINE_ID = "POL-%07d"
+JOURNAL_ID = "JE-%08d"

@@ -80,7 +80,7 @@ SHAPES = {
         group by sku_id, component_id""",
     "journal": """
         select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
-                         strftime(l_shipdate, '%Y%m%d')) as journal_id,
+                         l_shipdate::date) as journal_id,
                l_shipdate::date as posting_date,
                case l_returnflag when 'A' then '5100' when 'N' then '5200' else '1400' end
                    as account_id,

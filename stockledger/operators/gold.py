@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from stockledger.functions import (
     days_between,
-    exact,
     exact_sum,
     month_of,
     percent,
@@ -103,7 +102,7 @@ def price_variance(
         "component_id",
         "component_name",
         F.col("category").alias("component_category"),
-        exact("standard_cost_usd").alias("standard_cost"),
+        F.col("standard_cost_usd").cast("decimal(18,6)").alias("standard_cost"),
     )
     valued = bought.join(component, "component_id").withColumn(
         "standard", F.col("qty_received") * F.col("standard_cost")
@@ -332,9 +331,7 @@ def aging(
             F.count("*").alias("open_invoices"),
             to_cents(exact_sum("amount_usd")).alias("open_usd"),
             *[
-                to_cents(F.sum(F.when(bucket, exact("amount_usd")).otherwise(F.lit(0)))).alias(
-                    name
-                )
+                to_cents(exact_sum(F.when(bucket, F.col("amount_usd")).otherwise(0.0))).alias(name)
                 for bucket, name in zip(buckets, names)
             ],
         )

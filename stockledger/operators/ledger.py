@@ -168,7 +168,7 @@ def depreciation_totals(
     """
     start = F.add_months(month_of(installed), 1)
     window_last = month_of(_date(window_end))
-    monthly = (F.col(cost) / F.col(life)).cast("decimal(18,6)")
+    monthly = F.col(cost) / F.col(life)
     entries = [F.struct(start.alias("month"), monthly.alias("change"), F.lit(1).alias("assets"))]
     if cap_at_life:
         stop = F.add_months(month_of(installed), F.col(life).cast("int") + 1)
@@ -180,7 +180,7 @@ def depreciation_totals(
         .select(*by, F.inline(F.array(*entries)))
         .filter(F.col("month") <= window_last)
         .groupBy(*by, "month")
-        .agg(F.sum("change").alias("change"), F.sum("assets").alias("assets"))
+        .agg(exact_sum("change").alias("change"), F.sum("assets").alias("assets"))
     )
     ordered = W.partitionBy(*by).orderBy("month")
     so_far = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)

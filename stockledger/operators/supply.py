@@ -171,7 +171,8 @@ def price_index(
             .rowsBetween(W.unboundedPreceding, W.currentRow)
         )
         months = months.join(drift, ["component_id", "month"], "left")
-        moved = exact_sum(F.coalesce(F.col("drift"), F.lit(0.0))).over(so_far)
+        step_drift = F.coalesce(F.col("drift"), F.lit(0.0)).cast("decimal(18,6)")
+        moved = F.sum(step_drift).over(so_far)
         walked = F.lit(1.0) + moved.cast("double")
     low, high = bounds
     index = F.least(F.greatest(F.coalesce(curve, walked), F.lit(low)), F.lit(high))

@@ -6,12 +6,13 @@ star schema onto the business shape; nothing is sampled or capped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stockledger.functions import exact_sum, month_end, month_of, round_half_away, to_cents
 from stockledger.operators import supply
-from stockledger.sources.tables import read_table
+from stockledger.sources.tables import read_table, table_path
 
 LAYOUT = "{root}/{name}.parquet"
 TABLES = [
@@ -41,6 +42,9 @@ DEFAULT_UNITS = 12
 LIFE = {"1-URGENT": 48}
 DEFAULT_LIFE = 72
 
+# schemas by path, so that a footer is read once and not for every query
+_SCHEMAS: dict[str, StructType] = {}
+
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
@@ -52,7 +56,12 @@ class Trial:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.folder, name, layout=LAYOUT)
+        path = table_path(self.folder, "bronze", name, LAYOUT)
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = read_table(self.spark, self.folder, name, layout=LAYOUT).schema
+        return read_table(
+            self.spark, self.folder, name, schema=_SCHEMAS[path], layout=LAYOUT
+        )
 
     # --- dimensions ---------------------------------------------------------
 
@@ -272,7 +281,7 @@ class Trial:
             F.concat_ws(
                 "-",
                 *[F.col(name).cast("string") for name in LINE_KEY],
-                F.date_format("l_shipdate", "yyyyMMdd"),
+                F.col("l_shipdate").cast("date").cast("string"),
             ).alias("journal_id"),
             F.col("l_shipdate").cast("date").alias("posting_date"),
             _account(flag).alias("account_id"),
@@ -303,7 +312,7 @@ class Trial:
 
     def monthly_drift(self) -> DataFrame:
         """A small price move per part and month, from the discounts given."""
-        points = F.round(F.col("l_discount") * 100).cast("long") - 5
+        points = F.rint(F.col("l_discount") * 100).cast("long") - 5
         return (
             self.table("lineitem")
             .groupBy(
@@ -314,5 +323,5 @@ class Trial:
         )
 
 
-def _account(flag):
+def _account(flag: Column) -> Column:
     return F.when(flag == "A", "5100").when(flag == "N", "5200").otherwise("1400")

@@ -27,7 +27,7 @@ def query(build: Callable[[Trial], DataFrame]) -> Callable[[Trial], DataFrame]:
     """Register a query under the name of its function."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return build(Trial(settings.tune(spark), folder))
+        return build(Trial(settings.tune(spark, folder), folder))
 
     QUERIES[build.__name__] = run
     return build

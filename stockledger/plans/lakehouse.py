@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stockledger import settings
 from stockledger.operators import gold, silver, supply
 from stockledger.operators.quality import Checks, run_checks
 from stockledger.plans.fixed_values import BRONZE, GOLD
@@ -89,6 +90,7 @@ def gold_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 def build(spark: SparkSession, root: str) -> DataFrame:
     """Write silver and gold from bronze and report the checks on what was written."""
+    settings.tune(spark, f"{root.rstrip('/')}/bronze")
     raw = bronze_tables(spark, root)
     built = {"silver": silver_tables(raw), "gold": gold_tables(raw)}
     for layer, models in built.items():

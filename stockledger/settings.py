@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Adaptive execution decides join sides and partition sizes from measured
 # sizes. Splitting a skewed join partition is allowed even where the grouping
@@ -19,23 +20,45 @@ ADAPTIVE = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 PARTITIONS_KEY = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+# a shuffle starts with this many tasks per core, and with more when the input
+# asks for it; adaptive execution merges the small ones again
 WAVES = 3
+SHUFFLE_TARGET = 256 * 1024**2
+# columns are compressed in the files and are not in the shuffle
+EXPANSION = 3
+MAX_PARTITIONS = 100_000
 
+_SIZES: dict[str, int] = {}
 
-def tune(spark: SparkSession) -> SparkSession:
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files under a path, from the listing alone."""
+    if path not in _SIZES:
+        files = (
+            spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        )
+        _SIZES[path] = files.agg(F.sum("length")).first()[0] or 0
+    return _SIZES[path]
+
+
+def tune(spark: SparkSession, *paths: str) -> SparkSession:
     """Apply the adaptive settings unless the job's own configuration sets them.
 
-    Shuffles start with a few waves of tasks per core and adaptive execution
-    merges the small ones, so the same code fits eight cores and thousands.
+    With the paths a job reads, shuffles are also cut for their size, so the
+    same code fits eight cores and thousands, megabytes and terabytes.
     """
     given = spark.sparkContext.getConf()
     for key, value in ADAPTIVE.items():
         if not given.contains(key):
             spark.conf.set(key, value)
     if not given.contains(PARTITIONS_KEY):
-        width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        cores = spark.sparkContext.defaultParallelism
-        spark.conf.set(PARTITIONS_KEY, str(max(width, WAVES * cores)))
+        width = max(
+            int(spark.conf.get("spark.sql.shuffle.partitions")),
+            WAVES * spark.sparkContext.defaultParallelism,
+        )
+        volume = EXPANSION * sum(input_bytes(spark, path) for path in paths)
+        width = max(width, min(-(-volume // SHUFFLE_TARGET), MAX_PARTITIONS))
+        spark.conf.set(PARTITIONS_KEY, str(width))
     return spark
 
 

@@ -1,0 +1,30 @@
+"""Every registered query against its SQL on the smallest tables."""
+
+import duckdb
+import pytest
+
+from __spark_entry__ import SMOKE, entry, oracle_sql, queries
+from tests.compare import connect, differences
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(SMOKE)
+
+
+def test_every_query_has_its_sql():
+    assert set(queries()) == set(oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(queries()))
+def test_query_matches_sql(spark, con, name):
+    assert differences(queries()[name](spark, SMOKE), con, oracle_sql()[name]) == []
+
+
+def test_entry(spark):
+    assert entry(spark).count() > 0
+
+
+def test_statements_are_single():
+    for name, sql in oracle_sql().items():
+        assert len(duckdb.extract_statements(sql)) == 1, name

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from stockledger import fixed_values as fixed
 from stockledger.functions import (
     days_between,
     exact_sum,
@@ -124,10 +125,7 @@ def price_variance(
 def plan_vs_actual(
     forecast: DataFrame,
     racks: DataFrame,
-    versions: Sequence[tuple[str, str, str]] = (
-        ("P6M", "plan_6m", "plan"),
-        ("P1M", "commit_1m", "commit"),
-    ),
+    versions: Sequence[tuple[str, str, str]] = fixed.FORECAST_VERSIONS,
 ) -> DataFrame:
     """Forecast racks by version against racks requested.
 
@@ -174,8 +172,8 @@ def days_of_supply(
     snapshots: DataFrame,
     consumption: DataFrame,
     components: DataFrame,
-    months: int = 3,
-    aged_after: int = 180,
+    months: int = fixed.TRAILING_MONTHS,
+    aged_after: int = fixed.AGED_AFTER_DAYS,
 ) -> DataFrame:
     """Month-end stock against its trailing consumption.
 
@@ -264,7 +262,7 @@ def budget_vs_actual(
     budget: DataFrame,
     accounts: DataFrame,
     cost_centers: DataFrame,
-    account_type: str = "Opex",
+    account_type: str = fixed.SPENDING_TYPE,
 ) -> DataFrame:
     """Booked against budgeted spend per month, cost centre and account.
 
@@ -307,7 +305,7 @@ def budget_vs_actual(
 
 
 def aging(
-    invoices: DataFrame, suppliers: DataFrame, bounds: Sequence[int] = (30, 60, 90)
+    invoices: DataFrame, suppliers: DataFrame, bounds: Sequence[int] = fixed.AGING_BOUNDS
 ) -> DataFrame:
     """Unpaid invoices per supplier by days past due.
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from stockledger import fixed_values as fixed
 from stockledger.functions import (
     exact_sum,
     month_of,
@@ -65,9 +66,9 @@ def post_lines(
 def post_receipts(
     lines: DataFrame,
     components: DataFrame,
-    inventory: tuple[str, str] = ("1400", "CC-1100"),
-    variance: tuple[str, str] = ("5600", "CC-1300"),
-    payable: tuple[str, str] = ("2100", "CC-1100"),
+    inventory: tuple[str, str] = fixed.INVENTORY,
+    variance: tuple[str, str] = fixed.PRICE_VARIANCE,
+    payable: tuple[str, str] = fixed.PAYABLE,
 ) -> DataFrame:
     """Receipts to inventory at standard, the price variance, and the payable."""
     received = lines.filter((F.col("status") == "Closed") & (F.col("qty_received") != 0)).join(
@@ -75,19 +76,16 @@ def post_receipts(
     )
     standard = F.col("qty_received") * F.col("standard_cost_usd")
     paid = F.col("qty_received") * F.col("unit_cost_usd")
+    receipt = F.format_string(fixed.RECEIPT_MEMO, F.col("component_id").cast("string"))
     return post_lines(
         received,
         "received_date",
         "po_line_id",
-        "PO Receipt",
+        fixed.PO_RECEIPT,
         [
-            Posting(
-                *map(F.lit, inventory),
-                standard,
-                F.concat(F.lit("Receipt "), F.col("component_id").cast("string")),
-            ),
-            Posting(*map(F.lit, variance), paid - standard, F.lit("PPV vs standard")),
-            Posting(*map(F.lit, payable), -paid, F.lit("AP accrual")),
+            Posting(*map(F.lit, inventory), standard, receipt),
+            Posting(*map(F.lit, variance), paid - standard, F.lit(fixed.VARIANCE_MEMO)),
+            Posting(*map(F.lit, payable), -paid, F.lit(fixed.PAYABLE_MEMO)),
         ],
     )
 
@@ -95,8 +93,8 @@ def post_receipts(
 def post_capitalization(
     racks: DataFrame,
     centers: DataFrame,
-    asset: str = "1500",
-    inventory: tuple[str, str] = ("1400", "CC-1100"),
+    asset: str = fixed.FIXED_ASSETS,
+    inventory: tuple[str, str] = fixed.INVENTORY,
 ) -> DataFrame:
     """Installed racks to fixed assets, against inventory.
 
@@ -105,20 +103,16 @@ def post_capitalization(
     installed = racks.filter(F.col("installed_date").isNotNull()).join(
         centers.select("region_code", "cost_center_id"), "region_code"
     )
-    cost = F.col("capex_usd")
+    cost, center = F.col("capex_usd"), F.col("cost_center_id")
+    placed = F.format_string(fixed.ASSET_MEMO, F.col("sku_id").cast("string"))
     return post_lines(
         installed,
         "installed_date",
         "rack_id",
-        "Capitalization",
+        fixed.CAPITALIZATION,
         [
-            Posting(
-                F.lit(asset),
-                F.col("cost_center_id"),
-                cost,
-                F.concat(F.lit("Rack in service "), F.col("sku_id").cast("string")),
-            ),
-            Posting(*map(F.lit, inventory), -cost, F.lit("Inventory relief")),
+            Posting(F.lit(asset), center, cost, placed),
+            Posting(*map(F.lit, inventory), -cost, F.lit(fixed.RELIEF_MEMO)),
         ],
     )
 
@@ -146,7 +140,7 @@ def depreciation_schedule(
     return (
         running.withColumn("month", F.explode(due))
         .withColumn("posting_date", F.last_day("month"))
-        .withColumn("depreciation_usd", F.col(cost) / F.col(life))
+        .withColumn("depreciation_usd", F.col(cost) / F.nullifzero(F.col(life)))
         .drop("month")
     )
 
@@ -168,7 +162,7 @@ def depreciation_totals(
     """
     start = F.add_months(month_of(installed), 1)
     window_last = month_of(_date(window_end))
-    monthly = F.col(cost) / F.col(life)
+    monthly = F.col(cost) / F.nullifzero(F.col(life))
     entries = [F.struct(start.alias("month"), monthly.alias("change"), F.lit(1).alias("assets"))]
     if cap_at_life:
         stop = F.add_months(month_of(installed), F.col(life).cast("int") + 1)
@@ -200,17 +194,20 @@ def depreciation_totals(
 
 
 def post_depreciation(
-    schedule: DataFrame, centers: DataFrame, expense: str = "5100", contra: str = "1590"
+    schedule: DataFrame,
+    centers: DataFrame,
+    expense: str = fixed.DEPRECIATION,
+    contra: str = fixed.ACCUMULATED_DEPRECIATION,
 ) -> DataFrame:
     """Depreciation rows to expense, against accumulated depreciation."""
     placed = schedule.join(centers.select("region_code", "cost_center_id"), "region_code")
     amount = F.col("depreciation_usd")
-    center, memo = F.col("cost_center_id"), F.lit("Straight-line")
+    center, memo = F.col("cost_center_id"), F.lit(fixed.DEPRECIATION_MEMO)
     return post_lines(
         placed,
         "posting_date",
         "rack_id",
-        "Depreciation",
+        fixed.DEPRECIATION_RUN,
         [
             Posting(F.lit(expense), center, amount, memo),
             Posting(F.lit(contra), center, -amount, memo),
@@ -220,21 +217,23 @@ def post_depreciation(
 
 def post_writedowns(
     writedowns: DataFrame,
-    expense: tuple[str, str] = ("5700", "CC-1100"),
-    inventory: tuple[str, str] = ("1400", "CC-1100"),
+    expense: tuple[str, str] = fixed.WRITE_DOWN,
+    inventory: tuple[str, str] = fixed.INVENTORY,
 ) -> DataFrame:
     """Quarter-end write-downs (month, amount_usd) to expense, against inventory."""
-    quarter_end = (
-        writedowns.filter(F.month("month").isin(3, 6, 9, 12))
-        .withColumn("posting_date", F.last_day("month"))
-        .withColumn("reference", F.concat(F.lit("EO-"), F.date_format("month", "yyyy-MM")))
+    period = F.date_format("month", "yyyy-MM")
+    quarter_end = writedowns.filter(F.month("month").isin(*fixed.QUARTER_ENDS)).withColumns(
+        {
+            "posting_date": F.last_day("month"),
+            "reference": F.format_string(fixed.WRITE_DOWN_REFERENCE, period),
+        }
     )
-    amount, memo = F.col("amount_usd"), F.lit("Excess & obsolete reserve")
+    amount, memo = F.col("amount_usd"), F.lit(fixed.WRITE_DOWN_MEMO)
     return post_lines(
         quarter_end,
         "posting_date",
         "reference",
-        "Adjustment",
+        fixed.ADJUSTMENT,
         [
             Posting(*map(F.lit, expense), amount, memo),
             Posting(*map(F.lit, inventory), -amount, memo),
@@ -244,45 +243,51 @@ def post_writedowns(
 
 def recurring_accruals(
     spine: DataFrame,
-    bases: Mapping[str, float],
-    growth: tuple[float, float],
-    steps: int,
+    rates: Sequence[tuple[str, float, str, str]],
+    steps: int = 1,
+    growth: tuple[float, float] = (1.0, 1.0),
     seasons: Mapping[str, tuple[float, float]] | None = None,
-    weight: str = "demand_weight",
+    weight: str | None = None,
 ) -> DataFrame:
     """Month-end run-rate postings per cost centre and account.
 
-    ``spine`` comes from ``month_spine`` over cost centres that carry a weight.
-    An account's base is scaled by weight and growth and, for accounts in
-    ``seasons`` (swing, phase), by the time of year. The accounts come out of a
-    literal array, so there is no join.
+    ``spine`` comes from ``month_spine`` over cost centres; ``rates`` lists
+    (account, base, source, memo). A base is scaled by the centre's weight and
+    by growth and, for accounts in ``seasons`` (swing, phase), by the time of
+    year. The accounts come out of a literal array, so there is no join.
     """
-    accounts = F.array(
+    entries = F.array(
         *[
-            F.struct(F.lit(account).alias("account_id"), F.lit(float(base)).alias("base"))
-            for account, base in bases.items()
+            F.struct(
+                F.lit(account).alias("account_id"),
+                F.lit(float(base)).alias("base"),
+                F.lit(source).alias("source"),
+                F.lit(memo).alias("memo"),
+            )
+            for account, base, source, memo in rates
         ]
     )
     season = F.lit(1.0)
     for account, (swing, phase) in (seasons or {}).items():
         season = F.when(
-            F.col("entry.account_id") == account, seasonal("month", swing, phase)
+            F.col("account_id") == account, seasonal("month", swing, phase)
         ).otherwise(season)
-    amount = F.col("entry.base") * F.col(weight) * ramp("month_index", steps, *growth) * season
-    return spine.withColumn("entry", F.explode(accounts)).select(
+    size = F.lit(1.0) if weight is None else F.col(weight)
+    amount = F.col("base") * size * ramp("month_index", steps, *growth) * season
+    return spine.select("*", F.inline(entries)).select(
         F.last_day("month").alias("posting_date"),
-        F.col("entry.account_id").alias("account_id"),
+        "account_id",
         "cost_center_id",
         round_half_away(amount, 2).alias("amount_usd"),
-        F.lit("Accrual").alias("source"),
+        "source",
         F.concat_ws(
             "-", F.col("cost_center_id").cast("string"), F.date_format("month", "yyyy-MM")
         ).alias("reference"),
-        F.concat(F.col("entry.account_id"), F.lit(" monthly accrual")).alias("memo"),
+        "memo",
     )
 
 
-def opex_by_month(journal: DataFrame, prefix: str = "5") -> DataFrame:
+def opex_by_month(journal: DataFrame, prefix: str = fixed.SPENDING_PREFIX) -> DataFrame:
     """Booked amounts per month, cost centre and account of one account class."""
     return (
         journal.filter(F.col("account_id").startswith(prefix))
@@ -292,7 +297,9 @@ def opex_by_month(journal: DataFrame, prefix: str = "5") -> DataFrame:
 
 
 def derive_budget(
-    actuals: DataFrame, factors: Mapping[str, float], default: float = 1.02
+    actuals: DataFrame,
+    factors: Mapping[str, float] = fixed.BUDGET_FACTORS,
+    default: float = fixed.DEFAULT_BUDGET_FACTOR,
 ) -> DataFrame:
     """Budget lines from monthly actuals, scaled by an account's factor."""
     factor = F.lit(float(default))

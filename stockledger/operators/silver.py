@@ -123,7 +123,8 @@ def measure_racks(racks: DataFrame) -> DataFrame:
             "live_month": month_of("live_date"),
             "request_to_live_days": days_between("requested_date", "live_date"),
             "ship_to_install_days": days_between("shipped_date", "installed_date"),
-            "monthly_depreciation_usd": F.col("capex_usd") / F.col("useful_life_months"),
+            "monthly_depreciation_usd": F.col("capex_usd")
+            / F.nullifzero(F.col("useful_life_months")),
         }
     )
 

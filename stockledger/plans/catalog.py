@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stockledger import settings
 from stockledger.functions import exact_sum, month_of, round_half_away, to_cents
 from stockledger.operators import gold, incremental, ledger, quality, silver, supply
-from stockledger.plans import fixed_values as fixed
+from stockledger import fixed_values as fixed
 from stockledger.sources import tables as lake
 from stockledger.sources.trial import LAYOUT, MONTHS, TABLES, WINDOW_END, WINDOW_START, Trial
 from stockledger.streaming import ingest
@@ -371,7 +371,7 @@ def post_writedowns(t: Trial) -> DataFrame:
 def recurring_accruals(t: Trial) -> DataFrame:
     spine = supply.month_spine(t.weighted_centers(), WINDOW_START, WINDOW_END)
     return ledger.recurring_accruals(
-        spine, fixed.RUN_RATE, fixed.GROWTH, MONTHS, fixed.SEASONS
+        spine, fixed.REGION_RUN_RATE, MONTHS, fixed.GROWTH, fixed.SEASONS, "demand_weight"
     )
 
 

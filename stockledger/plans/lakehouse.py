@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stockledger import settings
 from stockledger.operators import gold, silver, supply
 from stockledger.operators.quality import Checks, run_checks
-from stockledger.plans.fixed_values import BRONZE, GOLD
+from stockledger.fixed_values import BRONZE, GOLD, SILVER
 from stockledger.sources import tables as lake
 
 # The checks that come with the tables.
@@ -51,6 +51,15 @@ def bronze_tables(
     return {name: lake.read_table(spark, root, name) for name in names}
 
 
+def table(spark: SparkSession, root: str, name: str, limit: int | None = None) -> DataFrame:
+    """Any table of the lake by its name, whatever its layer."""
+    layers = {"bronze": BRONZE, "silver": SILVER, "gold": GOLD}
+    found = [layer for layer, names in layers.items() if name in names]
+    if not found:
+        raise ValueError(f"unknown table {name!r}")
+    return lake.read_table(spark, root, name, found[0], limit)
+
+
 def silver_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {
         "stg_purchase_orders": silver.enrich_po_lines(
@@ -96,16 +105,10 @@ def build(spark: SparkSession, root: str) -> DataFrame:
     for layer, models in built.items():
         for name, df in models.items():
             lake.write_table(df, root, layer, name)
-    written = {
-        name: lake.read_table(spark, root, name, layer)
-        for layer, models in built.items()
-        for name in models
-    }
+    written = {name: table(spark, root, name) for models in built.values() for name in models}
     return run_checks(written, CHECKS)
 
 
 def open_views(spark: SparkSession, root: str) -> None:
     """Views over the raw tables and the facts, for ad-hoc SQL."""
-    views = bronze_tables(spark, root)
-    views |= {name: lake.read_table(spark, root, name, "gold") for name in GOLD}
-    lake.register_views(views)
+    lake.register_views({name: table(spark, root, name) for name in [*BRONZE, *GOLD]})

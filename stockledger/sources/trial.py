@@ -231,7 +231,7 @@ class Trial:
         return (
             orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
             .groupBy(
-                F.date_format("o_orderdate", "yyyy-MM-01").alias("forecast_month"),
+                _month_text("o_orderdate").alias("forecast_month"),
                 F.col("c_nationkey").alias("region_code"),
                 F.col("o_orderpriority").alias("sku_family"),
                 F.when(status == "O", "P6M")
@@ -299,7 +299,7 @@ class Trial:
             self.table("lineitem")
             .filter(F.col("l_linestatus") == "F")
             .groupBy(
-                F.date_format("l_shipdate", "yyyy-MM-01").alias("fiscal_month"),
+                _month_text("l_shipdate").alias("fiscal_month"),
                 F.col("l_suppkey").alias("cost_center_id"),
                 F.when(even, "5100").otherwise("5200").alias("account_id"),
             )
@@ -325,3 +325,7 @@ class Trial:
 
 def _account(flag: Column) -> Column:
     return F.when(flag == "A", "5100").when(flag == "N", "5200").otherwise("1400")
+
+
+def _month_text(timestamp: str) -> Column:
+    return month_of(F.col(timestamp).cast("date")).cast("string")

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from stockledger.plans import fixed_values as fixed
+from stockledger import fixed_values as fixed
 from stockledger.plans import lakehouse
 from stockledger.sources import tables as lake
 from tests.rows import PO, by, components, day, frame, po, suppliers

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from stockledger.operators import ledger, supply
-from stockledger.plans import fixed_values as fixed
+from stockledger import fixed_values as fixed
 from tests.rows import PO, by, components, day, frame, po, suppliers
 
 RACK = (
@@ -103,7 +103,9 @@ def test_recurring_accruals(spark):
         [("CC-2100", 1.0, "2019-01-01"), ("CC-2600", 0.3, "2025-04-01")],
     )
     spine = supply.month_spine(cost_centers, "2024-10-01", "2026-09-01", "launched")
-    posted = ledger.recurring_accruals(spine, fixed.RUN_RATE, fixed.GROWTH, 24, fixed.SEASONS)
+    posted = ledger.recurring_accruals(
+        spine, fixed.REGION_RUN_RATE, 24, fixed.GROWTH, fixed.SEASONS, "demand_weight"
+    )
     rows = by(posted, "cost_center_id", "account_id", "posting_date")
     assert len(rows) == 5 * (24 + 18)
     first = rows["CC-2100", "5300", day("2024-10-31")]
@@ -113,6 +115,22 @@ def test_recurring_accruals(spark):
     assert rows["CC-2100", "5200", day("2024-10-31")]["amount_usd"] != 7_500_000.0
 
 
+def test_global_accruals_are_flat(spark):
+    spine = supply.month_spine(
+        frame(spark, "cost_center_id string", [("CC-3100",)]), "2024-10-01", "2024-11-01"
+    )
+    posted = ledger.recurring_accruals(spine, fixed.GLOBAL_RUN_RATE)
+    assert {(str(r.posting_date), r.account_id, r.amount_usd, r.source, r.memo)
+            for r in posted.collect()} == {
+        (end, account, amount, source, memo)
+        for end in ("2024-10-31", "2024-11-30")
+        for account, amount, source, memo in (
+            ("5400", 420000.0, "Payroll", "Salaries & benefits"),
+            ("5800", 35000.0, "Accrual", "Consulting / services"),
+        )
+    }
+
+
 def test_opex_and_budget(spark):
     journal = frame(
         spark, "posting_date date, cost_center_id string, account_id string, amount_usd double",

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from stockledger.operators import supply
-from stockledger.plans import fixed_values as fixed
+from stockledger import fixed_values as fixed
 from tests.rows import by, day, frame
 
 

@@ -89,9 +89,9 @@ SHAPES = {
                l_orderkey as reference, 'line ' || l_linenumber as memo
         from lineitem""",
     "chart": """
-        select unnest(['1400', '5100', '5200']) as account_id,
-               'Account ' || account_id as account_name,
-               if(account_id = '1400', 'Asset', 'Opex') as account_type""",
+        select ['1400', '5100', '5200', '5300', '5400'][r_regionkey + 1] as account_id,
+               r_name as account_name, if(r_regionkey = 0, 'Asset', 'Opex') as account_type
+        from region""",
     "centers": """
         select s_suppkey as cost_center_id, s_name as cost_center_name,
                if(s_acctbal >= 0, 'Operations', 'Finance') as org, s_nationkey as region_code

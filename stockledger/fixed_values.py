@@ -29,6 +29,16 @@ GOLD = [
     "fct_ap_aging",
 ]
 
+# The date column that places a fact's rows in time.
+GOLD_DATES = {
+    "fct_supplier_otif": "promised_month",
+    "fct_purchase_price_variance": "received_month",
+    "fct_capacity_plan_vs_actual": "forecast_month",
+    "fct_inventory_days_of_supply": "snapshot_date",
+    "fct_capex_by_region": "in_service_month",
+    "fct_budget_vs_actual": "fiscal_month",
+}
+
 # Forecast versions with the prefixes of their value and error columns.
 FORECAST_VERSIONS = (("P6M", "plan_6m", "plan"), ("P1M", "commit_1m", "commit"))
 

@@ -7,14 +7,16 @@ way to gold.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from stockledger import settings
-from stockledger.operators import gold, silver, supply
+from stockledger.fixed_values import BRONZE, GOLD, GOLD_DATES, SILVER
+from stockledger.operators import gold, incremental, silver, supply
 from stockledger.operators.quality import Checks, run_checks
-from stockledger.fixed_values import BRONZE, GOLD, SILVER
 from stockledger.sources import tables as lake
 
 # The checks that come with the tables.
@@ -60,55 +62,125 @@ def table(spark: SparkSession, root: str, name: str, limit: int | None = None) -
     return lake.read_table(spark, root, name, found[0], limit)
 
 
-def silver_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        "stg_purchase_orders": silver.enrich_po_lines(
-            raw["purchase_orders"], raw["suppliers"], raw["components"]
-        ),
-        "stg_gl_journal": silver.enrich_journal(
-            raw["gl_journal"], raw["gl_accounts"], raw["cost_centers"]
-        ),
-        "stg_rack_deployments": silver.enrich_racks(raw["rack_deployments"], raw["regions"]),
-    }
-
-
-def gold_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    lines = silver.flag_po_lines(raw["purchase_orders"])
-    racks = gold.known(
-        silver.measure_racks(raw["rack_deployments"]), raw["regions"], "region_code"
-    )
-    consumption = supply.component_demand(
-        racks, supply.explode_bom(raw["bom"], raw["server_skus"])
-    )
-    return {
-        "fct_supplier_otif": gold.supplier_scorecard(lines, raw["suppliers"], raw["components"]),
-        "fct_purchase_price_variance": gold.price_variance(
-            lines, raw["components"], raw["suppliers"]
-        ),
-        "fct_capacity_plan_vs_actual": gold.plan_vs_actual(raw["capacity_forecast"], racks),
-        "fct_inventory_days_of_supply": gold.days_of_supply(
-            raw["inventory_snapshots"], consumption, raw["components"]
-        ),
-        "fct_capex_by_region": gold.capex_by_region(racks, raw["regions"]),
-        "fct_budget_vs_actual": gold.budget_vs_actual(
-            raw["gl_journal"], raw["budget"], raw["gl_accounts"], raw["cost_centers"]
+@dataclass(frozen=True)
+class Model:
+    """A table built from raw tables, given in the order of its arguments."""
+
+    reads: tuple[str, ...]
+    build: Callable[..., DataFrame]
+
+    def over(self, raw: Mapping[str, DataFrame]) -> DataFrame:
+        return self.build(*[raw[name] for name in self.reads])
+
+
+def _scorecard(lines: DataFrame, suppliers: DataFrame, components: DataFrame) -> DataFrame:
+    return gold.supplier_scorecard(silver.flag_po_lines(lines), suppliers, components)
+
+
+def _plan(forecast: DataFrame, racks: DataFrame, regions: DataFrame) -> DataFrame:
+    return gold.plan_vs_actual(forecast, gold.known(racks, regions, "region_code"))
+
+
+def _supply(
+    snapshots: DataFrame,
+    components: DataFrame,
+    racks: DataFrame,
+    regions: DataFrame,
+    bom: DataFrame,
+    skus: DataFrame,
+) -> DataFrame:
+    built = gold.known(racks, regions, "region_code")
+    used = supply.component_demand(built, supply.explode_bom(bom, skus))
+    return gold.days_of_supply(snapshots, used, components)
+
+
+def _capex(racks: DataFrame, regions: DataFrame) -> DataFrame:
+    return gold.capex_by_region(silver.measure_racks(racks), regions)
+
+
+SILVER_MODELS = {
+    "stg_purchase_orders": Model(
+        ("purchase_orders", "suppliers", "components"), silver.enrich_po_lines
+    ),
+    "stg_gl_journal": Model(
+        ("gl_journal", "gl_accounts", "cost_centers"), silver.enrich_journal
+    ),
+    "stg_rack_deployments": Model(("rack_deployments", "regions"), silver.enrich_racks),
+}
+GOLD_MODELS = {
+    "fct_supplier_otif": Model(("purchase_orders", "suppliers", "components"), _scorecard),
+    "fct_purchase_price_variance": Model(
+        ("purchase_orders", "components", "suppliers"), gold.price_variance
+    ),
+    "fct_capacity_plan_vs_actual": Model(
+        ("capacity_forecast", "rack_deployments", "regions"), _plan
+    ),
+    "fct_inventory_days_of_supply": Model(
+        (
+            "inventory_snapshots",
+            "components",
+            "rack_deployments",
+            "regions",
+            "bom",
+            "server_skus",
         ),
-        "fct_ap_aging": gold.aging(raw["supplier_invoices"], raw["suppliers"]),
-    }
+        _supply,
+    ),
+    "fct_capex_by_region": Model(("rack_deployments", "regions"), _capex),
+    "fct_budget_vs_actual": Model(
+        ("gl_journal", "budget", "gl_accounts", "cost_centers"), gold.budget_vs_actual
+    ),
+    "fct_ap_aging": Model(("supplier_invoices", "suppliers"), gold.aging),
+}
 
 
 def build(spark: SparkSession, root: str) -> DataFrame:
     """Write silver and gold from bronze and report the checks on what was written."""
     settings.tune(spark, f"{root.rstrip('/')}/bronze")
     raw = bronze_tables(spark, root)
-    built = {"silver": silver_tables(raw), "gold": gold_tables(raw)}
-    for layer, models in built.items():
-        for name, df in models.items():
-            lake.write_table(df, root, layer, name)
-    written = {name: table(spark, root, name) for models in built.values() for name in models}
+    layers = {"silver": SILVER_MODELS, "gold": GOLD_MODELS}
+    for layer, models in layers.items():
+        for name, model in models.items():
+            lake.write_table(model.over(raw), root, layer, name)
+    written = {name: table(spark, root, name) for name in CHECKS}
     return run_checks(written, CHECKS)
 
 
+def append_journal(spark: SparkSession, root: str, lookback_days: int = 0) -> None:
+    """Add to the silver journal what the raw journal holds beyond it.
+
+    The first run takes everything. Rows posted up to ``lookback_days`` before
+    the newest loaded date still count as new when their id is unknown.
+    """
+    model = SILVER_MODELS["stg_gl_journal"]
+    raw = bronze_tables(spark, root, model.reads)
+    try:
+        loaded = table(spark, root, "stg_gl_journal")
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        raw["gl_journal"] = incremental.incremental_append(
+            loaded, raw["gl_journal"], "journal_id", "posting_date", lookback_days
+        )
+    path = lake.table_path(root, "silver", "stg_gl_journal")
+    model.over(raw).write.mode("append").parquet(path)
+
+
+def backfill_gold(
+    spark: SparkSession, root: str, name: str, dates: Sequence[str] | None = None
+) -> None:
+    """Write a fact partitioned by its date, or replace some of its dates.
+
+    The filter on the date is a filter on a grouping key, so Spark moves it
+    below the aggregation and reads only the rows of those dates.
+    """
+    model = GOLD_MODELS[name]
+    facts = model.over(bronze_tables(spark, root, model.reads))
+    path = lake.table_path(root, "gold", name)
+    incremental.backfill(facts, path, GOLD_DATES[name], dates)
+
+
 def open_views(spark: SparkSession, root: str) -> None:
     """Views over the raw tables and the facts, for ad-hoc SQL."""
     lake.register_views({name: table(spark, root, name) for name in [*BRONZE, *GOLD]})

@@ -133,17 +133,14 @@ class Trial:
         )
 
     def accounts(self) -> DataFrame:
-        """Account codes as the journal uses them, found in the line flags."""
-        flag = F.col("l_returnflag")
-        return (
-            self.table("lineitem")
-            .groupBy(_account(flag).alias("account_id"))
-            .agg(F.max(flag).alias("flag"))
-            .select(
-                "account_id",
-                F.concat(F.lit("Account "), F.col("account_id")).alias("account_name"),
-                F.when(F.col("flag") == "R", "Asset").otherwise("Opex").alias("account_type"),
-            )
+        """The chart of accounts, one account per region row."""
+        number = F.col("r_regionkey")
+        return self.table("region").select(
+            F.when(number == 0, "1400")
+            .otherwise(F.format_string("5%d00", number))
+            .alias("account_id"),
+            F.col("r_name").alias("account_name"),
+            F.when(number == 0, "Asset").otherwise("Opex").alias("account_type"),
         )
 
     def cost_centers(self) -> DataFrame:

@@ -133,3 +133,59 @@ def test_ad_hoc_sql_sees_raw_tables_and_facts(spark, root, report):
         """
     ).first()
     assert (row.supplier_name, row.otif) == ("One", 50.0)
+
+
+def test_journal_is_appended_once(spark, root, tmp_path):
+    lakehouse_root = str(tmp_path)
+    raw = lakehouse.bronze_tables(spark, root, ["gl_accounts", "cost_centers", "gl_journal"])
+    for name in ("gl_accounts", "cost_centers"):
+        lake.write_table(raw[name], lakehouse_root, "bronze", name)
+    base = raw["gl_journal"]
+
+    def post(journal_id, date):
+        return base.filter("journal_id = 'JE-1'").withColumns(
+            {"journal_id": F.lit(journal_id), "posting_date": F.lit(date).cast("date")}
+        )
+
+    first = base
+    second = base.unionByName(post("JE-3", "2025-03-31")).unionByName(post("JE-4", "2025-02-27"))
+    for journal, lookback, expected in ((first, 0, 2), (first, 0, 2), (second, 0, 3), (second, 60, 4)):
+        lake.write_table(journal, lakehouse_root, "bronze", "gl_journal")
+        lakehouse.append_journal(spark, lakehouse_root, lookback)
+        loaded = lakehouse.table(spark, lakehouse_root, "stg_gl_journal")
+        assert (loaded.count(), loaded.select("journal_id").distinct().count()) == (expected,) * 2
+
+
+def test_backfill_of_chosen_months(spark, root, tmp_path):
+    copy = str(tmp_path)
+    for name, df in lakehouse.bronze_tables(spark, root).items():
+        lake.write_table(df, copy, "bronze", name)
+    assert set(lakehouse.GOLD_MODELS) == {*fixed.GOLD_DATES, "fct_ap_aging"} == set(fixed.GOLD)
+    for name, column in fixed.GOLD_DATES.items():
+        whole = lake.read_table(spark, root, name, "gold")
+        for dates in (None, [str(whole.first()[column])], ["1999-01-01"]):
+            lakehouse.backfill_gold(spark, copy, name, dates)
+            written = lakehouse.table(spark, copy, name).select(whole.columns)
+            assert sorted(map(str, written.collect())) == sorted(map(str, whole.collect())), name
+
+
+def test_backfill_filter_sinks_below_the_grouping(spark, root):
+    raw = lakehouse.bronze_tables(spark, root, ["rack_deployments", "regions"])
+    facts = lakehouse.GOLD_MODELS["fct_capex_by_region"].over(raw)
+    month = facts.filter(F.col("in_service_month") == F.lit("2025-01-01").cast("date"))
+    plan = month._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("trunc(installed_date")
+
+
+def test_command_line(spark, root, tmp_path, monkeypatch, capfd):
+    from stockledger import __main__ as command
+
+    def run(*words):
+        monkeypatch.setattr("sys.argv", ["stockledger", *words])
+        command.main()
+        return capfd.readouterr().out
+
+    assert "gl_journal" in run("land", f"{root}/bronze", str(tmp_path))
+    assert run("build", str(tmp_path)).count("unique(") == 8
+    assert "One" in run("sql", str(tmp_path), "select supplier_name from fct_ap_aging")
+    assert lakehouse.table(spark, str(tmp_path), "suppliers", limit=2).count() == 2

@@ -157,26 +157,71 @@ def price_index(
     that follow a curve. Others follow the running total of their monthly
     ``drift`` (component_id, month, drift), or stay at 1 without one.
     """
-    months = month_spine(components.select("component_id", "category"), start, end)
+    low, high = bounds
+
+    def bounded(value: Column) -> Column:
+        return F.least(F.greatest(value, F.lit(low)), F.lit(high)).alias("price_index")
+
+    on_curve = F.coalesce(F.col("category").isin(*paths), F.lit(False))
+    curved = components.filter(on_curve) if drift is not None else components
     step = F.col("month_index").cast("double")
-    curve = F.lit(None).cast("double")
+    curve = F.lit(1.0)
     for category, (trend, swing, period, phase) in paths.items():
-        value = 1.0 + step * trend + F.sin(step / F.lit(float(period)) + F.lit(float(phase))) * swing
-        curve = F.when(F.col("category") == category, value).otherwise(curve)
-    walked = F.lit(1.0)
-    if drift is not None:
-        so_far = (
-            W.partitionBy("component_id")
-            .orderBy("month")
-            .rowsBetween(W.unboundedPreceding, W.currentRow)
+        wave = F.sin(step / F.lit(float(period)) + F.lit(float(phase)))
+        curve = F.when(
+            F.col("category") == category, 1.0 + step * trend + wave * swing
+        ).otherwise(curve)
+    index = month_spine(curved.select("component_id", "category"), start, end).select(
+        "component_id", "month", bounded(curve)
+    )
+    if drift is None:
+        return index
+    walked = _walk(components.filter(~on_curve), drift, start, end)
+    return index.unionByName(
+        walked.select("component_id", "month", bounded(F.lit(1.0) + F.col("moved")))
+    )
+
+
+def _walk(
+    components: DataFrame, drift: DataFrame, start: Column | str, end: Column | str
+) -> DataFrame:
+    """Running drift of every component and month, from the months that have any.
+
+    A total holds until the next month with a drift, so the grid is filled in
+    from those rows and never joined. ``known`` marks the row that opens a
+    component; drift of anything else is dropped.
+    """
+    first, last = month_of(_date(start)), month_of(_date(end))
+    opening = components.select(
+        "component_id", first.alias("month"), F.lit(0.0).alias("drift"), F.lit(1).alias("known")
+    )
+    moves = drift.filter(F.col("month").between(first, last)).select(
+        "component_id", "month", "drift", F.lit(0).alias("known")
+    )
+    steps = (
+        opening.unionByName(moves)
+        .groupBy("component_id", "month")
+        .agg(exact_sum("drift").alias("drift"), F.max("known").alias("known"))
+    )
+    component = W.partitionBy("component_id")
+    by_month = component.orderBy("month")
+    so_far = by_month.rowsBetween(W.unboundedPreceding, W.currentRow)
+    until = F.coalesce(F.add_months(F.lead("month").over(by_month), -1), last)
+    return (
+        steps.select(
+            "component_id",
+            "month",
+            until.alias("until"),
+            F.sum("drift").over(so_far).cast("double").alias("moved"),
+            F.max("known").over(component).alias("known"),
         )
-        months = months.join(drift, ["component_id", "month"], "left")
-        step_drift = F.coalesce(F.col("drift"), F.lit(0.0)).cast("decimal(18,6)")
-        moved = F.sum(step_drift).over(so_far)
-        walked = F.lit(1.0) + moved.cast("double")
-    low, high = bounds
-    index = F.least(F.greatest(F.coalesce(curve, walked), F.lit(low)), F.lit(high))
-    return months.select("component_id", "month", index.alias("price_index"))
+        .filter(F.col("known") == 1)
+        .select(
+            "component_id",
+            "moved",
+            F.explode(F.sequence("month", "until", F.expr(MONTHLY))).alias("month"),
+        )
+    )
 
 
 def rack_cost(bom_rack: DataFrame, components: DataFrame, prices: DataFrame) -> DataFrame:

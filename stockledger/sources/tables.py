@@ -93,14 +93,19 @@ def load_by_name(
 ) -> DataFrame:
     """Read Parquet extracts, matching columns by name and ignoring case.
 
-    Column order and spelling may differ from file to file; a column that a
-    file lacks is null there. With a target schema the result has exactly its
-    columns and types.
+    Column order and spelling may differ from path to path; a column that a
+    path lacks is null there. Paths that agree are read in one scan, so the
+    plan grows with the number of layouts and not of files. With a target
+    schema the result has exactly its columns and types.
     """
-    parts = []
+    layouts: dict[str, tuple[StructType, list[str]]] = {}
     for path in paths:
-        part = spark.read.parquet(path)
-        parts.append(part.toDF(*[name.lower() for name in part.columns]))
+        schema = spark.read.parquet(path).schema
+        layouts.setdefault(schema.json(), (schema, []))[1].append(path)
+    parts = [
+        spark.read.schema(schema).parquet(*same).toDF(*[name.lower() for name in schema.names])
+        for schema, same in layouts.values()
+    ]
     loaded = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if target_schema is None:
         return loaded

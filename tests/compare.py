@@ -24,7 +24,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 SAME = {
     "long": "BIGINT",
-    "int": "INTEGER",
+    "integer": "INTEGER",
     "double": "DOUBLE",
     "string": "VARCHAR",
     "date": "DATE",
@@ -42,9 +42,9 @@ def differences(df, con, sql: str) -> list[str]:
     if sorted(names) != sorted(df.columns):
         return [f"columns {sorted(df.columns)} against {sorted(names)}"]
     for field in df.schema.fields:
-        wanted = SAME.get(field.dataType.typeName() if field.dataType.typeName() != "integer" else "int")
-        if wanted != kinds[field.name]:
-            found.append(f"{field.name}: {field.dataType.typeName()} against {kinds[field.name]}")
+        kind = field.dataType.typeName()
+        if SAME.get(kind) != kinds[field.name]:
+            found.append(f"{field.name}: {kind} against {kinds[field.name]}")
     order = sorted(names)
     pick = [names.index(name) for name in order]
     expected = Counter(tuple(_plain(row[i]) for i in pick) for row in answer.fetchall())

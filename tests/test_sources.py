@@ -55,6 +55,9 @@ def test_load_by_name_ignores_case_order_and_gaps(spark, tmp_path):
     paths = [f"{tmp_path}/1", f"{tmp_path}/2"]
     loaded = lake.load_by_name(spark, paths)
     assert {(r.id, r.name, r.extra) for r in loaded.collect()} == {(1, "a", None), (2, "b", 0.5)}
+    again = lake.load_by_name(spark, [*paths, *paths, *paths])
+    assert again.count() == 6
+    assert again._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
     target = frame(spark, "NAME string, id long, missing date", []).schema
     shaped = lake.load_by_name(spark, paths, target)
     assert shaped.schema.simpleString() == target.simpleString()

@@ -79,7 +79,8 @@ def test_price_index_curves_drift_and_bounds(spark):
     drift = frame(
         spark, "component_id string, month date, drift double",
         [("o", day("2025-02-01"), 0.01), ("o", day("2025-03-01"), -0.03)]
-        + [("wild", day("2025-01-01"), -0.9)],
+        + [("wild", day("2025-01-01"), -0.9), ("g", day("2025-01-01"), 0.5)]
+        + [("o", day("2024-12-01"), 0.2), ("nobody", day("2025-01-01"), 0.2)],
     )
     index = supply.price_index(
         parts, "2025-01-01", "2025-03-01", fixed.PRICE_PATHS, drift, fixed.PRICE_BOUNDS
@@ -89,6 +90,10 @@ def test_price_index_curves_drift_and_bounds(spark):
     assert [got["wild", m] for m in (1, 2, 3)] == [0.6, 0.6, 0.6]
     assert [got["g", m] for m in (1, 2)] == [1.0, 1.021816]
     assert [got["m", m] for m in (1, 2)] == [1.067318, 1.060919]
+    assert len(got) == 12
+    flat = supply.price_index(parts, "2025-01-01", "2025-03-01", fixed.PRICE_PATHS)
+    assert flat.filter("component_id = 'o' and price_index = 1.0").count() == 3
+    assert flat.count() == 12
 
 
 def test_rack_cost(spark):

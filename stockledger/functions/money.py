@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MILLIONTHS = 1e6
+LARGEST = 9e12
 # low bits of an amount in millionths, summed apart from the high ones
 LOW_BITS = 20
 
@@ -27,9 +28,14 @@ def exact_sum(amount: Column | str) -> Column:
     Casting each row to decimal costs about twenty times a plain sum. Instead
     the high and low bits of the millionths are summed as two integers, which
     stay in generated code and cannot overflow short of trillions of rows, and
-    only the result becomes a decimal. One amount may reach nine trillion.
+    only the result becomes a decimal. An amount that does not fit (or is not
+    a number) fails the job instead of spoiling a total.
     """
-    whole = F.rint(as_column(amount) * MILLIONTHS).cast("long")
+    amount = as_column(amount)
+    too_large = F.raise_error(F.lit(f"amount is not a number below {LARGEST:.0f}"))
+    whole = F.when(F.abs(amount) > LARGEST, too_large.cast("long")).otherwise(
+        F.rint(amount * MILLIONTHS).cast("long")
+    )
     high = F.sum(F.shiftright(whole, LOW_BITS)).cast("decimal(20,0)")
     low = F.sum(whole.bitwiseAND(F.lit((1 << LOW_BITS) - 1))).cast("decimal(20,0)")
     return (high * F.lit(Decimal(1 << LOW_BITS)) + low) * F.lit(Decimal("0.000001"))

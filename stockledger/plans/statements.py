@@ -177,7 +177,7 @@ NEEDS = {
     "opex": ["journal"],
 }
 
-ORACLES: dict[str, str] = {}
+STATEMENTS: dict[str, str] = {}
 
 
 def _define(key: str, shapes: str, body: str) -> None:
@@ -194,14 +194,14 @@ def _define(key: str, shapes: str, body: str) -> None:
         add(name)
     parts = [f"{name} as ({SHAPES[name]})" for name in order]
     if not parts:
-        ORACLES[key] = body.strip()
+        STATEMENTS[key] = body.strip()
     elif body.lstrip().startswith("with recursive"):
         rest = body.lstrip().removeprefix("with recursive")
-        ORACLES[key] = f"with recursive {', '.join(parts)}, {rest}"
+        STATEMENTS[key] = f"with recursive {', '.join(parts)}, {rest}"
     elif body.lstrip().startswith("with "):
-        ORACLES[key] = f"with {', '.join(parts)}, {body.lstrip().removeprefix('with ')}"
+        STATEMENTS[key] = f"with {', '.join(parts)}, {body.lstrip().removeprefix('with ')}"
     else:
-        ORACLES[key] = f"with {', '.join(parts)} {body}"
+        STATEMENTS[key] = f"with {', '.join(parts)} {body}"
 
 
 # --- facts ------------------------------------------------------------------

@@ -1,5 +1,6 @@
 from decimal import ROUND_HALF_UP, Decimal
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -54,6 +55,18 @@ def test_exact_sum_does_not_depend_on_order(spark):
     assert one == other == Decimal("584500.00")
 
 
+@pytest.mark.parametrize("amount", [float("nan"), float("inf"), -1e13])
+def test_exact_sum_refuses_what_does_not_fit(spark, amount):
+    df = frame(spark, "x double", [(1.0,), (amount,), (None,)])
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            with pytest.raises(Exception, match="not a number below"):
+                df.agg(exact_sum("x")).collect()
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_months_from_counts_calendar_months(spark):
     df = frame(spark, "a date, b date", [(day("2024-11-30"), day("2025-02-01"))])
     assert df.select(months_from("a", "b")).first()[0] == 3

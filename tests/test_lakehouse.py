@@ -60,7 +60,8 @@ def root(spark, tmp_path_factory):
             spark,
             "invoice_id string, supplier_id string, po_number string, invoice_date date, "
             "due_date date, paid_date date, amount_usd double, currency string",
-            [("INV-1", "S1", "PO-1", d("2025-03-13"), d("2025-04-12"), None, 95.0, "USD")],
+            [("INV-1", "S1", "PO-1", d("2025-03-13"), d("2025-04-12"), None, 95.0, "USD"),
+             ("INV-2", "S2", "PO-2", d("2025-03-01"), d("2025-04-15"), d("2025-04-01"), 1.0, "USD")],
         ),
         "cost_centers": frame(
             spark,
@@ -135,6 +136,17 @@ def test_ad_hoc_sql_sees_raw_tables_and_facts(spark, root, report):
     assert (row.supplier_name, row.otif) == ("One", 50.0)
 
 
+def test_files_written_by_pandas_read_the_same(spark, root, tmp_path):
+    for name in fixed.BRONZE:
+        table = lakehouse.table(spark, root, name)
+        folder = tmp_path / "bronze" / name
+        folder.mkdir(parents=True)
+        table.toPandas().to_parquet(folder / f"{name}.parquet", index=False)
+        again = lakehouse.table(spark, str(tmp_path), name)
+        assert again.schema.simpleString() == table.schema.simpleString()
+        assert sorted(map(str, again.collect())) == sorted(map(str, table.collect()))
+
+
 def test_journal_is_appended_once(spark, root, tmp_path):
     lakehouse_root = str(tmp_path)
     raw = lakehouse.bronze_tables(spark, root, ["gl_accounts", "cost_centers", "gl_journal"])

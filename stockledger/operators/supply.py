@@ -120,7 +120,8 @@ def explode_bom(
         parts.withColumn("precedence", F.lit(0))
         .unionByName(extra)
         .groupBy("sku_id", "component_id")
-        .agg(F.max_by("qty_per_rack", "precedence").alias("qty_per_rack"))
+        .agg(F.max(F.struct("precedence", "qty_per_rack")).alias("chosen"))
+        .select("sku_id", "component_id", "chosen.qty_per_rack")
     )
 
 

@@ -9,6 +9,10 @@ import uuid
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+# Dimensions up to this estimated size are broadcast, larger ones shuffled. A
+# copy of that size per executor is far cheaper than shuffling the facts.
+BROADCAST_LIMIT = {"spark.sql.autoBroadcastJoinThreshold": str(64 * 1024**2)}
+
 # Adaptive execution decides join sides and partition sizes from measured
 # sizes. Splitting a skewed join partition is allowed even where the grouping
 # after the join would otherwise reuse the join's partitioning, so a key that
@@ -48,7 +52,7 @@ def tune(spark: SparkSession, *paths: str) -> SparkSession:
     same code fits eight cores and thousands, megabytes and terabytes.
     """
     given = spark.sparkContext.getConf()
-    for key, value in ADAPTIVE.items():
+    for key, value in {**BROADCAST_LIMIT, **ADAPTIVE}.items():
         if not given.contains(key):
             spark.conf.set(key, value)
     if not given.contains(PARTITIONS_KEY):

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 
-def ingest_stream(
+def start_ingest(
     spark: SparkSession,
     source: str,
     target: str,
@@ -14,23 +17,44 @@ def ingest_stream(
     schema: StructType,
     glob: str = "*.parquet",
     files_per_batch: int | None = None,
-) -> None:
-    """Append files not seen before to a Parquet table, then stop.
+    every: str | None = None,
+    partition_by: Sequence[str] = (),
+) -> StreamingQuery:
+    """Append files not seen before to a Parquet table.
 
     The checkpoint remembers which files were taken, and the sink commits each
     batch once, so a run after a failure neither loses nor repeats a file.
-    Without ``files_per_batch`` one batch takes all that is new.
+    With ``every`` ("5 minutes") the query keeps watching; without it, it takes
+    what is there and ends. Without ``files_per_batch`` one batch takes all
+    that is new.
     """
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    query = (
+    writer = (
         reader.parquet(source)
         .writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
     )
-    query.awaitTermination()
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if every is None:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=every).start()
+
+
+def ingest_stream(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    checkpoint: str,
+    schema: StructType,
+    glob: str = "*.parquet",
+    files_per_batch: int | None = None,
+) -> None:
+    """Take every new file once and stop."""
+    start_ingest(
+        spark, source, target, checkpoint, schema, glob, files_per_batch
+    ).awaitTermination()

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from stockledger import settings
 from stockledger.sources import tables as lake
-from stockledger.streaming.ingest import ingest_stream
+from stockledger.streaming.ingest import ingest_stream, start_ingest
 from tests.rows import day, frame
 
 
@@ -89,3 +89,18 @@ def test_stream_takes_each_file_once(spark, tmp_path):
         assert spark.read.parquet(places[1]).count() == high
     rows = spark.read.parquet(places[1])
     assert rows.distinct().count() == 100
+
+
+def test_a_watching_stream_picks_up_later_files(spark, tmp_path):
+    places = [f"{tmp_path}/{name}" for name in ("in", "out", "progress")]
+    rows = spark.range(10).withColumn("part", F.col("id") % 2)
+    rows.write.parquet(places[0])
+    query = start_ingest(spark, *places, rows.schema, every="1 second", partition_by=["part"])
+    try:
+        query.processAllAvailable()
+        assert spark.read.parquet(places[1]).count() == 10
+        rows.write.mode("append").parquet(places[0])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.parquet(places[1]).filter("part = 1").count() == 10

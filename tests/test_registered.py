@@ -3,7 +3,9 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import SMOKE, entry, oracle_sql, queries
+from __spark_entry__ import SMOKE, entry
+from stockledger.plans.catalog import QUERIES
+from stockledger.plans.statements import STATEMENTS
 from tests.compare import connect, differences
 
 
@@ -13,12 +15,12 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(STATEMENTS)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    assert differences(queries()[name](spark, SMOKE), con, oracle_sql()[name]) == []
+    assert differences(QUERIES[name](spark, SMOKE), con, STATEMENTS[name]) == []
 
 
 def test_entry(spark):
@@ -26,5 +28,5 @@ def test_entry(spark):
 
 
 def test_statements_are_single():
-    for name, sql in oracle_sql().items():
+    for name, sql in STATEMENTS.items():
         assert len(duckdb.extract_statements(sql)) == 1, name

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockledger.llm import packing, token_files
+from stockledger.llm import fingerprints, language, packing, token_files, urls
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -22,15 +22,56 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Fixed: the rules that pages are judged by.
+URL_RULES = (
+    urls.Rule("allow", "com", "/"),
+    urls.Rule("block", "example.com", "/en/"),
+    urls.Rule("allow", "www.example.com", "/en/"),
+    urls.Rule("block", "net", "/es/"),
+    urls.Rule("block", "net", "/fr/"),
+)
+
+
+def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return urls.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP1_SQL = """
+with u as (
+  select page_id, row_number() over () as k,
+         coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*(/[^?#]*)', 1), '') as path
+  from pages),
+r(verdict, host, path) as (values
+  ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+  ('block', 'net', '/es/'), ('block', 'net', '/fr/'))
+select any_value(u.page_id) as page_id, any_value(u.host) as host, any_value(u.path) as path,
+       max_by(r.host || r.path, length(r.host || r.path)) as rule,
+       coalesce(max_by(r.verdict, length(r.host || r.path)), 'allow') as verdict
+from u left join r on (u.host = r.host or ends_with(u.host, '.' || r.host)) and starts_with(u.path, r.path)
+group by u.k
+"""
+
+
 def op2_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_pieces(_documents(spark, sf_dir), tokenizer_path())
 
 
+def op3_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprinted(_documents(spark, sf_dir))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_documents(spark, sf_dir), tokenizer_path())
 
 
+def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_curve_packing, op7_token_files)
+    f.__name__: f for f in (op1_url_rules, op2_curve_packing, op3_phrase_fingerprints, op7_token_files, op10_cross_parsing)
 }
-STATEMENTS: dict[str, str] = {}
+STATEMENTS: dict[str, str] = {"op1_url_rules": OP1_SQL}

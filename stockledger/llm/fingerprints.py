@@ -12,12 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockledger.llm.layout import slices
+from stockledger.llm.words import mixed, stretch_hashes
 
 #: Minima in a fingerprint, each kept as 16 bits; documents in one range of ids.
 MINIMA, RANGE_ROWS = 128, 1000
-#: Odd, so that it has an inverse modulo 2**64.
-BASE = 0x9E3779B97F4A7C15
-BASE_INVERSE = pow(BASE, -1, 1 << 64)
 RESULT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double"
@@ -54,38 +52,10 @@ def parse(text: str, begin: int, seen: set[str], until: int, ends: list[int]) ->
     return begin
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class _Powers:
-    """Powers of BASE and of its inverse modulo 2**64, as many as were asked for."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = 1 << (n - 1).bit_length()
-            self.up, self.down = (
-                np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size - 1, b, np.uint64)]))
-                for b in (BASE, BASE_INVERSE)
-            )
-        return self.up, self.down
-
-
-POWERS = _Powers()
-
-
 def phrase_hashes(text: str, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each stretch of the text, the same wherever the stretch stands."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    up, down = POWERS.upto(len(points) + 1)
-    sums = np.zeros(len(points) + 1, np.uint64)
-    np.cumsum(_mixed(points + np.uint64(1)) * up[: len(points)], out=sums[1:])
-    return _mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return stretch_hashes(mixed(points + np.uint64(1)), starts, ends)
 
 
 def minima(hashes: np.ndarray) -> np.ndarray:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -16,11 +17,13 @@ from stockledger.llm.layout import slices
 
 UNKNOWN = "und"
 #: Code points of a language's text that its automaton is built from, and of one document that go into it.
-TRAIN_CHARS, DOCUMENT_CHARS = 40_000, 2_000
+TRAIN_CHARS, DOCUMENT_CHARS = 40_000, 1_000
 #: Characters with a column of their own in a language's table; rarer ones match nothing.
 ALPHABET = 255
 #: Code points that are parsed in one go; a longer text is parsed in stretches of this length.
 STRETCH = 4096
+#: All but letters.
+BETWEEN = re.compile(r"[\W\d_]+")
 #: Slots that documents are hashed to for the training sample.
 SLOTS = 1 << 20
 
@@ -103,6 +106,11 @@ def _suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return edges
 
 
+def plain(text: str) -> str:
+    """The text in lower case with one space for whatever stands between letters."""
+    return BETWEEN.sub(" ", text.lower())
+
+
 @lru_cache(maxsize=2)
 def _automata(model: tuple[tuple[str, str], ...]) -> list[Automaton]:
     return [Automaton(text) for _, text in model]
@@ -145,7 +153,7 @@ def training_text(
         for row in rows:
             if held >= train_chars:
                 break
-            text.append(row["text"].lower())
+            text.append(plain(row["text"]))
             held += len(text[-1]) + 1
         model.append((lang, "\n".join(text)[:train_chars]))
     return tuple((lang, text) for lang, text in model if text)
@@ -158,7 +166,7 @@ def predict(texts: list[str | None], model: tuple[tuple[str, str], ...]) -> list
     smallest wins, the first by name among equals. The score is one minus the smallest over the next.
     """
     automata = _automata(model)
-    lower = [text.lower() if text and any(map(str.isalpha, text)) else "" for text in texts]
+    lower = [plain(text) if text and any(map(str.isalpha, text)) else "" for text in texts]
     points = np.frombuffer("".join(lower).encode("utf-32-le", "surrogatepass"), "<u4")
     starts, lengths, owner, at = [], [], [], 0
     for k, text in enumerate(lower):

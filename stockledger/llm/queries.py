@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockledger.llm import fingerprints, language, packing, token_files, urls
+from stockledger.llm import embeddings, fingerprints, language, minhash, packing, token_files, urls
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -63,15 +63,23 @@ def op3_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprinted(_documents(spark, sf_dir))
 
 
+def op6_shard_graphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_documents(spark, sf_dir), tokenizer_path())
 
 
+def op8_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_documents(spark, sf_dir))
+
+
 def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(_documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_rules, op2_curve_packing, op3_phrase_fingerprints, op7_token_files, op10_cross_parsing)
+    f.__name__: f for f in (op1_url_rules, op2_curve_packing, op3_phrase_fingerprints, op6_shard_graphs, op7_token_files, op8_bbit_minhash, op10_cross_parsing)
 }
 STATEMENTS: dict[str, str] = {"op1_url_rules": OP1_SQL}

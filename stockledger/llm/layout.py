@@ -13,31 +13,36 @@ from pyspark.sql import types as T
 from stockledger.llm.scratch import written
 
 PART, START = "part", "start_in_part"
+Mapper = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
-def ordered(df: DataFrame, order: list[Column | str], length: str, name: str) -> DataFrame:
+def ordered(
+    df: DataFrame, order: list[Column | str], length: str, name: str, mapper: Mapper | None = None, schema: str = ""
+) -> DataFrame:
     """``df`` range-partitioned and sorted by ``order``, written, with ``part`` (the partition's place in the
     order, int) and ``start_in_part`` (the sum of ``length`` before the row within it, long).
 
-    The table is written so that positions stay the same when an executor is lost: a second sampling of the
-    ranges could cut the partitions elsewhere. Rows that tie in ``order`` keep whatever order they were
-    written in.
+    A ``mapper`` turns the sorted rows into rows of ``schema`` first. Spark reads ``df`` twice, once to draw the
+    ranges, so costly work belongs into the mapper or into a written table. The result is written so that
+    positions stay the same when an executor is lost: a second sampling of the ranges could cut the partitions
+    elsewhere. Rows that tie in ``order`` keep whatever order they were written in.
     """
-    schema = T.StructType([*df.schema.fields, T.StructField(PART, T.IntegerType()), T.StructField(START, T.LongType())])
+    fields = T._parse_datatype_string(schema).fields if mapper else df.schema.fields
+    schema_out = T.StructType([*fields, T.StructField(PART, T.IntegerType()), T.StructField(START, T.LongType())])
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in mapper(batches) if mapper else batches:
             sizes = batch.column(batch.schema.get_field_index(length)).to_numpy(zero_copy_only=False).astype("int64")
             starts = at + sizes.cumsum() - sizes
             at += int(sizes.sum())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([part] * len(sizes), pa.int32()), pa.array(starts, pa.int64())],
-                names=schema.names,
+                names=schema_out.names,
             )
 
     sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    return written(sorted_rows.mapInArrow(number, schema), name)
+    return written(sorted_rows.mapInArrow(number, schema_out), name)
 
 
 def part_starts(table: DataFrame, length: str) -> dict[int, int]:
@@ -61,6 +66,3 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[
             at, held = k + 1, 0
     if at < batch.num_rows:
         yield batch.slice(at)
-
-
-Mapper = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]

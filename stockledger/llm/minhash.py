@@ -229,3 +229,30 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
         )
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+
+
+def without_near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
+    """``docs`` with one document of each group of near-duplicates, the one with the smallest id.
+
+    Of rows that share an id one stays, the one with the smallest hash of its text; rows without an id all stay.
+    """
+    decided = near_duplicates(docs, percent, size).where("doc_id is not null")
+    decided = written(
+        decided.groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n")).where("not kept or n > 1"),
+        "dropped",
+    )
+    if decided.count() <= BROADCAST_IDS:
+        decided = F.broadcast(decided)
+    rows = docs.withColumn("_id", F.col("doc_id").cast("long"))
+    gone = decided.where("not kept").select(F.col("doc_id").alias("_id"))
+    once = rows.join(gone, "_id", "left_anti")
+    several = decided.where("kept").select(F.col("doc_id").alias("_id"))
+    if not several.limit(1).count():
+        return once.drop("_id")
+    one = (
+        once.join(several, "_id", "left_semi")
+        .groupBy("_id")
+        .agg(F.min_by(F.struct(*docs.columns), F.xxhash64("text")).alias("row"))
+        .select("row.*")
+    )
+    return once.join(several, "_id", "left_anti").drop("_id").unionByName(one)

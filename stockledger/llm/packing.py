@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockledger.llm.layout import PART, START, ordered, part_starts, slices
+from stockledger.llm.scratch import written
 from stockledger.llm.token_files import unpacked
 from stockledger.llm.tokens import encoder
 
@@ -88,11 +89,10 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1) -
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, press = encoder(tokenizer), zstandard.ZstdCompressor(level=1)
-        end = np.array([end_id], dtype).tobytes()
         feature, sign, directions = _projection(vocabulary)
         for batch in batches:
-            for part in slices(batch, "text"):
-                ids = [coder.encode(text or "") + end for text in part.column(1).to_pylist()]
+            for part in slices(batch, "text", 4 << 20):
+                ids = coder.encode([text or "" for text in part.column(1).to_pylist()], end_id)
                 vectors = np.empty((len(ids), FEATURES))
                 for k, packed in enumerate(ids):
                     own = np.frombuffer(packed, dtype)
@@ -110,6 +110,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1) -
     keyed = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         tokenise, "doc_id long, curve long, doc_tokens long, ids binary"
     )
+    keyed = written(keyed, "curve-keys", "none")  # the ranges are drawn from it
     line = ordered(keyed, ["curve", "doc_id"], "doc_tokens", "curve")
     starts = part_starts(line, "doc_tokens")
 

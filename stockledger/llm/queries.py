@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stockledger.llm import embeddings, fingerprints, language, minhash, packing, token_files, urls
+from stockledger.llm import chat, embeddings, fingerprints, language, lines, minhash, mixing, packing, token_files, urls
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -63,6 +64,68 @@ def op3_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprinted(_documents(spark, sf_dir))
 
 
+def op4_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rendered(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+OP4_SQL = f"""
+with t as (
+  select conv_id, coalesce(turn, 9223372036854775807) as turn, coalesce(role, 'unknown') as role,
+         replace(coalesce(text, ''), '<|', '< |') as text
+  from conversations),
+p as (select distinct conv_id, role as speaker from t where role <> 'system'),
+s as (
+  select t.conv_id, p.speaker, t.turn, t.role, t.role = p.speaker as own,
+         '<|im_start|>' || case when t.role = 'system' then t.role when t.role = p.speaker then 'assistant'
+           else 'user name=' || regexp_replace(t.role, '\\s', '_', 'g') end || chr(10) as head, t.text
+  from t join p on t.conv_id is not distinct from p.conv_id),
+r as (select *, head || text || '<|im_end|>' || chr(10) as segment from s),
+o as (
+  select *, coalesce(sum(length(segment)) over (
+           partition by conv_id, speaker order by turn, role, segment
+           rows between unbounded preceding and 1 preceding), 0)::bigint as place
+  from r),
+q as (select *, (place // {chat.PART_CHARS})::int as part from o),
+b as (select *, min(place) over (partition by conv_id, speaker, part) as base from q)
+select conv_id, speaker, part, count(*)::int as n_turns,
+       string_agg(segment, '' order by place) as text,
+       coalesce(string_agg((place - base + length(head))::varchar || '-' || (place - base + length(segment) - 1)::varchar,
+                           ',' order by place) filter (own), '') as mask
+from b group by conv_id, speaker, part
+"""
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_decisions(_documents(spark, sf_dir)).select("doc_id", "line_no", "n_words", "kept", "near")
+
+
+OP5_SQL = """
+with l as (
+  select doc_id, line_no, list_sort(list_distinct(regexp_extract_all(
+           translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'))) as w
+  from (select doc_id, (generate_subscripts(ls, 1) - 1)::int as line_no, unnest(ls) as line
+        from (select doc_id, string_split(text, chr(10)) as ls from documents))),
+c as (
+  select row_number() over () as id, w, len(w) as n, min(doc_id::hugeint * 4294967296 + line_no) as place
+  from l where len(w) > 0 group by w),
+f as (select t, count(*) as f from (select unnest(w) as t from c) group by t),
+e as (
+  select id, n, place, t from (
+    select id, n, place, t, row_number() over (partition by id order by f, t) as pos
+    from (select id, n, place, unnest(w) as t from c) join f using (t))
+  where pos <= n - (75 * n + 99) // 100 + 1),
+p as (
+  select distinct x.id as id, y.id as earlier from e x join e y
+  on x.t = y.t and y.place < x.place and 4 * x.n >= 3 * y.n and 4 * y.n >= 3 * x.n),
+m as (
+  select distinct p.id from p join c x on x.id = p.id join c y on y.id = p.earlier
+  where 100 * len(list_intersect(x.w, y.w)) >= 75 * (x.n + y.n - len(list_intersect(x.w, y.w))))
+select l.doc_id, l.line_no, c.n::int as n_words,
+       m.id is null and c.place = l.doc_id::hugeint * 4294967296 + l.line_no as kept, m.id is not null as near
+from l join c on l.w = c.w left join m on m.id = c.id
+"""
+
+
 def op6_shard_graphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -75,11 +138,45 @@ def op8_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_documents(spark, sf_dir))
 
 
+#: The mixture: each domain's share of the tokens, and all tokens as a multiple of the corpus'.
+MIX_TARGETS = {"good": 0.84, "poor": 0.14, "toxic": 0.02}
+MIX_FACTOR = 1.25
+
+
+def domains_of_labels(labels: DataFrame) -> DataFrame:
+    """``doc_id, domain``: toxic, else poor or good by the quality."""
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
+    return labels.select("doc_id", domain.alias("domain")).where("domain is not null")
+
+
+def op9_soft_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = domains_of_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    mixed = mixing.mix(_documents(spark, sf_dir).select("doc_id", "text"), labelled, MIX_TARGETS, MIX_FACTOR)
+    shares = [F.col("posteriors")[k].alias(f"p_{domain}") for k, domain in enumerate(MIX_TARGETS)]
+    return mixed.select("doc_id", "n_tokens", *shares, "rate", "copies")
+
+
 def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(_documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_rules, op2_curve_packing, op3_phrase_fingerprints, op6_shard_graphs, op7_token_files, op8_bbit_minhash, op10_cross_parsing)
+    f.__name__: f
+    for f in (
+        op1_url_rules,
+        op2_curve_packing,
+        op3_phrase_fingerprints,
+        op4_perspectives,
+        op5_line_dedup,
+        op6_shard_graphs,
+        op7_token_files,
+        op8_bbit_minhash,
+        op9_soft_mixture,
+        op10_cross_parsing,
+    )
+}
+STATEMENTS: dict[str, str] = {
+    "op1_url_rules": OP1_SQL,
+    "op4_perspectives": OP4_SQL,
+    "op5_line_dedup": OP5_SQL,
 }
-STATEMENTS: dict[str, str] = {"op1_url_rules": OP1_SQL}

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockledger.llm import rans
-from stockledger.llm.layout import PART, START, ordered, part_starts, slices
+from stockledger.llm.layout import PART, START, Mapper, ordered, part_starts, slices
 from stockledger.llm.scratch import shared_folder
 from stockledger.llm.tokens import encoder
 
@@ -22,15 +22,18 @@ BLOCKS = (
 )
 
 
-def tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """``doc_id, n_tokens, ids``: the whole text's ids and ``end_id``, packed and compressed. Null text: empty."""
+TOKENISED = "doc_id long, n_tokens long, ids binary"
+
+
+def tokeniser(tokenizer: str, end_id: int) -> Mapper:
+    """Turns rows of ``doc_id, text`` into ``doc_id, n_tokens, ids``: the whole text's ids and ``end_id``, packed
+    and compressed. Null text: empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, press = encoder(tokenizer), zstandard.ZstdCompressor(level=1)
-        end = np.array([end_id], coder.dtype).tobytes()
         for batch in batches:
-            for part in slices(batch, "text"):
-                ids = [coder.encode(text or "") + end for text in part.column(1).to_pylist()]
+            for part in slices(batch, "text", 4 << 20):
+                ids = coder.encode([text or "" for text in part.column(1).to_pylist()], end_id)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
@@ -40,9 +43,7 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                     names=["doc_id", "n_tokens", "ids"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n_tokens long, ids binary"
-    )
+    return run
 
 
 def unpacked(ids: bytes, dtype: np.dtype) -> np.ndarray:
@@ -80,7 +81,8 @@ def write_token_files(
     spark = docs.sparkSession
     coder = encoder(tokenizer)
     dtype, vocabulary = coder.dtype, coder.vocabulary
-    table = ordered(tokenised(docs, tokenizer, end_id), ["doc_id"], "n_tokens", "token-ids")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    table = ordered(rows, ["doc_id"], "n_tokens", "token-ids", tokeniser(tokenizer, end_id), TOKENISED)
     frequencies = rans.Table.of(id_counts(table, vocabulary, dtype), bits)
     starts = part_starts(table, "n_tokens")
     spark.createDataFrame([(i, int(n)) for i, n in enumerate(frequencies.freq) if n], "id int, slots long").coalesce(

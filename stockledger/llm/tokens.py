@@ -1,33 +1,53 @@
-"""Token ids of whole texts from a ``tokenizers`` file, packed as bytes."""
+"""Token ids of many whole texts at once from a ``tokenizers`` file, packed as bytes."""
 
 from __future__ import annotations
 
 import json
 import os
-import sys
-from array import array
+import re
 from functools import lru_cache
 
 import numpy as np
-import regex
 
-#: Half of the most remembered texts and the longest that is remembered: up to 250 MB for each Python worker.
-REMEMBERED, LONGEST = 300_000, 48
-#: Marks that end a stretch and are a word of their own for a byte-level pre-tokenizer.
-MARKS = frozenset(".,;:!?")
-#: Fixed: the words of a byte-level pre-tokenizer.
-WORDS = regex.compile(
-    r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-)
+from stockledger.llm.words import mixed, stretch_hashes
+
+#: The most stretches and ids that are remembered: some 100 MB for each Python worker.
+REMEMBERED, REMEMBERED_IDS = 3_000_000, 16_000_000
+#: Stretches that go to the tokenizer in one call.
+CALL = 4096
+
+_BYTES = np.arange(256, dtype=np.uint64)
+CODES = mixed(_BYTES + np.uint64(0x1000))
+CHECKS = mixed(_BYTES + np.uint64(0x2000))
+BLANK = (_BYTES == 32) | ((_BYTES >= 9) & (_BYTES <= 13))
+BLANKS = frozenset(np.flatnonzero(BLANK).tolist())
+LETTER = ((_BYTES | np.uint64(32)) >= 97) & ((_BYTES | np.uint64(32)) <= 122)
+MARK = np.isin(_BYTES, np.frombuffer(b".,;:!?", np.uint8))
+#: White space that is more than one byte, or that libraries don't agree on.
+OTHER_BLANKS = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+
+
+def stretches(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Where a byte-level pre-tokenizer surely begins another word, the texts' ``begins`` among them.
+
+    A word ends where white space begins, where a mark follows an ASCII letter, and before and behind a
+    line feed that stands alone. So the ids of a text are those of its stretches, one after the other.
+    """
+    blank = BLANK[data]
+    cut = np.zeros(len(data), bool)
+    cut[1:] = (blank[1:] & ~blank[:-1]) | (MARK[data[1:]] & LETTER[data[:-1]])
+    alone = np.flatnonzero((data[1:-1] == 10) & ~blank[:-2] & ~blank[2:]) + 2
+    cut[alone] = True
+    cut[begins[begins < len(data)]] = True
+    return np.flatnonzero(cut)
 
 
 class Encoder:
     """Encodes texts with a tokenizer of the ``tokenizers`` library, special tokens' strings as ordinary text.
 
-    A byte-level pre-tokenizer never joins a character to the single space after it, so a text may be cut
-    before every single space that has no white space beside it, and the ids of the stretches are the ids of
-    the text. Words repeat, so the stretches' ids are remembered: all but new words take one look-up. Other
-    pre-tokenizers get whole texts.
+    With a plain byte-level pre-tokenizer texts are cut into ``stretches``. Words repeat, so each distinct one
+    goes to the tokenizer once, and its ids are remembered under 96 bits of hashes; the ids of the texts are
+    put together from there in numpy. Other pre-tokenizers and texts with rare white space go there whole.
     """
 
     def __init__(self, path: str):
@@ -38,100 +58,113 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
-        self.model = self.tokenizer.model
-        self.cuttable = _cuttable(json.loads(self.tokenizer.to_str()))
-        self.memo = _Stretches(_Words(self.word))
-
-    def encode(self, text: str) -> bytes:
-        """The ids of a text as little-endian integers of ``self.dtype``."""
-        if not self.cuttable:
-            return self.whole(text)
-        parts = text.split(" ")
-        parts[0] = " " + parts[0]  # the first stands under a name of its own: no other has a space in it
-        try:
-            return b"".join(map(self.memo.__getitem__, parts))
-        except _NotCuttable:
-            return b"".join(map(self.whole, _merged(text)))
-
-    def whole(self, text: str) -> bytes:
-        return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def word(self, text: str) -> bytes:
-        """The ids of what the pre-tokenizer takes as one word."""
-        if text.isascii() and text.lstrip(" ").isalpha():
-            letters = text.replace(" ", BYTE_LETTERS[32])
-        else:
-            letters = text.encode().decode("latin-1").translate(BYTE_LETTERS)
-        return self._packed([x.id for x in self.model.tokenize(letters)])
-
-    def _packed(self, ids: list[int]) -> bytes:
-        packed = array(self.dtype.char, ids)
-        if sys.byteorder == "big":
-            packed.byteswap()
-        return packed.tobytes()
-
-
-class _NotCuttable(Exception):
-    pass
-
-
-class _Remembered(dict):
-    """Ids by text, at most ``2 * REMEMBERED`` of them: what an age of the memory did not use is forgotten."""
-
-    old: dict[str, bytes] = {}
-
-    def keep(self, text: str, ids: bytes) -> bytes:
-        if len(text) <= LONGEST:
-            if len(self) >= REMEMBERED:
-                self.old = dict(self)
-                self.clear()
-            self[text] = ids
-        return ids
-
-
-class _Words(_Remembered):
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, text: str) -> bytes:
-        return self.keep(text, self.old.get(text) or self.encode(text))
-
-
-class _Stretches(_Remembered):
-    """Ids by stretch. A name that begins with a space is the first stretch of a text; others follow one."""
-
-    def __init__(self, words: _Words):
-        super().__init__()
-        self.words = words
-
-    def __missing__(self, name: str) -> bytes:
-        found = self.old.get(name)
-        if found is not None:
-            return self.keep(name, found)
-        first = name[:1] == " "
-        body = name[1:] if first else name
-        text = body if first else " " + body
-        if body.isalpha():
-            return self.keep(name, self.words[text])
-        if not body or body[0].isspace() or body[-1].isspace():
-            raise _NotCuttable
-        if body[-1] in MARKS and body[:-1].isalpha():
-            return self.keep(name, self.words[text[:-1]] + self.words[body[-1]])
-        return b"".join(map(self.words.__getitem__, WORDS.findall(text)))
-
-
-def _merged(text: str) -> list[str]:
-    """The stretches of a text that has white space beside some of its spaces."""
-    found: list[str] = []
-    for k, part in enumerate(text.split(" ")):
-        if not k:
-            found.append(part)
-        elif found[-1] and not found[-1][-1].isspace() and part and not part[0].isspace():
-            found.append(" " + part)
-        else:
-            found[-1] += " " + part
-    return found
+        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.cuttable = _cuttable(json.loads(self.tokenizer.to_str())) and len(feed) == 1
+        self.feed = feed[0] if feed else 0
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        self.places, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.pool, self.used = np.zeros(1 << 16, self.dtype), 0
+
+    def encode(self, texts: list[str], end: int | None = None) -> list[bytes]:
+        """The ids of each text, and ``end`` behind them, as little-endian integers of ``self.dtype``."""
+        last = b"" if end is None else np.array([end], self.dtype).tobytes()
+        found: list[bytes] = [b""] * len(texts)
+        cut = []
+        for k, text in enumerate(texts):
+            if self.cuttable and not OTHER_BLANKS.search(text):
+                cut.append(k)
+            else:
+                found[k] = self._packed(text) + last
+        ids, ends = self._together([texts[k].encode("utf-8", "surrogatepass") for k in cut])
+        raw, size, before = ids.tobytes(), self.dtype.itemsize, 0
+        for k, stop in zip(cut, ends.tolist()):
+            found[k] = raw[size * before : size * stop] + last
+            before = stop
+        return found
+
+    def _packed(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def _together(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text's end."""
+        whole = b"".join(raw)
+        data = np.frombuffer(whole, np.uint8)
+        bounds = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
+        if not len(data):
+            return np.zeros(0, self.dtype), np.zeros(len(raw), np.int64)
+        starts = stretches(data, bounds[:-1])
+        ends = np.append(starts[1:], len(data))
+        hashes = stretch_hashes(CODES[data], starts, ends)
+        distinct, first, place = np.unique(hashes, return_index=True, return_inverse=True)
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(CHECKS[data])])
+        own = (mixed(sums[ends[first]] - sums[starts[first]]) >> np.uint64(32)).astype(np.uint32)
+        at, known = self._look_up(distinct, own)
+        if not known.all():
+            if len(self.keys) > REMEMBERED or self.used > REMEMBERED_IDS:
+                self._forget()
+                known[:] = False
+            new = np.flatnonzero(~known)
+            some = first[new]
+            self._learn(distinct[new], own[new], [whole[a:b] for a, b in zip(starts[some].tolist(), ends[some].tolist())])
+            at, _ = self._look_up(distinct, own)
+        sizes = self.sizes[at][place].astype(np.int64)
+        stops = np.cumsum(sizes)
+        total = int(stops[-1])
+        source = np.repeat(self.places[at][place] - (stops - sizes), sizes) + np.arange(total)
+        counts = np.concatenate([[0], stops])
+        return self.pool[source], counts[np.searchsorted(starts, bounds[1:])]
+
+    def _look_up(self, hashes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.keys):
+            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        return at, (self.keys[at] == hashes) & (self.checks[at] == checks)
+
+    def _learn(self, hashes: np.ndarray, checks: np.ndarray, parts: list[bytes]) -> None:
+        """Remembers new stretches; a hash that is known with another check gives way."""
+        ids, places, sizes = self._ids(parts)
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used : self.used + len(ids)] = ids
+        places += self.used
+        self.used += len(ids)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+            stays = np.ones(len(self.keys), bool)
+            stays[at[self.keys[at] == hashes]] = False
+            self.keys, self.checks = self.keys[stays], self.checks[stays]
+            self.places, self.sizes = self.places[stays], self.sizes[stays]
+        into = np.searchsorted(self.keys, hashes)
+        self.keys, self.checks = np.insert(self.keys, into, hashes), np.insert(self.checks, into, checks)
+        self.places, self.sizes = np.insert(self.places, into, places), np.insert(self.sizes, into, sizes)
+
+    def _ids(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where each stretch's begin there and how many; most from calls with line feeds between."""
+        sizes = np.zeros(len(parts), np.int64)
+        plain = np.array([b"\n" not in part and part[-1] not in BLANKS for part in parts], bool)
+        order = np.flatnonzero(plain)
+        found = []
+        for at in range(0, len(order), CALL):
+            some = order[at : at + CALL]
+            joined = b"\n".join([parts[k] for k in some.tolist()]).decode("utf-8", "surrogatepass")
+            ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, self.dtype)
+            feeds = np.flatnonzero(ids == self.feed)
+            if len(feeds) != len(some) - 1:
+                raise ValueError("the tokenizer does not keep a line feed apart")
+            sizes[some] = np.diff(np.concatenate([[-1], feeds, [len(ids)]])) - 1
+            found.append(ids[ids != self.feed])
+        rest = np.flatnonzero(~plain)
+        for k in rest.tolist():
+            found.append(np.frombuffer(self._packed(parts[k].decode("utf-8", "surrogatepass")), self.dtype))
+            sizes[k] = len(found[-1])
+        order = np.concatenate([order, rest])
+        ids = np.concatenate(found) if found else np.zeros(0, self.dtype)
+        places = np.zeros(len(parts), np.int64)
+        places[order] = np.cumsum(sizes[order]) - sizes[order]
+        return ids, places, sizes
 
 
 def _cuttable(described: dict) -> bool:
@@ -144,16 +177,6 @@ def _cuttable(described: dict) -> bool:
     )
 
 
-def _byte_letters() -> dict[int, str]:
-    """The letter that stands for each byte in a byte-level vocabulary: its own if printable, else one from 256 on."""
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in own]
-    return {b: chr(256 + k) for k, b in enumerate(rest)}
-
-
-BYTE_LETTERS = _byte_letters()
-
-
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
     """One encoder for each Python worker and file."""

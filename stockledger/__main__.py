@@ -2,7 +2,7 @@
 
     python -m stockledger land SOURCE ROOT [TABLE ...]
     python -m stockledger build ROOT
-    python -m stockledger sql ROOT "select ..."
+    python -m stockledger sql ROOT "select ..." [--out PATH] [--limit N]
 
 Run it through spark-submit on a cluster. S3 paths use the endpoint and keys of
 the usual environment variables when S3_ENDPOINT is set.
@@ -11,9 +11,11 @@ the usual environment variables when S3_ENDPOINT is set.
 from __future__ import annotations
 
 import argparse
+import csv
 import os
+import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from stockledger import settings
 from stockledger.fixed_values import BRONZE
@@ -33,6 +35,8 @@ def main() -> None:
     sql = commands.add_parser("sql", help="query the raw tables and the facts")
     sql.add_argument("root")
     sql.add_argument("query")
+    sql.add_argument("--out", help="write the result there as Parquet instead of printing it")
+    sql.add_argument("--limit", type=int, help="no more rows than this")
     args = parser.parse_args()
 
     builder = SparkSession.builder.appName(f"stockledger {args.command}")
@@ -43,12 +47,27 @@ def main() -> None:
     if args.command == "land":
         sources = {name: f"{args.source}/{name}" for name in BRONZE}
         landed = lake.land_bronze(spark, sources, args.root, args.tables or None)
-        lake.row_counts(landed).show(len(landed), truncate=False)
+        _print(lake.row_counts(landed))
     elif args.command == "build":
-        lakehouse.build(spark, args.root).show(100, truncate=False)
+        _print(lakehouse.build(spark, args.root))
     else:
+        settings.tune(spark, args.root)
         lakehouse.open_views(spark, args.root)
-        spark.sql(args.query).show(truncate=False)
+        result = spark.sql(args.query)
+        if args.limit is not None:
+            result = result.limit(args.limit)
+        if args.out:
+            result.write.mode("overwrite").parquet(args.out)
+        else:
+            _print(result)
+
+
+def _print(df: DataFrame) -> None:
+    """Every row as CSV, one partition at a time."""
+    out = csv.writer(sys.stdout)
+    out.writerow(df.columns)
+    for row in df.toLocalIterator():
+        out.writerow(row)
 
 
 if __name__ == "__main__":

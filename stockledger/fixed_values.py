@@ -128,3 +128,4 @@ HUB_OVERRIDES = {"apj-2": "HUB-SIN"}
 RACK_ID = "RCK-%06d"
 PO_LINE_ID = "POL-%07d"
 JOURNAL_ID = "JE-%08d"
+INVOICE_ID = "INV-%s-%06d"

@@ -27,7 +27,8 @@ from stockledger.functions import (
 
 def _share(flag: str) -> Column:
     """Percentage of rows for which a flag holds, to one decimal."""
-    return round_half_away(F.lit(100.0) * F.avg(F.col(flag).cast("int")), 1)
+    share = F.col(flag).cast("double") / F.nullifzero(f"{flag}_known")
+    return round_half_away(F.lit(100.0) * share, 1)
 
 
 def known(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
@@ -42,22 +43,42 @@ def supplier_scorecard(
 
     ``lines`` are flagged purchase-order lines; one result row per supplier and
     promised month. Lateness is averaged over late lines only. Give
-    ``components`` when lines of unknown components may still be present.
+    ``components`` when lines of unknown components may still be present: the
+    lines are summed per component before they meet, so the join sees sums.
     """
+    cell = ["promised_month", "supplier_id"]
     closed = lines.filter(F.col("status") == "Closed")
-    if components is not None:
-        closed = known(closed, components, "component_id")
-    scores = closed.groupBy("promised_month", "supplier_id").agg(
-        F.count("*").alias("po_lines"),
-        F.sum("qty_ordered").alias("qty_ordered"),
-        F.sum("qty_received").alias("qty_received"),
-        _share("is_on_time").alias("on_time_pct"),
-        _share("is_in_full").alias("in_full_pct"),
-        _share("is_otif").alias("otif_pct"),
-        round_half_away(F.avg(F.when(~F.col("is_on_time"), F.col("days_late"))), 1).alias(
+    late = ~F.col("is_on_time")
+    sums = {
+        "po_lines": F.count("*"),
+        "qty_ordered": F.sum("qty_ordered"),
+        "qty_received": F.sum("qty_received"),
+        **{name: F.sum(F.col(f"is_{name}").cast("long")) for name in ("on_time", "in_full", "otif")},
+        **{f"{name}_known": F.count(f"is_{name}") for name in ("on_time", "in_full", "otif")},
+        "days_late": F.sum(F.when(late, F.col("days_late"))),
+        "late_lines": F.count(F.when(late, F.col("days_late"))),
+        "received_value_usd": exact_sum("received_value_usd"),
+    }
+    named = [value.alias(name) for name, value in sums.items()]
+    if components is None:
+        summed = closed.groupBy(*cell).agg(*named)
+    else:
+        by_component = closed.groupBy(*cell, "component_id").agg(*named)
+        summed = (
+            known(by_component, components, "component_id")
+            .groupBy(*cell)
+            .agg(*[F.sum(name).alias(name) for name in sums])
+        )
+    scores = summed.select(
+        *cell,
+        "po_lines",
+        "qty_ordered",
+        "qty_received",
+        *[_share(name).alias(f"{name}_pct") for name in ("on_time", "in_full", "otif")],
+        round_half_away(F.col("days_late") / F.nullifzero("late_lines"), 1).alias(
             "avg_days_late_when_late"
         ),
-        to_cents(exact_sum("received_value_usd")).alias("received_value_usd"),
+        to_cents("received_value_usd").alias("received_value_usd"),
     )
     supplier = suppliers.select(
         "supplier_id",
@@ -88,25 +109,33 @@ def price_variance(
     """Paid against standard cost, per component and received month.
 
     Standard cost belongs to the component, so the standard value needs only
-    the summed quantity and the component joins after the grouping.
+    the summed quantity and the component joins after the grouping. With
+    ``suppliers``, lines are summed per supplier before unknown ones go.
     """
     received = lines.filter((F.col("status") == "Closed") & (F.col("qty_received") > 0))
-    if suppliers is not None:
-        received = known(received, suppliers, "supplier_id")
-    bought = received.groupBy(
-        month_of("received_date").alias("received_month"), "component_id"
-    ).agg(
+    cell = [month_of("received_date").alias("received_month"), F.col("component_id")]
+    sums = [
         F.sum("qty_received").alias("qty_received"),
         exact_sum(F.col("qty_received") * F.col("unit_cost_usd")).alias("actual"),
-    )
+    ]
+    if suppliers is None:
+        bought = received.groupBy(*cell).agg(*sums)
+    else:
+        by_supplier = received.groupBy(*cell, "supplier_id").agg(*sums)
+        bought = (
+            known(by_supplier, suppliers, "supplier_id")
+            .groupBy("received_month", "component_id")
+            .agg(F.sum("qty_received").alias("qty_received"), F.sum("actual").alias("actual"))
+        )
     component = components.select(
         "component_id",
         "component_name",
         F.col("category").alias("component_category"),
-        F.col("standard_cost_usd").cast("decimal(18,6)").alias("standard_cost"),
+        # the printed digits of a cost, all of them
+        F.col("standard_cost_usd").cast("decimal(26,12)").alias("standard_cost"),
     )
     valued = bought.join(component, "component_id").withColumn(
-        "standard", F.col("qty_received") * F.col("standard_cost")
+        "standard", F.col("qty_received").cast("decimal(12,0)") * F.col("standard_cost")
     )
     variance = F.col("actual") - F.col("standard")
     return valued.select(

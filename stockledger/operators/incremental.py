@@ -14,14 +14,28 @@ def incremental_append(
     """Source rows that the target does not hold yet.
 
     Rows dated before the target's newest date, less a lookback for late
-    postings, are skipped; the bound is one scalar subquery, so both scans push
-    it down to their files. Inside the overlap rows are told apart by key. An
+    postings, are skipped (``skipped_rows`` tells which); the bound is one
+    scalar subquery, so both scans push it down to their files. Inside the
+    overlap, and among rows without a date, rows are told apart by key. An
     empty target takes everything.
     """
+    recent = F.col(cursor).isNull() | (F.col(cursor) >= _bound(target, cursor, lookback_days))
+    held = target.filter(recent).select(key)
+    return source.filter(recent).join(held, key, "left_anti")
+
+
+def skipped_rows(
+    target: DataFrame, source: DataFrame, key: str, cursor: str, lookback_days: int = 0
+) -> DataFrame:
+    """Source rows behind the bound of ``incremental_append`` that the target lacks: late postings."""
+    late = F.col(cursor) < _bound(target, cursor, lookback_days)
+    held = target.filter(late).select(key)
+    return source.filter(late).join(held, key, "left_anti")
+
+
+def _bound(target: DataFrame, cursor: str, lookback_days: int) -> Column:
     newest = F.date_sub(F.max(cursor), lookback_days)
-    since = target.agg(F.coalesce(newest, F.lit("0001-01-01").cast("date"))).scalar()
-    held = target.filter(F.col(cursor) >= since).select(key)
-    return source.filter(F.col(cursor) >= since).join(held, key, "left_anti")
+    return target.agg(F.coalesce(newest, F.lit("0001-01-01").cast("date"))).scalar()
 
 
 def date_dim(days: DataFrame, start: str, end: str) -> DataFrame:
@@ -134,12 +148,16 @@ def apply_changes(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
 def backfill(df: DataFrame, path: str, month_column: str, months: Sequence[str] | None) -> None:
     """Write a month-partitioned table, or replace chosen months of it.
 
-    Only the partitions of the chosen months are overwritten. The rebalance
+    Only the partitions of the chosen months are overwritten; each is emptied
+    first, so a month that has no rows any more ends up empty. The rebalance
     hint gathers a month's rows into few files and lets adaptive execution
     split a month that is larger than the rest.
     """
     if months is not None:
         df = df.filter(F.col(month_column).isin([F.lit(m).cast("date") for m in months]))
+        nothing = df.sparkSession.createDataFrame([], df.drop(month_column).schema)
+        for month in months:
+            nothing.write.mode("overwrite").parquet(f"{path}/{month_column}={month}")
     (
         df.hint("rebalance", F.col(month_column))
         .write.mode("overwrite")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -18,7 +19,7 @@ from stockledger.functions import (
     seasonal,
     to_cents,
 )
-from stockledger.operators.supply import MONTHLY, _date
+from stockledger.operators.supply import MONTHLY, _date, sequence_id
 
 
 @dataclass(frozen=True)
@@ -120,7 +121,7 @@ def post_capitalization(
 def depreciation_schedule(
     assets: DataFrame,
     window_end: Column | str,
-    cap_at_life: bool = True,
+    cap_at_life: bool = False,
     asset: str = "rack_id",
     installed: str = "installed_date",
     cost: str = "capex_usd",
@@ -149,7 +150,7 @@ def depreciation_totals(
     assets: DataFrame,
     by: Sequence[str],
     window_end: Column | str,
-    cap_at_life: bool = True,
+    cap_at_life: bool = False,
     installed: str = "installed_date",
     cost: str = "capex_usd",
     life: str = "useful_life_months",
@@ -318,12 +319,16 @@ def invoice_rollup(
     suppliers: DataFrame,
     line_order: Sequence[str] = ("po_line_id",),
     lag_days: int = 0,
+    id_format: str | None = None,
 ) -> DataFrame:
     """One invoice per purchase order from its closed lines.
 
     Dated ``lag_days`` after the last receipt, billed by the supplier of the
     first line, due after that supplier's terms; orders worth nothing are not
     invoiced. The lines of an order may come from several suppliers.
+    With ``id_format`` an invoice gets an ``invoice_id`` from the end of its
+    supplier's id and the number, from 0, of its order among all with closed
+    lines; orders that are not invoiced leave gaps.
     """
     first_line = F.min(F.struct(*line_order, F.col("supplier_id").alias("_supplier")))
     billed = (
@@ -336,10 +341,17 @@ def invoice_rollup(
                 "amount_usd"
             ),
         )
-        .filter(F.col("amount_usd") > 0)
     )
+    named = []
+    if id_format is not None:
+        billed = sequence_id(billed, ["po_number"], "%d", "_number", first=0)
+        supplier = F.substring(F.col("supplier_id").cast("string"), -3, 3)
+        number = F.col("_number").cast("long")
+        named = [F.format_string(id_format, supplier, number).alias("invoice_id")]
+    billed = billed.filter(F.col("amount_usd") > 0)
     terms = suppliers.select("supplier_id", "payment_terms_days")
     return billed.join(terms, "supplier_id").select(
+        *named,
         "po_number",
         "supplier_id",
         "invoice_date",
@@ -349,6 +361,26 @@ def invoice_rollup(
     )
 
 
+def assemble_journal(
+    postings: Sequence[DataFrame], order: Sequence[str] = ("posting_date", "source", "reference", "line")
+) -> DataFrame:
+    """All postings as one journal with consecutive ids.
+
+    ``postings`` come from the ``post_*`` functions and ``recurring_accruals``;
+    one without line numbers has one line for each reference, date and account.
+    """
+    columns = ["posting_date", "account_id", "cost_center_id", "amount_usd", "source", "reference", "memo"]
+    lines = [
+        (part if "line" in part.columns else part.withColumn("line", F.lit(1))).select(
+            *[F.col(name).cast("string").alias(name) if name == "reference" else name for name in columns], "line"
+        )
+        for part in postings
+    ]
+    journal = reduce(DataFrame.unionByName, lines)
+    ids = sequence_id(journal, [*order, "account_id", "cost_center_id"], fixed.JOURNAL_ID, "journal_id")
+    return ids.select("journal_id", *columns)
+
+
 def tie_out(
     source: DataFrame, journal: DataFrame, reference: str, amount: str, account: str
 ) -> DataFrame:

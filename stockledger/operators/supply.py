@@ -85,12 +85,14 @@ def explode_bom(
 
     Per-unit quantities times units per rack, plus the parts every rack has
     and those only racks of some family have. A part that a rack gets as
-    infrastructure takes that quantity instead of the one in ``bom``.
+    infrastructure takes that quantity instead of the one in ``bom``, where rows
+    of one part are added up first.
     """
-    parts = bom.join(skus.select("sku_id", "units_per_rack"), "sku_id").select(
-        "sku_id",
-        "component_id",
-        (F.col("qty_per_unit") * F.col("units_per_rack")).cast("long").alias("qty_per_rack"),
+    per_rack = (F.col("qty_per_unit") * F.col("units_per_rack")).cast("long")
+    parts = (
+        bom.join(skus.select("sku_id", "units_per_rack"), "sku_id")
+        .groupBy("sku_id", "component_id")
+        .agg(F.sum(per_rack).alias("qty_per_rack"))
     )
     # (family or any, component, quantity, precedence)
     fixed = [(None, part, qty, 1) for part, qty in (infra or {}).items()]
@@ -291,23 +293,53 @@ def clamped_balance(
     order: str,
     delta: str,
     opening: Column | float = 0,
+    months: tuple[Column | str, Column | str] | None = None,
+    stock: DataFrame | None = None,
 ) -> DataFrame:
     """Running balance that never falls below zero at any step.
 
     With running total S (opening included), the floored balance is
     S - min(0, lowest S so far). Moves are summed per key and step first, so a
     window holds one row per step and a busy key is already small there.
+
+    With ``months`` (first and last), ``order`` is a month and every key gets
+    all of them; moves outside are left out. ``stock`` gives keys with their
+    own ``opening``; keys of it that never move are in the result too.
     """
     opening = opening if isinstance(opening, Column) else F.lit(opening)
-    steps = moves.groupBy(*keys, order).agg(
-        F.sum(delta).alias("delta"), F.max(opening).alias("opening")
+    steps = moves.select(*keys, order, F.col(delta).alias("delta"), opening.alias("opening"))
+    if months is not None:
+        first, last = (month_of(_date(month)) for month in months)
+        steps = steps.filter(F.col(order).between(first, last))
+        begin = steps.select(*keys, first.alias(order), F.lit(0).alias("delta"), "opening")
+        steps = steps.unionByName(begin.groupBy(*keys, order, "delta").agg(F.max("opening").alias("opening")))
+        if stock is not None:
+            held = stock.select(*keys, first.alias(order), F.lit(0).alias("delta"), "opening")
+            steps = steps.withColumn("opening", F.lit(None)).unionByName(held)
+    elif stock is not None:
+        raise ValueError("opening stock needs the months to show it in")
+    steps = steps.groupBy(*keys, order).agg(
+        F.sum("delta").alias("delta"), F.coalesce(F.max("opening"), F.lit(0)).alias("opening")
     )
     so_far = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
     total = F.first("opening").over(so_far) + F.sum("delta").over(so_far)
+    balances = steps.withColumn("total", total).withColumn(
+        "balance", F.col("total") - F.least(F.lit(0), F.min("total").over(so_far))
+    )
+    if months is None:
+        return balances.select(*keys, order, "delta", "balance")
+    # a balance holds until the month before the next move
+    next_move = F.lead(order).over(W.partitionBy(*keys).orderBy(order))
+    until = F.coalesce(F.add_months(next_move, -1), month_of(_date(months[1])))
     return (
-        steps.withColumn("total", total)
-        .withColumn("balance", F.col("total") - F.least(F.lit(0), F.min("total").over(so_far)))
-        .select(*keys, order, "delta", "balance")
+        balances.withColumn("until", until)
+        .select(
+            *keys,
+            F.posexplode(F.sequence(order, "until", F.expr(MONTHLY))).alias("later", order),
+            "delta",
+            "balance",
+        )
+        .select(*keys, order, F.when(F.col("later") == 0, F.col("delta")).otherwise(0).alias("delta"), "balance")
     )
 
 
@@ -322,22 +354,19 @@ def open_balance(
 ) -> DataFrame:
     """Quantity opened in or before each month and closed later or never.
 
-    Each item adds its quantity in the month it opens and takes it back in the
+    An item that was never opened does not count, nor does one that was closed
+    in the month it was opened or before. Each item adds its quantity in the month it opens and takes it back in the
     month it closes; the balance is the running total. What happened before
     the first month is folded into it. Every key gets every month.
     """
     first, last = month_of(_date(start)), month_of(_date(end))
+    # greatest skips nulls, so an item never opened or never closed is kept out by hand
+    opens = F.when(F.col(opened).isNotNull(), F.greatest(first, month_of(opened)))
+    closes = F.when(F.col(closed).isNotNull() & opens.isNotNull(), F.greatest(opens, month_of(closed)))
     change = F.array(
         F.struct(first.alias("month"), F.lit(0).cast("long").alias("change")),
-        F.struct(
-            F.greatest(first, month_of(opened)).alias("month"),
-            F.col(quantity).cast("long").alias("change"),
-        ),
-        F.struct(
-            # greatest skips nulls, so an item never closed is kept out by hand
-            F.when(F.col(closed).isNotNull(), F.greatest(first, month_of(closed))).alias("month"),
-            (-F.col(quantity)).cast("long").alias("change"),
-        ),
+        F.struct(opens.alias("month"), F.col(quantity).cast("long").alias("change")),
+        F.struct(closes.alias("month"), (-F.col(quantity)).cast("long").alias("change")),
     )
     changes = (
         items.select(*keys, F.explode(change).alias("entry"))

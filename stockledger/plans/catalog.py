@@ -145,16 +145,54 @@ def limit_rows(t: Trial) -> DataFrame:
     ).limit(100)
 
 
+@query
+def read_limit(t: Trial) -> DataFrame:
+    """How many rows a read with a cap of a hundred gives."""
+    capped = lake.read_table(t.spark, t.folder, "orders", layout=LAYOUT, limit=100)
+    return capped.agg(F.count("*").alias("row_count"))
+
+
+@query
+def drop_private(t: Trial) -> DataFrame:
+    marked = t.table("customer").withColumns({"_loaded": F.lit(1), "_file": F.lit("a")})
+    return lake.drop_private(marked, ["c_acctbal"])
+
+
+@query
+def load_mixed_files(t: Trial) -> DataFrame:
+    """Files of one folder that differ in their columns, whichever of them comes first."""
+    orders = t.table("orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    is_open = F.col("o_orderstatus") == "O"
+    root = settings.scratch(t.spark, "mixed")
+    orders.filter(is_open).write.parquet(root)
+    orders.filter(~is_open).drop("o_orderpriority").write.mode("append").parquet(root)
+    return lake.load_by_name(t.spark, [root], orders.schema)
+
+
+@query
+def land_files(t: Trial) -> DataFrame:
+    """Orders by status in three files, of which one is landed again."""
+    root = settings.scratch(t.spark, "landed")
+    orders = t.table("orders")
+    status = F.col("o_orderstatus")
+    for key in ("F", "O", "P"):
+        orders.filter(status == key).write.parquet(f"{root}/raw/{key}")
+    lake.land_files(t.spark, {key: f"{root}/raw/{key}" for key in ("F", "O", "P")}, root, "orders")
+    orders.filter((status == "F") & (F.col("o_orderpriority") == "5-LOW")).write.parquet(f"{root}/again")
+    return lake.drop_private(lake.land_files(t.spark, {"F": f"{root}/again"}, root, "orders"))
+
+
 @query
 def adhoc_sql(t: Trial) -> DataFrame:
-    lake.register_views({"fct_supplier_otif": supplier_scorecard(t)})
+    # a name of its own: the session may have a view of the fact
+    lake.register_views({"_adhoc_supplier_otif": supplier_scorecard(t)})
     return t.spark.sql(
         """
         select supplier_name,
                count(*) as months,
                floor(cast(sum(cast(otif_pct as decimal(9, 1))) as double) / count(*) * 10 + 0.5)
                    / 10 as otif_pct
-        from fct_supplier_otif
+        from _adhoc_supplier_otif
         group by supplier_name
         order by otif_pct
         """
@@ -298,6 +336,43 @@ def open_balance(t: Trial) -> DataFrame:
     )
 
 
+@query
+def open_balance_edges(t: Trial) -> DataFrame:
+    """Items that were never opened, and items that were closed before they were opened."""
+    number = F.col("line_number")
+    items = t.purchase_orders().withColumns(
+        {
+            "opened": F.when(number != 3, F.col("order_date")),
+            "closed": F.when(number == 2, F.date_sub("order_date", 40)).otherwise(F.col("received_date")),
+        }
+    )
+    return supply.open_balance(
+        items, ["supplier_id"], "opened", "closed", "qty_ordered", "1996-04-01", WINDOW_END
+    )
+
+
+@query
+def balance_grid(t: Trial) -> DataFrame:
+    """Every month of every supplier, also of those whose stock never moves."""
+    moves = F.array(
+        F.struct(month_of("received_date").alias("month"), F.col("qty_received").alias("delta")),
+        F.struct(month_of("promised_date").alias("month"), (-F.col("qty_ordered")).alias("delta")),
+    )
+    moving = t.purchase_orders().filter(F.col("supplier_id") % 2 == 0)
+    delta = moving.select("supplier_id", F.inline(moves)).filter(F.col("month").isNotNull())
+    stock = t.suppliers().select("supplier_id", (F.col("payment_terms_days") * 10).alias("opening"))
+    return supply.clamped_balance(
+        delta, ["supplier_id"], "month", "delta", months=("1996-01-01", "1997-12-31"), stock=stock
+    )
+
+
+@query
+def bom_repeated(t: Trial) -> DataFrame:
+    """Bills of material that name each part in two rows."""
+    twice = t.bom().unionByName(t.bom())
+    return supply.explode_bom(twice, t.skus(), INFRA, FAMILY_INFRA)
+
+
 @query
 def sequence_id(t: Trial) -> DataFrame:
     orders = t.table("orders").select(
@@ -320,16 +395,39 @@ def map_override(t: Trial) -> DataFrame:
 
 @query
 def depreciation_schedule(t: Trial) -> DataFrame:
-    return ledger.depreciation_schedule(t.racks(), WINDOW_END).select(
+    return ledger.depreciation_schedule(t.racks(), WINDOW_END, cap_at_life=True).select(
         "rack_id", "posting_date", "depreciation_usd"
     )
 
 
 @query
 def depreciation_totals(t: Trial) -> DataFrame:
+    return ledger.depreciation_totals(
+        t.racks(), ["region_code", "sku_family"], WINDOW_END, cap_at_life=True
+    )
+
+
+@query
+def depreciation_to_window(t: Trial) -> DataFrame:
+    """Depreciation up to the window's end, whatever an asset's life."""
     return ledger.depreciation_totals(t.racks(), ["region_code", "sku_family"], WINDOW_END)
 
 
+@query
+def schedule_to_window(t: Trial) -> DataFrame:
+    return ledger.depreciation_schedule(t.racks(), WINDOW_END).select(
+        "rack_id", "posting_date", "depreciation_usd"
+    )
+
+
+@query
+def invoice_ids(t: Trial) -> DataFrame:
+    invoices = ledger.invoice_rollup(
+        t.purchase_orders(), t.suppliers(), ["line_number", "po_line_id"], 3, fixed.INVOICE_ID
+    )
+    return invoices.select("invoice_id", "po_number", "supplier_id", "amount_usd")
+
+
 @query
 def invoice_rollup(t: Trial) -> DataFrame:
     return ledger.invoice_rollup(
@@ -350,13 +448,28 @@ def post_capitalization(t: Trial) -> DataFrame:
 @query
 def post_depreciation(t: Trial) -> DataFrame:
     """Depreciation postings, summed to what a trial balance shows."""
-    schedule = ledger.depreciation_schedule(t.racks(), WINDOW_END)
+    schedule = ledger.depreciation_schedule(t.racks(), WINDOW_END, cap_at_life=True)
     postings = ledger.post_depreciation(schedule, t.region_centers())
     return postings.groupBy("posting_date", "account_id", "cost_center_id", "source").agg(
         F.count("*").alias("lines"), to_cents(exact_sum("amount_usd")).alias("amount_usd")
     )
 
 
+@query
+def post_depreciation_lines(t: Trial) -> DataFrame:
+    """The postings of one year, line by line."""
+    schedule = ledger.depreciation_schedule(t.racks(), WINDOW_END, cap_at_life=True)
+    return ledger.post_depreciation(schedule, t.region_centers()).filter(
+        F.year("posting_date") == 1999
+    )
+
+
+@query
+def assemble_journal(t: Trial) -> DataFrame:
+    """Receipts, capitalised racks and write-downs as one numbered journal."""
+    return ledger.assemble_journal([post_receipts(t), post_capitalization(t), post_writedowns(t)])
+
+
 @query
 def post_writedowns(t: Trial) -> DataFrame:
     returned = t.table("lineitem").filter(F.col("l_returnflag") == "R")
@@ -375,6 +488,13 @@ def recurring_accruals(t: Trial) -> DataFrame:
     )
 
 
+@query
+def global_accruals(t: Trial) -> DataFrame:
+    """Flat run rates of every centre, without growth, season or weight."""
+    spine = supply.month_spine(t.weighted_centers(), WINDOW_START, WINDOW_END)
+    return ledger.recurring_accruals(spine, fixed.GLOBAL_RUN_RATE)
+
+
 @query
 def opex_by_month(t: Trial) -> DataFrame:
     return ledger.opex_by_month(t.journal())
@@ -396,9 +516,60 @@ def tie_out(t: Trial) -> DataFrame:
     return ledger.tie_out(owed, journal, "po_line_id", "owed_usd", "2100")
 
 
+@query
+def tie_out_breaks(t: Trial) -> DataFrame:
+    """A journal that lacks some lines' payables and has others' twice."""
+    lines = t.purchase_orders()
+    posted = ledger.post_receipts(lines, t.components())
+    order = F.split_part(F.col("reference"), F.lit("-"), F.lit(1)).cast("long")
+    journal = posted.filter(order % 7 != 0).unionByName(posted.filter(order % 11 == 0))
+    owed = lines.filter(F.col("status") == "Closed").select(
+        "po_line_id", (-F.col("qty_received") * F.col("unit_cost_usd")).alias("owed_usd")
+    )
+    return ledger.tie_out(owed, journal, "po_line_id", "owed_usd", "2100").filter(
+        F.abs("difference_usd") > 0.005
+    )
+
+
 # --- incremental loads, history, change sets --------------------------------
 
 
+def _gappy_journal(t: Trial) -> tuple[DataFrame, DataFrame]:
+    """A journal whose fifth lines have no date, and what is loaded of it."""
+    journal = t.journal().select("journal_id", "posting_date", "amount_usd", "memo")
+    undated = F.col("memo") == "line 5"
+    journal = journal.withColumn("posting_date", F.when(~undated, F.col("posting_date")))
+    loaded = journal.filter(
+        (F.col("posting_date") <= F.lit("1999-12-31").cast("date")) & (F.col("memo") != "line 7")
+    )
+    return loaded, journal
+
+
+@query
+def append_undated(t: Trial) -> DataFrame:
+    """Rows without a date are loaded once, whatever the bound."""
+    loaded, journal = _gappy_journal(t)
+    return incremental.incremental_append(loaded, journal, "journal_id", "posting_date")
+
+
+@query
+def append_skipped(t: Trial) -> DataFrame:
+    """What the bound leaves behind."""
+    loaded, journal = _gappy_journal(t)
+    return incremental.skipped_rows(loaded, journal, "journal_id", "posting_date")
+
+
+@query
+def backfill_emptied(t: Trial) -> DataFrame:
+    """Three months of the capex fact again, of which one has no rows any more."""
+    facts = capex_by_region(t)
+    path = settings.scratch(t.spark, "partitions")
+    incremental.backfill(facts, path, "in_service_month", None)
+    left = facts.filter(F.col("in_service_month") != F.lit(BACKFILL_MONTHS[1]).cast("date"))
+    incremental.backfill(left, path, "in_service_month", BACKFILL_MONTHS)
+    return t.spark.read.parquet(path).select(facts.columns)
+
+
 @query
 def incremental_append(t: Trial) -> DataFrame:
     """Journal up to the end of 1999 is loaded, but for the seventh lines."""

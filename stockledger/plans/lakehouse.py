@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stockledger import settings
 from stockledger.fixed_values import BRONZE, GOLD, GOLD_DATES, SILVER
@@ -68,6 +69,22 @@ class Model:
 
     reads: tuple[str, ...]
     build: Callable[..., DataFrame]
+    # raw tables with the date column that places their rows in a fact's months,
+    # and how many months before those the fact looks back
+    dated: tuple[tuple[str, str, int], ...] = ()
+
+    def within(self, raw: Mapping[str, DataFrame], dates: Sequence[str]) -> dict[str, DataFrame]:
+        """The raw tables without rows that no fact of these dates needs.
+
+        The range is on the raw column, so it reaches the files.
+        """
+        first, last = F.lit(min(dates)).cast("date"), F.last_day(F.lit(max(dates)).cast("date"))
+        kept = dict(raw)
+        for name, column, back in self.dated:
+            begin = F.add_months(F.trunc(first, "month"), -back)
+            begin, end = begin.cast(kept[name].schema[column].dataType), last.cast(kept[name].schema[column].dataType)
+            kept[name] = kept[name].filter(F.col(column).between(begin, end))
+        return kept
 
     def over(self, raw: Mapping[str, DataFrame]) -> DataFrame:
         return self.build(*[raw[name] for name in self.reads])
@@ -108,12 +125,20 @@ SILVER_MODELS = {
     "stg_rack_deployments": Model(("rack_deployments", "regions"), silver.enrich_racks),
 }
 GOLD_MODELS = {
-    "fct_supplier_otif": Model(("purchase_orders", "suppliers", "components"), _scorecard),
+    "fct_supplier_otif": Model(
+        ("purchase_orders", "suppliers", "components"),
+        _scorecard,
+        (("purchase_orders", "promised_date", 0),),
+    ),
     "fct_purchase_price_variance": Model(
-        ("purchase_orders", "components", "suppliers"), gold.price_variance
+        ("purchase_orders", "components", "suppliers"),
+        gold.price_variance,
+        (("purchase_orders", "received_date", 0),),
     ),
     "fct_capacity_plan_vs_actual": Model(
-        ("capacity_forecast", "rack_deployments", "regions"), _plan
+        ("capacity_forecast", "rack_deployments", "regions"),
+        _plan,
+        (("capacity_forecast", "forecast_month", 0), ("rack_deployments", "requested_date", 0)),
     ),
     "fct_inventory_days_of_supply": Model(
         (
@@ -126,9 +151,13 @@ GOLD_MODELS = {
         ),
         _supply,
     ),
-    "fct_capex_by_region": Model(("rack_deployments", "regions"), _capex),
+    "fct_capex_by_region": Model(
+        ("rack_deployments", "regions"), _capex, (("rack_deployments", "installed_date", 0),)
+    ),
     "fct_budget_vs_actual": Model(
-        ("gl_journal", "budget", "gl_accounts", "cost_centers"), gold.budget_vs_actual
+        ("gl_journal", "budget", "gl_accounts", "cost_centers"),
+        gold.budget_vs_actual,
+        (("gl_journal", "posting_date", 0), ("budget", "fiscal_month", 0)),
     ),
     "fct_ap_aging": Model(("supplier_invoices", "suppliers"), gold.aging),
 }
@@ -150,9 +179,12 @@ def append_journal(spark: SparkSession, root: str, lookback_days: int = 0) -> No
     """Add to the silver journal what the raw journal holds beyond it.
 
     The first run takes everything. Rows posted up to ``lookback_days`` before
-    the newest loaded date still count as new when their id is unknown.
+    the newest loaded date still count as new when their id is unknown. Rows
+    whose account or cost centre is unknown so far wait in a table of their
+    own and are tried again each time.
     """
     model = SILVER_MODELS["stg_gl_journal"]
+    settings.tune(spark, f"{root.rstrip('/')}/bronze/gl_journal")
     raw = bronze_tables(spark, root, model.reads)
     try:
         loaded = table(spark, root, "stg_gl_journal")
@@ -163,8 +195,24 @@ def append_journal(spark: SparkSession, root: str, lookback_days: int = 0) -> No
         raw["gl_journal"] = incremental.incremental_append(
             loaded, raw["gl_journal"], "journal_id", "posting_date", lookback_days
         )
-    path = lake.table_path(root, "silver", "stg_gl_journal")
-    model.over(raw).write.mode("append").parquet(path)
+    waiting = lake.table_path(root, "silver", "stg_gl_journal_waiting")
+    try:
+        held = spark.read.parquet(waiting)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        known = raw["gl_journal"].join(held, "journal_id", "left_anti")
+        raw["gl_journal"] = known.unionByName(held.select(known.columns))
+    # both results come from one copy of the new rows, since they change what made them
+    copy = settings.scratch(spark, "journal")
+    raw["gl_journal"].write.parquet(copy)
+    raw["gl_journal"] = spark.read.schema(raw["gl_journal"].schema).parquet(copy)
+    joined = model.over(raw)
+    rest = settings.scratch(spark, "journal-waiting")
+    raw["gl_journal"].join(joined, "journal_id", "left_anti").write.parquet(rest)
+    joined.write.mode("append").parquet(lake.table_path(root, "silver", "stg_gl_journal"))
+    spark.read.schema(raw["gl_journal"].schema).parquet(rest).write.mode("overwrite").parquet(waiting)
 
 
 def backfill_gold(
@@ -172,11 +220,18 @@ def backfill_gold(
 ) -> None:
     """Write a fact partitioned by its date, or replace some of its dates.
 
-    The filter on the date is a filter on a grouping key, so Spark moves it
-    below the aggregation and reads only the rows of those dates.
+    Raw tables are read in the range of the dates. The stock fact averages a
+    key's last snapshot rows, however old they are, so it reads all of them. The
+    aging is a snapshot of one day and has no dates.
     """
+    if name not in GOLD_DATES:
+        raise ValueError(f"{name} is a snapshot: build it whole")
     model = GOLD_MODELS[name]
-    facts = model.over(bronze_tables(spark, root, model.reads))
+    settings.tune(spark, *[lake.table_path(root, "bronze", raw) for raw in model.reads])
+    raw = bronze_tables(spark, root, model.reads)
+    if dates:
+        raw = model.within(raw, dates)
+    facts = model.over(raw)
     path = lake.table_path(root, "gold", name)
     incremental.backfill(facts, path, GOLD_DATES[name], dates)
 

@@ -410,6 +410,14 @@ _define(
                       if(o_orderstatus = 'O', o_orderpriority, null) as o_orderpriority)
     from orders""",
 )
+_define("load_mixed_files", "", STATEMENTS["load_by_name"])
+_define("read_limit", "", "select least(count(*), 100) as row_count from orders")
+_define("drop_private", "", "select * exclude (c_acctbal) from customer")
+_define(
+    "land_files",
+    "",
+    "select * from orders where o_orderstatus <> 'F' or o_orderpriority = '5-LOW'",
+)
 _define(
     "limit_rows",
     "",
@@ -479,7 +487,9 @@ _define(
            (select count(*) from scorecard where avg_days_late_when_late is null)
     union all select 'scorecard', 'range(otif_pct)',
            (select count(*) from scorecard where otif_pct not between 0 and 100)
-    union all select 'scorecard', 'unique(promised_month, supplier_id)', 0""",
+    union all select 'scorecard', 'unique(promised_month, supplier_id)',
+           (select count(*) from (select 1 from scorecard
+                                  group by promised_month, supplier_id having count(*) > 1))""",
 )
 
 # --- months, bills of material, prices, balances ----------------------------
@@ -598,6 +608,62 @@ _define(
     where month >= date '1996-04-01'
     group by all""",
 )
+_define(
+    "open_balance_edges",
+    "purchase_orders months",
+    """
+    with items as (
+        select supplier_id, qty_ordered,
+               date_trunc('month', case when line_number <> 3 then order_date end) as opened,
+               date_trunc('month', case when line_number = 2 then order_date - 40
+                                        else received_date end) as closed
+        from purchase_orders)
+    select supplier_id, month,
+           coalesce(sum(qty_ordered) filter (
+               where opened <= month and (closed is null or greatest(opened, closed) > month)),
+               0)::bigint as open_qty
+    from items, months
+    where month >= date '1996-04-01'
+    group by all""",
+)
+_define(
+    "balance_grid",
+    "purchase_orders suppliers months",
+    """
+    with moves as (
+        select supplier_id, date_trunc('month', day)::date as month, sum(qty)::bigint as delta
+        from (select supplier_id, received_date as day, qty_received as qty
+              from purchase_orders where received_date is not null
+              union all
+              select supplier_id, promised_date, -qty_ordered from purchase_orders)
+        where supplier_id % 2 = 0
+        group by all),
+    grid as (
+        select supplier_id, month, coalesce(delta, 0)::bigint as delta,
+               payment_terms_days * 10 + sum(coalesce(delta, 0)) over so_far as total
+        from suppliers join months on month between date '1996-01-01' and date '1997-12-01'
+             left join moves using (supplier_id, month)
+        window so_far as (partition by supplier_id order by month))
+    select supplier_id, month, delta,
+           (total - least(0, min(total) over (partition by supplier_id order by month)))::bigint
+               as balance
+    from grid""",
+)
+_define(
+    "bom_repeated",
+    "bom skus",
+    """
+    with parts as (
+        select sku_id, component_id, sum(2 * qty * units)::bigint as qty_per_rack
+        from bom join skus using (sku_id) group by all),
+    fixed as (
+        select sku_id, component_id, qty
+        from skus, (values ('Brand#1', 1), ('Brand#2', 64), ('FRAME', 2)) as f(component_id, qty)
+        union all
+        select sku_id, 'Brand#3', 1 from skus where sku_family = 'E')
+    select sku_id, component_id, coalesce(f.qty, p.qty_per_rack)::bigint as qty_per_rack
+    from parts p full join fixed f using (sku_id, component_id)""",
+)
 _define(
     "sequence_id",
     "",
@@ -628,9 +694,45 @@ _define(
     "schedule",
     """
     select region_code, sku_family, posting_date, count(*) as assets,
-           round(sum(depreciation_usd::decimal(18, 6)), 2)::double as depreciation_usd
+           round(round(sum(depreciation_usd::decimal(28, 12)), 8), 2)::double as depreciation_usd
     from schedule group by all""",
 )
+_define(
+    "schedule_to_window",
+    "racks months",
+    """
+    select rack_id, last_day(month) as posting_date,
+           capex_usd / useful_life_months as depreciation_usd
+    from racks join months on month > date_trunc('month', installed_date)""",
+)
+_define(
+    "depreciation_to_window",
+    "racks months",
+    """
+    select region_code, sku_family, last_day(month) as posting_date, count(*) as assets,
+           round(round(sum((capex_usd / useful_life_months)::decimal(28, 12)), 8), 2)::double
+               as depreciation_usd
+    from racks join months on month > date_trunc('month', installed_date)
+    group by all""",
+)
+_define(
+    "invoice_ids",
+    "purchase_orders suppliers",
+    """
+    with closed as (
+        select *, row_number() over (partition by po_number
+                                     order by line_number, po_line_id) as n
+        from purchase_orders where status = 'Closed'),
+    billed as (
+        select po_number, max(supplier_id) filter (where n = 1) as supplier_id,
+               round(sum((qty_received * unit_cost_usd)::decimal(18, 6)), 2)::double as amount_usd,
+               row_number() over (order by po_number) - 1 as number
+        from closed group by po_number)
+    select 'INV-' || right(supplier_id::varchar, 3) || '-' || lpad(number::varchar, 6, '0')
+               as invoice_id, po_number, supplier_id, amount_usd
+    from billed join suppliers using (supplier_id)
+    where amount_usd > 0""",
+)
 _define(
     "invoice_rollup",
     "purchase_orders suppliers",
@@ -673,6 +775,46 @@ _define(
     from schedule, (values ('5100', 1), ('1590', -1)) as sides(account_id, side)
     group by all""",
 )
+_define(
+    "post_depreciation_lines",
+    "schedule",
+    """
+    select posting_date, rack_id as reference, 'Depreciation' as source, line,
+           if(line = 1, '5100', '1590') as account_id,
+           'CC-' || lpad(region_code::varchar, 2, '0') as cost_center_id,
+           if(line = 1, 1, -1) * round(depreciation_usd, 2) as amount_usd,
+           'Straight-line' as memo
+    from schedule, (select unnest([1, 2]) as line)
+    where year(posting_date) = 1999""",
+)
+_define(
+    "assemble_journal",
+    "receipt_lines racks",
+    """
+    with loss as (
+        select date_trunc('month', l_shipdate)::date as month,
+               round(sum((l_extendedprice * l_discount)::decimal(18, 6)), 2)::double as amount
+        from lineitem where l_returnflag = 'R' group by all),
+    lines as (
+        select posting_date, account_id, cost_center_id, amount_usd, source,
+               reference::varchar as reference, memo, line
+        from receipt_lines
+        union all
+        select installed_date, if(line = 1, '1500', '1400'),
+               if(line = 1, 'CC-' || lpad(region_code::varchar, 2, '0'), 'CC-1100'),
+               if(line = 1, 1, -1) * round(capex_usd, 2), 'Capitalization', rack_id::varchar,
+               if(line = 1, 'Rack in service ' || sku_id, 'Inventory relief'), line
+        from racks, (select unnest([1, 2]) as line) where installed_date is not null
+        union all
+        select last_day(month), if(line = 1, '5700', '1400'), 'CC-1100',
+               if(line = 1, amount, -amount), 'Adjustment', 'EO-' || strftime(month, '%Y-%m'),
+               'Excess & obsolete reserve', line
+        from loss, (select unnest([1, 2]) as line) where date_part('month', month) % 3 = 0)
+    select 'JE-' || lpad((row_number() over (order by posting_date, source, reference, line,
+                              account_id, cost_center_id))::varchar, 8, '0') as journal_id,
+           * exclude (line)
+    from lines""",
+)
 _define(
     "post_writedowns",
     "",
@@ -705,6 +847,17 @@ _define(
                  ('5400', 1600000.0::double), ('5500', 900000.0::double),
                  ('5800', 180000.0::double)) as rates(account_id, base)""",
 )
+_define(
+    "global_accruals",
+    "months",
+    """
+    select last_day(month) as posting_date, account_id, s_suppkey as cost_center_id,
+           base as amount_usd, source, s_suppkey || '-' || strftime(month, '%Y-%m') as reference, memo
+    from supplier, months,
+         (values ('5400', 420000.0::double, 'Payroll', 'Salaries & benefits'),
+                 ('5800', 35000.0::double, 'Accrual', 'Consulting / services'))
+             as rates(account_id, base, source, memo)""",
+)
 _define("opex_by_month", "opex", "select * from opex")
 _define(
     "derive_budget",
@@ -732,8 +885,52 @@ _define(
     from owed full join posted using (reference)""",
 )
 
+_define(
+    "tie_out_breaks",
+    "purchase_orders receipt_lines",
+    """
+    with owed as (
+        select po_line_id as reference,
+               sum((-qty_received * unit_cost_usd)::decimal(18, 6)) as expected
+        from purchase_orders where status = 'Closed' group by all),
+    posted as (
+        select reference,
+               sum(((split_part(reference, '-', 1)::bigint % 7 <> 0)::int
+                    + (split_part(reference, '-', 1)::bigint % 11 = 0)::int)
+                   * amount_usd::decimal(18, 6)) as posted
+        from receipt_lines where account_id = '2100' group by all),
+    ties as (
+        select reference, round(coalesce(expected, 0), 2)::double as expected_usd,
+               round(coalesce(posted, 0), 2)::double as posted_usd,
+               round(coalesce(expected, 0) - coalesce(posted, 0), 2)::double as difference_usd
+        from owed full join posted using (reference))
+    select * from ties where abs(difference_usd) > 0.005""",
+)
+
 # --- incremental loads, history, change sets --------------------------------
 
+_GAPPY = """
+    with gappy as (
+        select journal_id, if(memo = 'line 5', null, posting_date) as posting_date, amount_usd, memo
+        from journal),
+    loaded as (
+        select * from gappy where posting_date <= date '1999-12-31' and memo <> 'line 7')
+    select * from gappy
+    where journal_id not in (select journal_id from loaded) and """
+_define(
+    "append_undated",
+    "journal",
+    _GAPPY + "(posting_date is null or posting_date >= (select max(posting_date) from loaded))",
+)
+_define(
+    "append_skipped", "journal", _GAPPY + "posting_date < (select max(posting_date) from loaded)"
+)
+_define(
+    "backfill_emptied",
+    "capex",
+    "select * from capex where in_service_month <> date '1998-11-01'",
+)
+
 _define(
     "incremental_append",
     "journal",

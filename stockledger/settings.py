@@ -30,42 +30,44 @@ WAVES = 3
 SHUFFLE_TARGET = 256 * 1024**2
 # columns are compressed in the files and are not in the shuffle
 EXPANSION = 3
-MAX_PARTITIONS = 100_000
 
-_SIZES: dict[str, int] = {}
+# what was set here, by session: anything else in a session is the user's
+_OURS: dict[str, dict[str, str]] = {}
 
 
 def input_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes of the files under a path, from the listing alone."""
-    if path not in _SIZES:
-        files = (
-            spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        )
-        _SIZES[path] = files.agg(F.sum("length")).first()[0] or 0
-    return _SIZES[path]
+    """Bytes of the files under a path as of now, from the listing alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.sum("length")).first()[0] or 0
 
 
 def tune(spark: SparkSession, *paths: str) -> SparkSession:
-    """Apply the adaptive settings unless the job's own configuration sets them.
+    """Apply the adaptive settings where neither job nor session sets them.
 
     With the paths a job reads, shuffles are also cut for their size, so the
-    same code fits eight cores and thousands, megabytes and terabytes.
+    same code fits eight cores and thousands, megabytes and terabytes. The
+    sizes are those of the files at each call.
     """
-    given = spark.sparkContext.getConf()
     for key, value in {**BROADCAST_LIMIT, **ADAPTIVE}.items():
-        if not given.contains(key):
-            spark.conf.set(key, value)
-    if not given.contains(PARTITIONS_KEY):
-        width = max(
-            int(spark.conf.get("spark.sql.shuffle.partitions")),
-            WAVES * spark.sparkContext.defaultParallelism,
-        )
-        volume = EXPANSION * sum(input_bytes(spark, path) for path in paths)
-        width = max(width, min(-(-volume // SHUFFLE_TARGET), MAX_PARTITIONS))
-        spark.conf.set(PARTITIONS_KEY, str(width))
+        _offer(spark, key, value)
+    width = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        WAVES * spark.sparkContext.defaultParallelism,
+    )
+    volume = EXPANSION * sum(input_bytes(spark, path) for path in paths)
+    _offer(spark, PARTITIONS_KEY, str(max(width, -(-volume // SHUFFLE_TARGET))))
     return spark
 
 
+def _offer(spark: SparkSession, key: str, value: str) -> None:
+    """Set a key that is unset, or that still has what was set here before."""
+    ours = _OURS.setdefault(spark.conf.get("spark.app.id", ""), {})
+    given = spark.conf.getAll.get(key)
+    if given is None or given == ours.get(key):
+        spark.conf.set(key, value)
+        ours[key] = value
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one only in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

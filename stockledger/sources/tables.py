@@ -79,28 +79,55 @@ def land_bronze(
     """Land raw Parquet tables, or only the named ones, in the bronze layer.
 
     ``sources`` maps table names to where their files lie. A missing source
-    fails before anything is written. Landing a table again replaces it.
+    fails before anything is written. Landing a table again replaces it. Files
+    of one source may differ in their columns: the table has all of them.
     """
     names = list(sources) if tables is None else list(tables)
-    staged = {name: spark.read.parquet(sources[name]) for name in names}
+    staged = {name: read_files(spark, sources[name]) for name in names}
     for name, df in staged.items():
         write_table(df, root, "bronze", name)
     return {name: read_table(spark, root, name) for name in names}
 
 
+def read_files(spark: SparkSession, path: str) -> DataFrame:
+    """All columns of all Parquet files under a path, not only the first file's."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+def land_files(spark: SparkSession, files: Mapping[str, str], root: str, table: str) -> DataFrame:
+    """Land raw files of one table under a key each, and return the table.
+
+    A file that is landed again replaces itself; files under other keys stay.
+    The key is the column ``_file``, which ``drop_private`` takes off.
+    """
+    folder = table_path(root, "bronze", table)
+    for key, path in files.items():
+        read_files(spark, path).write.mode("overwrite").parquet(f"{folder}/_file={key}")
+    return spark.read.option("basePath", folder).option("mergeSchema", "true").parquet(f"{folder}/_file=*")
+
+
+def load_table(
+    spark: SparkSession, paths: Iterable[str], root: str, layer: str, name: str, schema: StructType | None = None
+) -> DataFrame:
+    """Replace a table by what ``load_by_name`` reads, and report its rows."""
+    write_table(load_by_name(spark, paths, schema), root, layer, name)
+    return row_counts({name: read_table(spark, root, name, layer)})
+
+
 def load_by_name(
     spark: SparkSession, paths: Iterable[str], target_schema: StructType | None = None
 ) -> DataFrame:
     """Read Parquet extracts, matching columns by name and ignoring case.
 
     Column order and spelling may differ from path to path; a column that a
-    path lacks is null there. Paths that agree are read in one scan, so the
-    plan grows with the number of layouts and not of files. With a target
-    schema the result has exactly its columns and types.
+    path lacks is null there, and files of one path may differ as paths do.
+    Paths that agree are read in one scan, so the plan grows with the number
+    of layouts and not of files. With a target schema the result has exactly
+    its columns and types.
     """
     layouts: dict[str, tuple[StructType, list[str]]] = {}
     for path in paths:
-        schema = spark.read.parquet(path).schema
+        schema = read_files(spark, path).schema
         layouts.setdefault(schema.json(), (schema, []))[1].append(path)
     parts = [
         spark.read.schema(schema).parquet(*same).toDF(*[name.lower() for name in schema.names])

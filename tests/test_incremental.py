@@ -21,6 +21,16 @@ def test_append_takes_new_and_late_rows_once(spark):
         target.limit(0), source, "journal_id", "posting_date"
     )
     assert everything.count() == 5
+    late = incremental.skipped_rows(target, source, "journal_id", "posting_date", 10)
+    assert {r.journal_id for r in late.collect()} == {"too late"}
+
+
+def test_rows_without_a_date_load_once(spark):
+    source = frame(spark, JOURNAL, [("1", day("2025-01-01"), 1.0), ("a", None, 1.0), ("b", None, 1.0)])
+    target = source.filter("journal_id <> 'b'")
+    for held, expected in ((source.limit(0), {"1", "a", "b"}), (target, {"b"}), (source, set())):
+        new = incremental.incremental_append(held, source, "journal_id", "posting_date")
+        assert {r.journal_id for r in new.collect()} == expected
 
 
 def test_append_bound_reaches_the_scan(spark, tmp_path):
@@ -100,5 +110,9 @@ def test_backfill_leaves_other_months_alone(spark, tmp_path):
     assert {str(r.month): (r.n, r.low, r.high) for r in rows.collect()} == {
         "2025-01-01": (100, 0, 297), "2025-02-01": (100, -1, -1), "2025-03-01": (100, 2, 299),
     }
+    gone = facts.filter("month <> date'2025-03-01'")
+    incremental.backfill(gone, path, "month", ["2025-03-01"])
+    assert spark.read.parquet(path).filter("month = date'2025-03-01'").count() == 0
+    assert spark.read.parquet(path).count() == 200
     pruned = spark.read.parquet(path).filter("month = date'2025-02-01'")
     assert "PartitionFilters: [isnotnull(month" in pruned._jdf.queryExecution().toString()

@@ -168,11 +168,30 @@ def test_journal_is_appended_once(spark, root, tmp_path):
         assert (loaded.count(), loaded.select("journal_id").distinct().count()) == (expected,) * 2
 
 
+def test_rows_of_unknown_accounts_wait(spark, root, tmp_path):
+    there = str(tmp_path)
+    raw = lakehouse.bronze_tables(spark, root, ["gl_accounts", "cost_centers", "gl_journal"])
+    account = raw["gl_journal"].orderBy("journal_id").first().account_id
+    lake.write_table(raw["cost_centers"], there, "bronze", "cost_centers")
+    lake.write_table(raw["gl_journal"], there, "bronze", "gl_journal")
+    known = raw["gl_accounts"].filter(F.col("account_id") != account)
+    counts = []
+    for accounts in (known, known, raw["gl_accounts"], raw["gl_accounts"]):
+        lake.write_table(accounts, there, "bronze", "gl_accounts")
+        lakehouse.append_journal(spark, there)
+        loaded = lakehouse.table(spark, there, "stg_gl_journal")
+        counts.append((loaded.count(), loaded.select("journal_id").distinct().count()))
+    whole = raw["gl_journal"].count()
+    assert counts[0] == counts[1] and counts[0][0] < whole and counts[2] == counts[3] == (whole, whole)
+
+
 def test_backfill_of_chosen_months(spark, root, tmp_path):
     copy = str(tmp_path)
     for name, df in lakehouse.bronze_tables(spark, root).items():
         lake.write_table(df, copy, "bronze", name)
     assert set(lakehouse.GOLD_MODELS) == {*fixed.GOLD_DATES, "fct_ap_aging"} == set(fixed.GOLD)
+    with pytest.raises(ValueError, match="snapshot"):
+        lakehouse.backfill_gold(spark, copy, "fct_ap_aging", ["2025-01-01"])
     for name, column in fixed.GOLD_DATES.items():
         whole = lake.read_table(spark, root, name, "gold")
         for dates in (None, [str(whole.first()[column])], ["1999-01-01"]):
@@ -200,4 +219,8 @@ def test_command_line(spark, root, tmp_path, monkeypatch, capfd):
     assert "gl_journal" in run("land", f"{root}/bronze", str(tmp_path))
     assert run("build", str(tmp_path)).count("unique(") == 8
     assert "One" in run("sql", str(tmp_path), "select supplier_name from fct_ap_aging")
+    assert run("sql", str(tmp_path), "select id from range(250)").split() == ["id", *map(str, range(250))]
+    assert len(run("sql", str(tmp_path), "select id from range(250)", "--limit", "7").split()) == 8
+    run("sql", str(tmp_path), "select id from range(250)", "--out", f"{tmp_path}/result")
+    assert spark.read.parquet(f"{tmp_path}/result").count() == 250
     assert lakehouse.table(spark, str(tmp_path), "suppliers", limit=2).count() == 2

@@ -49,7 +49,7 @@ def test_capitalization_mirrors_the_asset(spark):
 
 
 def test_schedule_starts_next_month_and_stops_at_life(spark):
-    schedule = ledger.depreciation_schedule(racks(spark), "2025-06-30")
+    schedule = ledger.depreciation_schedule(racks(spark), "2025-06-30", cap_at_life=True)
     months = {}
     for r in schedule.collect():
         months.setdefault(r.rack_id, []).append((str(r.posting_date), r.depreciation_usd))
@@ -59,7 +59,7 @@ def test_schedule_starts_next_month_and_stops_at_life(spark):
     ]
     assert sorted(months["short"]) == [("2025-03-31", 50.0), ("2025-04-30", 50.0)]
     assert set(months) == {"a", "short"}
-    uncapped = ledger.depreciation_schedule(racks(spark), "2025-06-30", cap_at_life=False)
+    uncapped = ledger.depreciation_schedule(racks(spark), "2025-06-30")
     assert uncapped.filter("rack_id = 'short'").count() == 4
 
 

@@ -64,6 +64,28 @@ def test_load_by_name_ignores_case_order_and_gaps(spark, tmp_path):
     assert shaped.count() == 2
 
 
+def test_files_of_one_folder_may_differ(spark, tmp_path):
+    for folder, names in (("narrow first", ("a", "b")), ("wide first", ("b", "a"))):
+        there = tmp_path / folder
+        there.mkdir()
+        rows = {names[0]: [(1, "x")], names[1]: [(2, "y", 0.5)]}
+        for name, some in rows.items():
+            kind = "id long, name string" + (", extra double" if len(some[0]) == 3 else "")
+            frame(spark, kind, some).toPandas().to_parquet(there / f"{name}.parquet", index=False)
+        loaded = lake.load_by_name(spark, [str(there)])
+        assert {(r.id, r.name, r.extra) for r in loaded.collect()} == {(1, "x", None), (2, "y", 0.5)}
+        landed = lake.land_bronze(spark, {"t": str(there)}, f"{tmp_path}/lake {folder}")["t"]
+        assert sorted(landed.columns) == ["extra", "id", "name"] and landed.count() == 2
+
+
+def test_load_table_replaces_and_reports(spark, tmp_path):
+    for n in (5, 3):
+        spark.range(n).write.mode("overwrite").parquet(f"{tmp_path}/raw")
+        report = lake.load_table(spark, [f"{tmp_path}/raw"], str(tmp_path), "bronze", "t")
+        assert [tuple(r) for r in report.collect()] == [("t", n)]
+    assert lake.read_table(spark, str(tmp_path), "t").count() == 3
+
+
 def test_private_columns_are_not_published(spark):
     df = frame(spark, "id long, _otp double, demand_weight double", [])
     assert lake.drop_private(df, ["demand_weight"]).columns == ["id"]

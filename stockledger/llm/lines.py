@@ -7,39 +7,37 @@ from pyspark.sql import functions as F
 
 from stockledger.llm.scratch import written
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = r"[\x20\x09-\x0D]+"
-#: Counters that the words are hashed to for their rarity: 1 MB, whatever the corpus.
-COUNTERS = 1 << 20
+#: Counters that the words are hashed to for their rarity: some 256 KB, whatever the corpus.
+COUNTERS = 1 << 18
 #: Bits of a token that hold its hash; those above hold its rarity.
 HASH_BITS = 57
-#: Rarest tokens of a line by which it is first held against the earliest line that has one of them.
-FIRST = 3
-#: Ids that may be broadcast (some 20 bytes each); more are joined by shuffles.
-BROADCAST_IDS = 500_000
+#: Lines that may be broadcast by their numbers or places (some 20 bytes each); more are joined by shuffles.
+BROADCAST_LINES = 1_000_000
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(F.translate(text, UPPER, LOWER), BLANKS), lambda w: w != "")
+    """The words of a text that has some, in lower case; none of them is empty."""
+    return F.split(F.regexp_replace(text, rf"\A{BLANKS}|{BLANKS}\z", ""), BLANKS)
 
 
 def rarity(docs: DataFrame) -> DataFrame:
-    """One row: the rarity class of each counter, a byte from 1 to 64 that grows with the logarithm of its count.
+    """One row: the rarity class of each counter, which grows with the logarithm of its count, 0 to 63.
 
     All words of all texts count. COUNTERS numbers at most reach the driver.
     """
     spark = docs.sparkSession
     counts = (
-        docs.select(F.explode(_words(F.col("text"))).alias("word"))
+        docs.select(F.explode(F.split(F.lower("text"), BLANKS)).alias("word"))
         .groupBy(F.pmod(F.xxhash64("word"), F.lit(COUNTERS)).cast("int").alias("counter"))
         .agg(F.count("*").alias("n"))
         .select("counter", F.least(F.lit(63), F.floor(F.log2("n") * 2)).cast("int").alias("class"))
         .toArrow()
     )
-    classes = bytearray(b"\x01" * COUNTERS)
+    classes = bytearray(COUNTERS)
     for counter, value in zip(counts.column("counter").to_pylist(), counts.column("class").to_pylist()):
-        classes[counter] = value + 1
-    return spark.createDataFrame([(bytes(classes),)], "classes binary")
+        classes[counter] = value
+    return spark.createDataFrame([(list(classes),)], "classes array<tinyint>")
 
 
 def _tokens(line: Column, classes: Column) -> Column:
@@ -47,39 +45,37 @@ def _tokens(line: Column, classes: Column) -> Column:
 
     def token(word: Column) -> Column:
         hashed = F.xxhash64(word)
-        place = F.pmod(hashed, F.lit(COUNTERS)).cast("int") + 1
-        rank = F.ascii(F.substring(classes, place, F.lit(1)).cast("string")) - 1
-        return F.shiftleft(rank.cast("long"), HASH_BITS).bitwiseOR(
-            hashed.bitwiseAND(F.lit((1 << HASH_BITS) - 1))
-        )
+        rank = F.get(classes, F.pmod(hashed, F.lit(COUNTERS)).cast("int")).cast("long")
+        return F.shiftleft(rank, HASH_BITS).bitwiseOR(hashed.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
 
     return F.sort_array(F.array_distinct(F.transform(_words(line), token)))
 
 
+def _document(doc_id: str = "doc_id") -> list[Column]:
+    """What tells documents apart and orders them: the id, null first, and a hash of the text."""
+    return [
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("doc"),
+        F.xxhash64("text").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("version"),
+    ]
+
+
 def _lines(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, line_no, tokens, n_words, id1, id2`` of every line that has a word."""
+    """``doc_id, doc, version, line_no, tokens`` of every line that has a word."""
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64("text").alias("text_hash"),
-        F.posexplode(F.split("text", "\n")).alias("line_no", "line"),
-    )
+        "doc_id", *_document(), F.posexplode(F.split(F.lower("text"), "\n")).alias("line_no", "line")
+    ).where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
     # the tokens come out of a generator, which is not folded into what uses them more than once; the outer
     # form, since the plain one is preceded by a filter that makes them again
     return (
         rows.withColumn("classes", classes.scalar())
-        .select("doc_id", "text_hash", "line_no", F.array(_tokens(F.col("line"), F.col("classes"))).alias("t"))
-        .select("doc_id", "text_hash", "line_no", F.explode_outer("t").alias("tokens"))
-        .where(F.size("tokens") > 0)
-        .select(
-            "*",
-            F.size("tokens").alias("n_words"),
-            F.xxhash64("tokens").alias("id1"),
-            F.xxhash64("tokens", F.lit(1)).alias("id2"),
-        )
+        .select("doc_id", "doc", "version", "line_no", F.array(_tokens(F.col("line"), F.col("classes"))).alias("t"))
+        .select("doc_id", "doc", "version", "line_no", F.explode_outer("t").alias("tokens"))
     )
 
 
-PLACE = ["doc_id", "text_hash", "line_no"]
+def _spot() -> Column:
+    """The version of a document and the line in one number, which orders lines as they do."""
+    return F.shiftleft(F.col("version").cast("long"), 32).bitwiseOR(F.col("line_no").cast("long"))
 
 
 def _shares(percent: int) -> Column:
@@ -88,121 +84,150 @@ def _shares(percent: int) -> Column:
 
 
 def _may_match(percent: int) -> Column:
-    """The filters by length, prefix, position and bitmap for two entries of one token."""
+    """The filters by length, bitmap, prefix and position for two entries of one token."""
     least = _shares(percent)
+    n = F.col("x.n") + F.col("y.n")
+    behind = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
     return (
         (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
+        & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= n - least * 2)
         & (F.col("x.pos") <= F.col("x.n") - least + 1)
         & (F.col("y.pos") <= F.col("y.n") - least + 1)
-        & (
-            F.least("x.pos", "y.pos") + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-            >= least
-        )
-        & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= F.col("x.n") + F.col("y.n") - least * 2)
+        & (F.least("x.pos", "y.pos") + behind >= least)
     )
 
 
-def _alike(docs: DataFrame, classes: DataFrame, places: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs ``id, earlier`` whose token sets have a Jaccard similarity of ``percent`` of a hundred.
+def _later(docs: DataFrame, classes: DataFrame, seen: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """``id`` of the later class of those pairs whose token sets are alike by ``percent`` of a hundred.
 
     Only the documents that hold the first line of a class in question are split again.
     """
-    ids = pairs.select(F.explode(F.array("id", "earlier")).alias("id")).distinct()
-    wanted = written(places.join(ids, "id").select("id", "first.*"), "line-places")
-    small = wanted.count() <= BROADCAST_IDS
-    keys = wanted.select("doc_id", "text_hash").distinct()
-    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
-    same = F.expr("d.doc_id <=> k.doc_id and d.text_hash = k.text_hash")
-    some = hashed.alias("d").join((F.broadcast(keys) if small else keys).alias("k"), same, "left_semi")
-    found = _lines(some.select("doc_id", "text"), classes).select(*PLACE, "tokens")
-    at = F.expr("l.doc_id <=> w.doc_id and l.text_hash = w.text_hash and l.line_no = w.line_no")
-    sets = found.alias("l").join((F.broadcast(wanted) if small else wanted).alias("w"), at)
-    # rows of one document and text that are repeated give a set again
-    sets = written(sets.groupBy("w.id").agg(F.first("tokens").alias("tokens")), "line-sets")
-    left = sets.select("id", F.col("tokens").alias("own"))
-    right = sets.select(F.col("id").alias("earlier"), F.col("tokens").alias("other"))
-    common = F.size(F.array_intersect("own", "other"))
+    ids = pairs.select("id").union(pairs.select("other")).distinct()
+    wanted = written(seen.select("id", "doc", "spot").join(ids, "id", "left_semi"), "line-places")
+    small = wanted.count() <= BROADCAST_LINES
+    keys = wanted.select("doc", F.shiftright("spot", 32).cast("int").alias("version")).distinct()
+    chosen = docs.select("*", *_document()).join(
+        F.broadcast(keys) if small else keys, ["doc", "version"], "left_semi"
+    )
+    lines = _lines(chosen.select("doc_id", "text"), classes).select("doc", _spot().alias("spot"), "tokens")
+    found = lines.join(F.broadcast(wanted) if small else wanted, ["doc", "spot"])
+    # a document that is repeated gives its sets again
+    sets = found.groupBy("id").agg(F.first("tokens").alias("tokens"), F.first(F.struct("doc", "spot")).alias("place"))
+    sets = written(sets, "line-sets")
+    other = sets.toDF("other", "other_tokens", "other_place")
+    common = F.size(F.array_intersect("tokens", "other_tokens"))
     return (
-        pairs.join(left, "id")
-        .join(right, "earlier")
-        .withColumn("common", common)
-        .where(F.col("common") * 100 >= (F.size("own") + F.size("other") - F.col("common")) * percent)
-        .select("id", "earlier")
+        pairs.join(sets, "id")
+        .join(other, "other")
+        .select(
+            F.when(F.col("place") > F.col("other_place"), F.col("id")).otherwise(F.col("other")).alias("id"),
+            common.alias("common"),
+            (F.size("tokens") + F.size("other_tokens")).alias("both"),
+        )
+        .where(F.col("common") * 100 >= (F.col("both") - F.col("common")) * percent)
+        .select("id")
+        .distinct()
     )
 
 
 def line_decisions(docs: DataFrame, percent: int = 75) -> DataFrame:
     """One row for each line that has a word: where it stands, ``n_words`` (distinct), ``kept``, and ``near``.
 
-    Two lines match when their sets of distinct words, A-Z in lower case, have a Jaccard similarity of
-    ``percent`` of a hundred; sets are told apart by 57-bit hashes of words and 128-bit hashes of sets. A line
-    goes if any line before it matches, whether that one stays or not; lines stand by ``doc_id`` (null first),
-    a hash of the text, and place. ``near`` tells whether a line of other words caused it. Lines without a
+    Two lines match when their sets of distinct words in lower case have a Jaccard similarity of ``percent`` of
+    a hundred; sets are told apart by 57-bit hashes of words and 128-bit hashes of sets. A line goes if any
+    line before it matches, whether that one stays or not; lines stand by ``doc_id`` (null first), a hash of
+    the text (``version``), and place. ``near`` tells whether a line of other words caused it. Lines without a
     word are no rows. Rows that repeat a document and its text are one document and get the same decisions.
     Null texts have no lines; no rows give no rows.
 
     Lines of one set are a class: only the first can stay. Classes are joined by the tokens of their prefix,
     the rarest first, with filters by length, place in the prefix and a 64-bit map of the sets. A class is
-    first held against the earliest class under each of its rarest tokens; one that matches is settled. Only
+    first held against the earliest class that has the same rarest token; one that matches is settled. Only
     the rest meets all earlier classes of its prefix tokens, so a large group of near copies is not paired up.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     classes = written(rarity(docs), "rarity")
-    lines = _lines(docs, classes)
-    prefix = F.col("n_words") - F.ceil(F.col("n_words") * percent / F.lit(100)).cast("int") + 1
-    bits = F.expr("aggregate(tokens, 0L, (acc, t) -> acc | shiftleft(1L, cast(t & 63L as int)))")
-    seen = written(
-        lines.groupBy("id1", "id2", "n_words")
+    n = F.size("tokens")
+    prefix = F.slice("tokens", F.lit(1), n - F.ceil(n * percent / F.lit(100)).cast("int") + 1)
+    occurrences = written(
+        _lines(docs, classes).select(
+            "doc_id",
+            "doc",
+            "version",
+            "line_no",
+            n.alias("n_words"),
+            F.xxhash64("tokens").alias("id1"),
+            F.xxhash64("tokens", F.lit(1)).alias("id2"),
+            # a 32-bit key for each token of the prefix: others that share it are told apart by the filters
+            F.transform(prefix, lambda t: F.hash(t)).alias("prefix"),
+            F.expr("aggregate(tokens, 0L, (acc, t) -> acc | shiftleft(1L, cast(t & 63L as int)))").alias("bits"),
+        ),
+        "lines",
+    )
+    same = ["id1", "id2"]
+    seen = (
+        occurrences.groupBy(*same)
         .agg(
-            F.min(F.struct(*PLACE)).alias("first"),
-            F.first(F.slice("tokens", F.lit(1), prefix)).alias("prefix"),
-            F.first(bits).alias("bits"),
+            F.min(F.struct("doc", _spot().alias("spot"))).alias("place"),
+            F.first("n_words").cast("short").alias("n"),
+            F.first("prefix").alias("prefix"),
+            F.first("bits").alias("bits"),
         )
-        .withColumn("id", F.struct("id1", "id2")),
-        "line-classes",
+        .select(*same, "place.*", "n", "prefix", "bits")
+        # numbers are short in a shuffle; writing the table fixes them
+        .withColumn("id", F.monotonically_increasing_id())
     )
-    places = seen.select("id", "first")
-    entries = seen.select(
-        "id",
-        "first",
-        F.col("n_words").alias("n"),
-        "bits",
-        F.posexplode("prefix").alias("at", "token"),
-    ).withColumn("pos", F.col("at") + 1)
-    entries = entries.select("token", "id", "first", F.col("n").cast("short"), F.col("pos").cast("short"), "bits")
-    rarest = entries.where(F.col("pos") <= FIRST)
-    leaders = rarest.groupBy("token").agg(
-        F.min_by(F.struct("id", "first", "n", "pos", "bits"), "first").alias("y"), F.count("*").alias("members")
-    )
-    leaders = leaders.where("members > 1").select("token", "y.*")
-    first = (
-        rarest.alias("x")
-        .join(leaders.alias("y"), "token")
-        .where((F.col("y.first") < F.col("x.first")) & _may_match(percent))
-        .select(F.col("x.id").alias("id"), F.col("y.id").alias("earlier"))
-        .distinct()
-    )
-    first = written(first, "line-pairs")
-    settled = written(_alike(docs, classes, places, first, percent).select("id").distinct(), "line-settled")
-    open_entries = entries.join(settled, "id", "left_anti").alias("x")
-    rest = (
-        open_entries.join(
-            entries.alias("y"),
-            (F.col("x.token") == F.col("y.token")) & (F.col("y.first") < F.col("x.first")) & _may_match(percent),
+    seen = written(seen, "line-classes")
+    first_pairs = written(_first_pairs(seen, percent), "line-pairs")
+    settled = written(_later(docs, classes, seen, first_pairs, percent), "line-settled")
+    rest = written(_other_pairs(seen, settled, percent), "line-pairs")
+    gone = settled.union(_later(docs, classes, seen, rest, percent)).distinct().withColumn("near", F.lit(True))
+    decided = seen.select(*same, "id", "doc", "spot").join(gone, "id", "left")
+    first = (F.col("doc") == F.col("first_doc")) & (_spot() == F.col("first_spot"))
+    return (
+        occurrences.drop("prefix", "bits")
+        .join(
+            decided.select(
+                *same,
+                F.col("doc").alias("first_doc"),
+                F.col("spot").alias("first_spot"),
+                F.coalesce("near", F.lit(False)).alias("near"),
+            ),
+            same,
         )
-        .select(F.col("x.id").alias("id"), F.col("y.id").alias("earlier"))
-        .distinct()
+        .select("doc_id", "version", "line_no", "n_words", (~F.col("near") & first).alias("kept"), "near")
     )
-    rest = written(rest, "line-pairs")
-    later = _alike(docs, classes, places, rest, percent).select("id").distinct()
-    gone = settled.union(later).distinct().withColumn("near", F.lit(True))
-    table = seen.select("id", "id1", "id2", "first").join(gone, "id", "left")
+
+
+def _first_pairs(seen: DataFrame, percent: int) -> DataFrame:
+    """Each class with the earliest of those that have the same rarest token, where they may match."""
+    entry = ["doc", "spot", "id", "n", "pos", "bits"]
+    rarest = seen.select(F.get("prefix", F.lit(0)).alias("token"), F.lit(1).alias("pos"), "doc", "spot", "id", "n", "bits")
+    leaders = rarest.groupBy("token").agg(F.min(F.struct(*entry)).alias("y"), F.count("*").alias("members"))
+    leaders = leaders.where("members > 1").select("token", "y.id", "y.n", "y.pos", "y.bits")
+    narrow = rarest.select("token", "id", "n", "pos", "bits")
     return (
-        lines.select(*PLACE, "n_words", "id1", "id2")
-        .join(table.select("id1", "id2", "first", F.coalesce("near", F.lit(False)).alias("near")), ["id1", "id2"])
-        .withColumn("kept", ~F.col("near") & F.expr("struct(doc_id, text_hash, line_no) <=> first"))
-        .select(*PLACE, "n_words", "kept", "near")
+        narrow.alias("x")
+        .join(leaders.alias("y"), "token")
+        .where((F.col("x.id") != F.col("y.id")) & _may_match(percent))
+        .select(F.col("x.id").alias("id"), F.col("y.id").alias("other"))
+    )
+
+
+def _other_pairs(seen: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes that share a token of the prefix and may match, where one is not settled at least."""
+    known = settled.withColumn("settled", F.lit(True))
+    if settled.count() <= BROADCAST_LINES:
+        known = F.broadcast(known)
+    entries = seen.join(known, "id", "left").select(
+        "id", "n", "bits", F.coalesce("settled", F.lit(False)).alias("settled"), F.posexplode("prefix").alias("at", "token")
     )
+    entries = entries.select("token", "id", "n", (F.col("at") + 1).cast("short").alias("pos"), "settled", "bits")
+    # every condition needs both sides, so that neither is filtered on its own and both read one shuffle
+    may = (F.col("x.id") < F.col("y.id")) & ~(F.col("x.settled") & F.col("y.settled")) & _may_match(percent)
+    same = F.col("x.token") == F.col("y.token")
+    joined = entries.alias("x").join(entries.alias("y"), same & may)
+    return joined.select(F.col("x.id").alias("id"), F.col("y.id").alias("other")).distinct()
 
 
 def dedup_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -213,16 +238,20 @@ def dedup_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
     """
     decisions = line_decisions(docs, percent)
     lost = (
-        decisions.groupBy("doc_id", "text_hash")
+        decisions.groupBy("doc_id", "version")
         .agg(F.collect_set(F.when(~F.col("kept"), F.col("line_no"))).alias("gone"), F.bool_or("kept").alias("left"))
         .where(F.size("gone") > 0)
     )
+    lost = written(lost, "lost-lines")
+    if lost.agg(F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()[0] <= BROADCAST_LINES:
+        lost = F.broadcast(lost)  # otherwise the texts are shuffled
     rows = docs.select(
         F.struct("*").alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64(F.col("text").cast("string")).alias("text_hash"),
+        F.col("text").cast("string").alias("text"),
     )
-    same = F.expr("r.doc_id <=> g.doc_id and r.text_hash = g.text_hash")
+    rows = rows.select("row", "doc_id", _document()[1])
+    same = F.expr("r.doc_id <=> g.doc_id and r.version = g.version")
     found = rows.alias("r").join(lost.alias("g"), same, "left").where(F.coalesce("g.left", F.lit(True)))
     lines = F.split(F.col("row.text").cast("string"), "\n")
     staying = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("g.gone"))

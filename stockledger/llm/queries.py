@@ -102,7 +102,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP5_SQL = """
 with l as (
   select doc_id, line_no, list_sort(list_distinct(regexp_extract_all(
-           translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'))) as w
+           lower(line), '[^\x20\x09-\x0D]+'))) as w
   from (select doc_id, (generate_subscripts(ls, 1) - 1)::int as line_no, unnest(ls) as line
         from (select doc_id, string_split(text, chr(10)) as ls from documents))),
 c as (

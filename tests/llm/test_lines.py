@@ -1,15 +1,11 @@
 import random
 import re
-import string
 
 from stockledger.llm import lines
 from tests.llm.rows import clashing, documents, edge_texts, prose
 
-LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
-
-
 def word_set(line):
-    return frozenset(re.findall(r"[^\x20\x09-\x0D]+", line.translate(LOWER)))
+    return frozenset(re.findall(r"[^\x20\x09-\x0D]+", line.lower()))
 
 
 def decided(rows):

@@ -10,6 +10,8 @@ import numpy as np
 NEIGHBOURS, LOWEST, BUILD_BEAM = 12, 24, 48
 #: Share of a node's places on the lowest layer that keep their first, far neighbours.
 FAR = 4
+#: Nodes at least that lead to any node of the lowest layer.
+LED_TO = 4
 
 
 class Graph:
@@ -33,8 +35,26 @@ class Graph:
             graph._insert(node, int(heights[node]), reached, near)
             if heights[node] > reached:
                 reached, graph.entry = int(heights[node]), node
+        graph._lead_back()
         return graph
 
+    def _lead_back(self) -> None:
+        """Gives nodes that few others lead to a place with their own neighbours, beside those that are taken.
+
+        In a large group of near copies the nearest crowd each other out, and a node may lose all that led to it.
+        """
+        base = self.layers[0]
+        led = np.bincount(base[base >= 0], minlength=len(base))
+        more: dict[int, list[int]] = {}
+        for node in np.flatnonzero(led < LED_TO).tolist():
+            own = base[node][base[node] >= 0].tolist()
+            for other in sorted(own, key=lambda k: len(more.get(k, ())))[: LED_TO - int(led[node])]:
+                more.setdefault(other, []).append(node)
+        wider = np.full((len(base), max(map(len, more.values()), default=0)), -1, np.int32)
+        for other, nodes in more.items():
+            wider[other, : len(nodes)] = nodes
+        self.layers[0] = np.concatenate([base, wider], axis=1)
+
     def _insert(self, node: int, height: int, reached: int, near: list[np.ndarray]) -> None:
         if reached < 0:
             return

@@ -123,7 +123,7 @@ def memberships(docs: DataFrame, classifier: Classifier) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", 1 << 20):
                 shares, counts = classifier.posteriors([x or "" for x in part.column(at).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(counts, pa.int64()), pa.array(shares.tolist(), pa.list_(pa.float64()))],

@@ -19,26 +19,27 @@ MINIMA, BITS, ROWS = 128, 4, 4
 PACKED = MINIMA * BITS // 64
 #: How far an estimate may lie under the threshold: four standard deviations at 0.75.
 SLACK = 0.16
+#: The long signatures of what is compared within a band: minima of which one bit is kept, and their slack.
+LONG_MINIMA, LONG_SLACK = 4096, 0.042
+LONG_PACKED = LONG_MINIMA // 64
 #: Ids that may be broadcast (8 bytes each); more are joined by shuffles.
 BROADCAST_IDS = 1_000_000
-#: Shingles that meet all permutations at once.
-CHUNK = 1 << 16
+#: Products of shingles and permutations that are made at once.
+CHUNK = 1 << 20
 
 
-def _permutations() -> tuple[np.ndarray, np.ndarray]:
-    drawn = np.random.default_rng(128)
-    return (
-        drawn.integers(0, 1 << 32, MINIMA, np.uint32) | np.uint32(1),
-        drawn.integers(0, 1 << 32, MINIMA, np.uint32),
-    )
+def _permutations(n: int = MINIMA) -> tuple[np.ndarray, np.ndarray]:
+    drawn = np.random.default_rng(n)
+    return drawn.integers(0, 1 << 32, n, np.uint32) | np.uint32(1), drawn.integers(0, 1 << 32, n, np.uint32)
 
 
 def signature(hashes: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
     """The minimum of each permutation of a set of 64-bit hashes, 32 bits of it."""
     short = (hashes >> np.uint64(32)).astype(np.uint32)
-    least = np.full(MINIMA, np.uint32(0xFFFFFFFF))
-    for at in range(0, len(short), CHUNK):
-        rows = short[at : at + CHUNK, None] * factors[None, :] + shifts[None, :]
+    least = np.full(len(factors), np.uint32(0xFFFFFFFF))
+    chunk = CHUNK // len(factors)
+    for at in range(0, len(short), chunk):
+        rows = short[at : at + chunk, None] * factors[None, :] + shifts[None, :]
         np.minimum(least, rows.min(axis=0), out=least)
     return least
 
@@ -52,10 +53,10 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return key.astype(np.int64)
 
 
-def packed(least: np.ndarray) -> np.ndarray:
+def packed(least: np.ndarray, bits: int = BITS) -> np.ndarray:
     """The low bits of the minima, next to each other in 64-bit integers."""
-    low = (least & np.uint32((1 << BITS) - 1)).astype(np.uint64).reshape(PACKED, 64 // BITS)
-    shifts = np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS)
+    low = (least & np.uint32((1 << bits) - 1)).astype(np.uint64).reshape(-1, 64 // bits)
+    shifts = np.arange(64 // bits, dtype=np.uint64) * np.uint64(bits)
     return (low << shifts).sum(axis=1, dtype=np.uint64).astype(np.int64)
 
 
@@ -72,7 +73,7 @@ def signed(docs: DataFrame, size: int = 5) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors, shifts = _permutations()
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", 1 << 20):
                 hashes, bounds = words([x or "" for x in part.column(1).to_pylist()])
                 n = part.num_rows
                 counts, keys = np.zeros(n, np.int64), np.zeros((2, n), np.int64)
@@ -112,18 +113,53 @@ def estimate(left: str, right: str) -> Column:
     return (1 - differing / F.lit(float(MINIMA)) - chance) / (1 - chance)
 
 
+def long_estimate(left: str, right: str) -> Column:
+    """The same from the long signatures, of whose bits half agree by chance."""
+    differing = sum((F.bit_count(F.expr(f"{left}.l{k} ^ {right}.l{k}")) for k in range(LONG_PACKED)), F.lit(0))
+    return 1 - differing * 2 / F.lit(float(LONG_MINIMA))
+
+
 SHORT = [f"s{k}" for k in range(PACKED)]
+LONG = [f"l{k}" for k in range(LONG_PACKED)]
+
+
+def _chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id, text`` of the documents that a table of distinct ids names."""
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.join(ids, "doc_id", "left_semi")
+
+
+def long_signed(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """``rep`` and the long signature of the documents that ``ids`` names."""
+    schema = "rep long, " + ", ".join(f"{c} long" for c in LONG)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factors, shifts = _permutations(LONG_MINIMA)
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 20):
+                hashes, bounds = words([x or "" for x in part.column(1).to_pylist()])
+                found = np.zeros((part.num_rows, LONG_PACKED), np.int64)
+                for k in range(part.num_rows):
+                    own = shingles(hashes[bounds[k] : bounds[k + 1]], size)
+                    if len(own):
+                        found[k] = packed(signature(own, factors, shifts), 1)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), *(pa.array(found[:, k]) for k in range(LONG_PACKED))], names=["rep", *LONG]
+                )
+
+    rows = _chosen(docs, ids).mapInArrow(run, schema)
+    return rows.groupBy("rep").agg(*(F.first(c).alias(c) for c in LONG))
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, percent: int, size: int) -> DataFrame:
     """Those of the pairs ``a, b`` of ids whose whole shingle sets are alike by ``percent`` of a hundred."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", 1 << 20):
                 hashes, bounds = words([x or "" for x in part.column(1).to_pylist()])
                 sets = [shingles(hashes[bounds[k] : bounds[k + 1]], size).tobytes() for k in range(part.num_rows)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["id", "own"])
@@ -141,8 +177,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, percent: int, size: int) -> Dat
                 [pa.array([c[k] for k in kept], pa.int64()) for c in columns[:2]], names=["a", "b"]
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = written(rows.join(ids, "doc_id", "left_semi").mapInArrow(build, "id long, own binary"), "sets", "none")
+    sets = written(_chosen(docs, ids).mapInArrow(build, "id long, own binary"), "sets", "none")
     return (
         pairs.select("a", "b")
         .join(sets.select(F.col("id").alias("a"), F.col("own").alias("left")), "a")
@@ -157,9 +192,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
 
     Two documents are linked when their sets of ``size``-word shingles share ``percent`` of a hundred of their
     union. Documents with one set are one class, so copies are never paired. A class goes into the bands of
-    its signature. In each band the classes are first held against the smallest id only; what that leaves in
-    separate components is then compared within the band by bit counts, as a join condition, so that no pair
-    of one component is made. Every pair that the estimate lets through is confirmed on whole sets.
+    its signature. In each band the classes are first held against one of them only, another one in each band.
+    What that leaves in separate components is then compared within the band by the bit counts of long
+    signatures, as a join condition, so that no pair of one component is made, and of others only those that
+    are very close to the threshold. Every pair that an estimate lets through is confirmed on whole sets.
 
     Null and empty texts have no shingle, link with nothing and are components of their own. Rows that share
     an id are one node with the links of each. A document without an id links with nothing, has a null
@@ -177,11 +213,17 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
     )
     reps = written(reps, "classes", "none")
     members = reps.select("rep", F.explode("bands").alias("band"))
-    leaders = members.groupBy("band").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
+    leaders = members.groupBy("band").agg(
+        F.min_by("rep", F.xxhash64("rep", "band")).alias("leader"), F.count("*").alias("n")
+    )
+    leaders = leaders.where("n > 1")
     shared = written(members.join(leaders.select("band", "leader"), "band"), "bands", "none")
 
     short = reps.select("rep", *SHORT)
-    first = shared.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+    first = shared.where("rep <> leader").select(
+        F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")
+    )
+    first = first.distinct()
     first = written(
         first.join(short.select(F.col("rep").alias("b"), *SHORT).alias("y"), "b")
         .join(short.select(F.col("rep").alias("a"), *SHORT).alias("x"), "a")
@@ -202,14 +244,20 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
         .where("low < high")
         .select("band")
     )
-    open_rows = written(labelled.join(mixed_bands, "band").join(short, "rep"), "open", "none")
+    open_rows = written(labelled.join(mixed_bands, "band"), "open")
+    ids = open_rows.select(F.col("rep").alias("doc_id")).distinct()
+    signatures = reps.select("rep", *SHORT, "bands").join(long_signed(docs, ids, size), "rep")
+    open_rows = written(open_rows.join(signatures, "rep"), "open", "none")
     second = (
         open_rows.alias("x")
         .join(
             open_rows.alias("y"),
             (F.col("x.band") == F.col("y.band"))
             & (F.col("x.component") < F.col("y.component"))
-            & (estimate("x", "y") >= percent / 100 - SLACK),
+            & (estimate("x", "y") >= percent / 100 - SLACK)
+            & (long_estimate("x", "y") >= percent / 100 - LONG_SLACK)
+            # a pair comes out of the first band that it shares
+            & F.expr("x.band = element_at(array_intersect(x.bands, y.bands), 1)"),
         )
         .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
         .distinct()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stockledger.llm.layout import PART, START, ordered
@@ -67,10 +68,13 @@ def rotate(turns: DataFrame, part_chars: int = PART_CHARS, setting: tuple[str, .
     from a window over the dialogue.
     """
     line = ordered(_segments(turns, setting), ["conv_id", "speaker", "turn", "role", "segment"], "size", "turns")
-    parts = line.groupBy(PART).agg(F.sum("size").alias("n"))
     # one row for each partition
-    before = parts.alias("a").join(parts.alias("b"), F.col(f"b.{PART}") < F.col(f"a.{PART}"), "left")
-    before = before.groupBy(F.col(f"a.{PART}").alias(PART)).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
+    earlier = W.orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
+    before = (
+        line.groupBy(PART)
+        .agg(F.sum("size").alias("n"))
+        .select(PART, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    )
     placed = line.join(F.broadcast(before), PART).withColumn("place", F.col("before") + F.col(START))
     begins = placed.groupBy("conv_id", "speaker").agg(F.min("place").alias("begin"))
     at = (

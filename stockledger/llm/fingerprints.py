@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from stockledger.llm.layout import slices
 from stockledger.llm.words import mixed, stretch_hashes
 
-#: Minima in a fingerprint, each kept as 16 bits; documents in one range of ids.
-MINIMA, RANGE_ROWS = 128, 1000
+#: Minima in a fingerprint, each kept as 16 bits; documents in one range of ids, unless that gives more ranges.
+MINIMA, RANGE_ROWS, RANGES = 128, 1000, 20_000
 RESULT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double"
@@ -127,7 +127,7 @@ def _ranges(docs: DataFrame, rows_in_range: int) -> tuple[np.ndarray, dict[int,
     n = ids.count()
     if not n:
         return np.zeros(0, np.int64), {}
-    parts = max(1, -(-n // rows_in_range))
+    parts = min(RANGES, -(-n // rows_in_range))
     shares = [k / parts for k in range(1, parts)]
     cuts = ids.agg(F.percentile_approx("id", shares, 10 * parts)).first()[0] if shares else []
     bounds = np.unique(np.array(cuts, np.int64))

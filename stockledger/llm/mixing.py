@@ -16,7 +16,7 @@ from stockledger.llm.scratch import written
 from stockledger.llm.words import words
 
 #: The most labelled documents that the classifier is fitted on, and code points of each.
-SAMPLE_ROWS, SAMPLE_CHARS = 4000, 20_000
+SAMPLE_ROWS, SAMPLE_CHARS = 4000, 10_000
 #: Hashed words are features; passes over the sample, ridge.
 FEATURES, PASSES, RIDGE = 1 << 15, 200, 1e-4
 SLOTS = 1 << 20
@@ -44,7 +44,9 @@ class Classifier:
 
     @classmethod
     def fit(cls, texts: list[str], domains: np.ndarray, n_domains: int) -> Classifier:
-        features, owner, _ = _features(texts)
+        parts = [_features(texts[at : at + 200]) for at in range(0, len(texts), 200)]
+        features = np.concatenate([part[0] for part in parts])
+        owner = np.concatenate([part[1] + 200 * k for k, part in enumerate(parts)])
         n = len(texts)
         sizes = np.maximum(1, np.bincount(owner, minlength=n))
         scale = (1 / np.sqrt(sizes))[owner]
@@ -134,14 +136,15 @@ def memberships(docs: DataFrame, classifier: Classifier) -> DataFrame:
 
 
 def _sums(table: DataFrame, steps: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Over all documents: tokens at the present rates by domain, and the domains' token-weighted products."""
+    """Tokens at the present rates by domain, and the domains' token-weighted products, where rates are above zero."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals, products = np.zeros(width), np.zeros((width, width))
         for batch in batches:
             tokens, shares = _columns(batch, width)
-            totals += (tokens * rates(shares, steps)) @ shares
-            products += (shares * tokens[:, None]).T @ shares
+            own = rates(shares, steps)
+            totals += (tokens * own) @ shares
+            products += (shares * (tokens * (own > 0))[:, None]).T @ shares
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(width + width * width), pa.int32()), pa.array(np.concatenate([totals, products.ravel()]))],
             names=["k", "v"],
@@ -177,25 +180,47 @@ def fit_rates(
 ) -> tuple[list[np.ndarray], np.ndarray]:
     """The steps that take rates from one to where each domain's expected tokens are its target.
 
-    Projected gradient on the least squares of the domain totals, in the metric in which a step of one is the
-    longest that surely descends: a document moves by its posteriors times the scaled misses and is kept at
-    zero or more. Only the steps, ``domains`` numbers each, are carried along; each pass over the documents
-    recomputes their rates, so nothing is lost with an executor. Returns the steps and the totals they reach.
+    Projected gradient on the least squares of the domain totals, scaled by the products of the domains: a
+    document moves by its posteriors times the scaled misses and is kept at zero or more. With the products of
+    all documents a step surely descends; those of the documents above zero go further, and are taken where
+    they descend too. Only the steps, ``domains`` numbers each, are carried along; each pass over the documents
+    recomputes their rates, so nothing is lost with an executor. Ends when all totals are within ``near`` of
+    all tokens, or when a step gains next to nothing: the targets are out of reach. Returns the steps and the
+    totals they reach.
     """
     steps: list[np.ndarray] = []
     width = len(targets)
     totals, products = _sums(table, steps, width)
-    inverse = np.linalg.pinv(products, rcond=1e-9, hermitian=True)
+    safe = _inverse(products)
     scale = max(1.0, float(np.abs(targets).sum()))
+
+    def left(reached: np.ndarray) -> float:
+        return float((reached - targets) @ safe @ (reached - targets))
+
     for _ in range(most):
         miss = totals - targets
         if np.abs(miss).max() <= near * scale:
             break
-        steps.append(inverse @ miss)
-        totals, _ = _sums(table, steps, width)
+        before = left(totals)
+        for inverse in (_inverse(products), safe):
+            step = inverse @ miss
+            reached, above = _sums(table, [*steps, step], width)
+            if left(reached) < 0.99 * before:
+                break
+        else:
+            if left(reached) >= before:
+                break
+        steps.append(step)
+        totals, products = reached, above
+        if left(totals) > 0.999 * before:
+            break
     return steps, totals
 
 
+def _inverse(products: np.ndarray) -> np.ndarray:
+    return np.linalg.pinv(products, rcond=1e-9, hermitian=True)
+
+
 def mix(
     docs: DataFrame,
     labelled: DataFrame,

@@ -137,7 +137,7 @@ SHAPES = {
                                   and qty_received >= qty_ordered)::int), 1) as otif_pct,
                round(avg(received_date - promised_date)
                      filter (where received_date > promised_date), 1) as avg_days_late_when_late,
-               round(sum((qty_received * unit_cost_usd)::decimal(18, 6)), 2)::double
+               round(round(sum((qty_received * unit_cost_usd)::decimal(28, 12)), 8), 2)::double
                    as received_value_usd
         from purchase_orders join suppliers using (supplier_id)
         where status = 'Closed'
@@ -145,8 +145,8 @@ SHAPES = {
     "capex": """
         select date_trunc('month', installed_date)::date as in_service_month, region_code,
                n_name as region_name, sku_family, count(*) as racks_in_service,
-               round(sum(capex_usd::decimal(18, 6)), 2)::double as capex_usd,
-               round(sum((capex_usd / useful_life_months)::decimal(18, 6)), 2)::double
+               round(round(sum(capex_usd::decimal(28, 12)), 8), 2)::double as capex_usd,
+               round(round(sum((capex_usd / useful_life_months)::decimal(28, 12)), 8), 2)::double
                    as added_monthly_depreciation_usd,
                round(avg(live_date - requested_date), 1) as avg_request_to_live_days
         from racks join nation on n_nationkey = region_code
@@ -154,7 +154,7 @@ SHAPES = {
         group by all""",
     "opex": """
         select date_trunc('month', posting_date)::date as fiscal_month, cost_center_id,
-               account_id, round(sum(amount_usd::decimal(18, 6)), 2)::double as amount_usd
+               account_id, round(round(sum(amount_usd::decimal(28, 12)), 8), 2)::double as amount_usd
         from journal where account_id like '5%' group by all""",
     "new_orders": """
         select o_orderkey, o_orderstatus,
@@ -305,7 +305,7 @@ _define(
         union all
         select date_trunc('month', l_shipdate)::date, l_suppkey,
                if(l_linenumber % 2 = 0, '5100', '5200'), null,
-               round(sum((l_extendedprice * l_tax * 10.0)::decimal(18, 6)), 2)
+               round(round(sum((l_extendedprice * l_tax * 10.0)::decimal(28, 12)), 8), 2)
         from lineitem where l_linestatus = 'F' group by 1, 2, 3),
     summed as (
         select fiscal_month, cost_center_id, account_id,
@@ -555,8 +555,8 @@ _define(
     "rack_bom brands months",
     f"""
     select sku_id, month,
-           round(sum((standard_cost * {_CURVE.format(category="component_category", other="1")}
-                      * qty_per_rack)::decimal(18, 6)), 2)::double as rack_cost_usd
+           round(round(sum((standard_cost * {_CURVE.format(category="component_category", other="1")}
+                      * qty_per_rack)::decimal(28, 12)), 8), 2)::double as rack_cost_usd
     from rack_bom join brands using (component_id), months
     group by all""",
 )
@@ -725,7 +725,7 @@ _define(
         from purchase_orders where status = 'Closed'),
     billed as (
         select po_number, max(supplier_id) filter (where n = 1) as supplier_id,
-               round(sum((qty_received * unit_cost_usd)::decimal(18, 6)), 2)::double as amount_usd,
+               round(round(sum((qty_received * unit_cost_usd)::decimal(28, 12)), 8), 2)::double as amount_usd,
                row_number() over (order by po_number) - 1 as number
         from closed group by po_number)
     select 'INV-' || right(supplier_id::varchar, 3) || '-' || lpad(number::varchar, 6, '0')
@@ -744,7 +744,7 @@ _define(
     billed as (
         select po_number, max(received_date) + 3 as invoice_date,
                max(supplier_id) filter (where n = 1) as supplier_id,
-               round(sum((qty_received * unit_cost_usd)::decimal(18, 6)), 2)::double as amount_usd
+               round(round(sum((qty_received * unit_cost_usd)::decimal(28, 12)), 8), 2)::double as amount_usd
         from closed group by all)
     select po_number, supplier_id, invoice_date,
            invoice_date + payment_terms_days::int as due_date, amount_usd, 'USD' as currency
@@ -770,7 +770,7 @@ _define(
     """
     select posting_date, account_id, 'CC-' || lpad(region_code::varchar, 2, '0') as cost_center_id,
            'Depreciation' as source, count(*) as lines,
-           round(sum((side * round(depreciation_usd, 2))::decimal(18, 6)), 2)::double
+           round(round(sum((side * round(depreciation_usd, 2))::decimal(28, 12)), 8), 2)::double
                as amount_usd
     from schedule, (values ('5100', 1), ('1590', -1)) as sides(account_id, side)
     group by all""",
@@ -793,7 +793,7 @@ _define(
     """
     with loss as (
         select date_trunc('month', l_shipdate)::date as month,
-               round(sum((l_extendedprice * l_discount)::decimal(18, 6)), 2)::double as amount
+               round(round(sum((l_extendedprice * l_discount)::decimal(28, 12)), 8), 2)::double as amount
         from lineitem where l_returnflag = 'R' group by all),
     lines as (
         select posting_date, account_id, cost_center_id, amount_usd, source,
@@ -821,7 +821,7 @@ _define(
     """
     with loss as (
         select date_trunc('month', l_shipdate)::date as month,
-               round(sum((l_extendedprice * l_discount)::decimal(18, 6)), 2)::double as amount
+               round(round(sum((l_extendedprice * l_discount)::decimal(28, 12)), 8), 2)::double as amount
         from lineitem where l_returnflag = 'R' group by all)
     select last_day(month) as posting_date, 'EO-' || strftime(month, '%Y-%m') as reference,
            'Adjustment' as source, line, if(line = 1, '5700', '1400') as account_id,

@@ -215,7 +215,7 @@ def _first_pairs(seen: DataFrame, percent: int) -> DataFrame:
 
 
 def _other_pairs(seen: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes that share a token of the prefix and may match, where one is not settled at least."""
+    """Pairs of classes that share a token of the prefix and may match, whose later one is not settled."""
     known = settled.withColumn("settled", F.lit(True))
     if settled.count() <= BROADCAST_LINES:
         known = F.broadcast(known)
@@ -227,7 +227,17 @@ def _other_pairs(seen: DataFrame, settled: DataFrame, percent: int) -> DataFrame
     may = (F.col("x.id") < F.col("y.id")) & ~(F.col("x.settled") & F.col("y.settled")) & _may_match(percent)
     same = F.col("x.token") == F.col("y.token")
     joined = entries.alias("x").join(entries.alias("y"), same & may)
-    return joined.select(F.col("x.id").alias("id"), F.col("y.id").alias("other")).distinct()
+    found = joined.select(
+        F.col("x.id").alias("id"),
+        F.col("y.id").alias("other"),
+        F.col("x.settled").alias("settled"),
+        F.col("y.settled").alias("other_settled"),
+    ).distinct()
+    # what is known of the later class needs no pair
+    places = seen.select("id", F.struct("doc", "spot").alias("place"))
+    found = found.join(places, "id").join(places.toDF("other", "other_place"), "other")
+    later = F.when(F.col("place") > F.col("other_place"), F.col("settled")).otherwise(F.col("other_settled"))
+    return found.where(~later).select("id", "other")
 
 
 def dedup_lines(docs: DataFrame, percent: int = 75) -> DataFrame:

@@ -12,6 +12,8 @@ BLANKS = r"[\x20\x09-\x0D]+"
 COUNTERS = 1 << 18
 #: Bits of a token that hold its hash; those above hold its rarity.
 HASH_BITS = 57
+#: Rarest tokens by which a line is first held against the earliest line that has one of them among its own.
+FIRST = 6
 #: Lines that may be broadcast by their numbers or places (some 20 bytes each); more are joined by shuffles.
 BROADCAST_LINES = 1_000_000
 
@@ -142,7 +144,7 @@ def line_decisions(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     Lines of one set are a class: only the first can stay. Classes are joined by the tokens of their prefix,
     the rarest first, with filters by length, place in the prefix and a 64-bit map of the sets. A class is
-    first held against the earliest class that has the same rarest token; one that matches is settled. Only
+    first held against the earliest class under each of its rarest tokens; one that matches is settled. Only
     the rest meets all earlier classes of its prefix tokens, so a large group of near copies is not paired up.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -200,9 +202,11 @@ def line_decisions(docs: DataFrame, percent: int = 75) -> DataFrame:
 
 
 def _first_pairs(seen: DataFrame, percent: int) -> DataFrame:
-    """Each class with the earliest of those that have the same rarest token, where they may match."""
+    """Each class with the earliest of those that share one of its rarest tokens, where they may match."""
     entry = ["doc", "spot", "id", "n", "pos", "bits"]
-    rarest = seen.select(F.get("prefix", F.lit(0)).alias("token"), F.lit(1).alias("pos"), "doc", "spot", "id", "n", "bits")
+    rarest = seen.select(
+        F.posexplode(F.slice("prefix", 1, FIRST)).alias("at", "token"), "doc", "spot", "id", "n", "bits"
+    ).withColumn("pos", F.col("at") + 1)
     leaders = rarest.groupBy("token").agg(F.min(F.struct(*entry)).alias("y"), F.count("*").alias("members"))
     leaders = leaders.where("members > 1").select("token", "y.id", "y.n", "y.pos", "y.bits")
     narrow = rarest.select("token", "id", "n", "pos", "bits")
@@ -210,7 +214,8 @@ def _first_pairs(seen: DataFrame, percent: int) -> DataFrame:
         narrow.alias("x")
         .join(leaders.alias("y"), "token")
         .where((F.col("x.id") != F.col("y.id")) & _may_match(percent))
-        .select(F.col("x.id").alias("id"), F.col("y.id").alias("other"))
+        .select(F.least("x.id", "y.id").alias("id"), F.greatest("x.id", "y.id").alias("other"))
+        .distinct()
     )
 
 

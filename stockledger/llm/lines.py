@@ -171,7 +171,7 @@ def line_decisions(docs: DataFrame, percent: int = 75) -> DataFrame:
         occurrences.groupBy(*same)
         .agg(
             F.min(F.struct("doc", _spot().alias("spot"))).alias("place"),
-            F.first("n_words").cast("short").alias("n"),
+            F.first("n_words").alias("n"),
             F.first("prefix").alias("prefix"),
             F.first("bits").alias("bits"),
         )
@@ -227,7 +227,7 @@ def _other_pairs(seen: DataFrame, settled: DataFrame, percent: int) -> DataFrame
     entries = seen.join(known, "id", "left").select(
         "id", "n", "bits", F.coalesce("settled", F.lit(False)).alias("settled"), F.posexplode("prefix").alias("at", "token")
     )
-    entries = entries.select("token", "id", "n", (F.col("at") + 1).cast("short").alias("pos"), "settled", "bits")
+    entries = entries.select("token", "id", "n", (F.col("at") + 1).alias("pos"), "settled", "bits")
     # every condition needs both sides, so that neither is filtered on its own and both read one shuffle
     may = (F.col("x.id") < F.col("y.id")) & ~(F.col("x.settled") & F.col("y.settled")) & _may_match(percent)
     same = F.col("x.token") == F.col("y.token")

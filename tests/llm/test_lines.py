@@ -57,6 +57,11 @@ def test_few_common_words(spark):
     checked(spark, rows)
 
 
+def test_lines_of_very_many_words(spark):
+    long, other = ([f"{c}{k}" for k in range(n)] for c, n in (("a", 40_000), ("b", 140_000)))
+    checked(spark, [(1, " ".join(long)), (2, " ".join([*long[:-9], "new"])), (3, " ".join(other))])
+
+
 def test_documents_without_their_repeated_lines(spark):
     rows = [
         (1, "one two three four\n\nfive six seven eight"),

@@ -43,11 +43,12 @@ def stretches(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes texts with a tokenizer of the ``tokenizers`` library, special tokens' strings as ordinary text.
+    """Encodes texts with a tokenizer of the ``tokenizers`` library as its plain call does, with nothing added.
 
     With a plain byte-level pre-tokenizer texts are cut into ``stretches``. Words repeat, so each distinct one
     goes to the tokenizer once, and its ids are remembered under 96 bits of hashes; the ids of the texts are
-    put together from there in numpy. Other pre-tokenizers and texts with rare white space go there whole.
+    put together from there in numpy. Other pre-tokenizers, texts with rare white space and texts that hold an
+    added token's string, such as a special token's, go there whole.
     """
 
     def __init__(self, path: str):
@@ -55,11 +56,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
         feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.cuttable = _cuttable(json.loads(self.tokenizer.to_str())) and len(feed) == 1
+        decoder = self.tokenizer.get_added_tokens_decoder()
+        self.added = [token.content for token in decoder.values() if token.content]
+        # stretches are joined by line feeds
+        joinable = len(feed) == 1 and not any("\n" in content for content in self.added)
+        self.cuttable = _cuttable(json.loads(self.tokenizer.to_str())) and joinable
         self.feed = feed[0] if feed else 0
         self._forget()
 
@@ -74,7 +78,7 @@ class Encoder:
         found: list[bytes] = [b""] * len(texts)
         cut = []
         for k, text in enumerate(texts):
-            if self.cuttable and not OTHER_BLANKS.search(text):
+            if self.cuttable and not OTHER_BLANKS.search(text) and not any(content in text for content in self.added):
                 cut.append(k)
             else:
                 found[k] = self._packed(text) + last

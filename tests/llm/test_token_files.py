@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from stockledger.llm import rans
 from stockledger.llm.packing import hilbert_keys, pack, packed_pieces
@@ -34,6 +35,23 @@ def test_stretches_give_the_ids_of_whole_texts(coder):
     assert [np.frombuffer(x, coder.dtype).tolist() for x in found] == [whole(coder, t) for t in TRICKY]
 
 
+def test_ids_are_those_of_the_plain_call(coder):
+    plain = Tokenizer.from_file(PATH)
+    texts = [*TRICKY, "<|endoftext|>", "a<|endoftext|>\n<|endoftext|> b.", "<|endoftext| >"]
+    wanted = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, coder.dtype).tolist() for x in coder.encode(texts)] == wanted
+    assert 50256 in wanted[TRICKY.index("x <|endoftext|> y")]
+
+
+def test_files_hold_the_ids_of_the_plain_call(spark):
+    plain = Tokenizer.from_file(PATH)
+    rows = [(1, "x <|endoftext|> y"), (2, "z")]
+    ids = [[*plain.encode(t, add_special_tokens=False).ids, 0] for _, t in rows]
+    wanted = [(1, 0, len(ids[0]), zlib.crc32(np.array(ids[0], "<u4").tobytes())),
+              (2, len(ids[0]), len(ids[1]), zlib.crc32(np.array(ids[1], "<u4").tobytes()))]
+    assert sorted(tuple(r) for r in round_trip(documents(spark, rows), PATH).collect()) == wanted
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(alphabet=" \n\t.,!'abé  19s\r", max_size=12), max_size=4))
 def test_any_text(coder, texts):

@@ -45,9 +45,9 @@ class Rule(NamedTuple):
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
-    """Host and path: both empty without ``://``; A-Z in the host in lower case."""
+    """Host and path behind the first ``://``: both empty without one; A-Z in the host in lower case."""
     host = F.regexp_extract(url, r"(?s)\A.*?://([^/?#]*)", 1)
-    path = F.regexp_extract(url, r"(?s)\A.*?://[^/?#]*(/[^?#]*)", 1)
+    path = F.regexp_extract(url, r"(?s)\A(?>.*?://)[^/?#]*(/[^?#]*)", 1)
     return F.coalesce(F.translate(host, UPPER, LOWER), F.lit("")), F.coalesce(path, F.lit(""))
 
 

@@ -182,6 +182,17 @@ def test_rules(spark, monkeypatch, inline):
     assert {r["verdict"] for r in urls.judge_urls(df, []).collect()} == {"allow"}
 
 
+@pytest.mark.parametrize("inline", [100, 0])
+def test_a_later_mark_is_no_host(spark, inline):
+    rows = list(enumerate([
+        "http://net?next=http://b.com/es/x", "https://x.com#a://net/es/", "http://net", "http://net?a://", "://net?b://c/d",
+        "http://net/es/?next=http://b.com/fr/", "a?b://net/fr/x://y/z", "http://?://net/es/", "http://a.net\n?x://b/fr/",
+    ]))
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    found = {r["page_id"]: tuple(r)[2:] for r in urls.judge_urls(df, RULES, inline=inline).collect()}
+    assert found == {k: judged(u) for k, u in rows}
+
+
 def test_rules_stand_under_their_rarest_token(spark):
     keys = spark.createDataFrame([(["example", "com", "en"],), (["com", "en"],), (["com"],)], "tokens array<string>")
     index = urls.index_rules(keys, RULES[:3])

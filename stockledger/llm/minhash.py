@@ -54,8 +54,12 @@ def band_keys(least: np.ndarray) -> np.ndarray:
 
 
 def packed(least: np.ndarray, bits: int = BITS) -> np.ndarray:
-    """The low bits of the minima, next to each other in 64-bit integers."""
-    low = (least & np.uint32((1 << bits) - 1)).astype(np.uint64).reshape(-1, 64 // bits)
+    """The low bits of the mixed minima, next to each other in 64-bit integers.
+
+    Unmixed, the low bits of two elements agree or differ alike under all permutations, since factors are odd.
+    """
+    places = np.arange(len(least), dtype=np.uint64) << np.uint64(32)
+    low = (mixed(places ^ least) & np.uint64((1 << bits) - 1)).reshape(-1, 64 // bits)
     shifts = np.arange(64 // bits, dtype=np.uint64) * np.uint64(bits)
     return (low << shifts).sum(axis=1, dtype=np.uint64).astype(np.int64)
 

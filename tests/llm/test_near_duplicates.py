@@ -50,6 +50,11 @@ def brute_force(rows):
     )
 
 
+def brute_force_by_group(rows):
+    """The same where only texts of one thousand of ids can be alike."""
+    return [x for group in sorted({i // 1000 for i, _ in rows}) for x in brute_force([r for r in rows if r[0] // 1000 == group])]
+
+
 def varied(base, k, times):
     """Copies of a text, each with its own few words changed."""
     own = base.split()
@@ -80,6 +85,30 @@ def test_what_the_smallest_of_a_band_does_not_link(spark):
     assert sorted(((r[0] or 0, *r[1:]) for r in found), key=str) == brute_force(rows)
 
 
+def test_short_texts_under_a_foreign_leader(spark):
+    # a pair at exactly 0.75 in each group, among texts that share its first words and are not like enough
+    rows = []
+    for group, n in enumerate([8] * 12 + [12, 16]):
+        own = [f"g{group}w{k}" for k in range(n)]
+        few = own[: (n - 4) * 3 // 4 + 4]
+        texts = [few, own, *([*few, *(f"f{k}x{j}" for j in range(n // 3))] for k in range(400))]
+        rows += [(1000 * group + k, " ".join(text)) for k, text in enumerate(texts)]
+    found = minhash.near_duplicates(documents(spark, rows)).collect()
+    wanted = brute_force_by_group(rows)
+    assert sum(component == i - 1 for i, _, component, _ in wanted) == 14
+    assert sorted((tuple(r) for r in found), key=str) == sorted(wanted, key=str)
+
+
+def test_low_bits_of_different_minima_agree_by_chance():
+    factors, shifts = minhash._permutations(minhash.LONG_MINIMA)
+    drawn = np.random.default_rng(1)
+    for _ in range(100):
+        whole = drawn.integers(0, 1 << 64, 4, np.uint64)
+        left, right = (minhash.packed(minhash.signature(x, factors, shifts), 1) for x in (whole, whole[:3]))
+        differing = int(np.bitwise_count((left ^ right).view(np.uint64)).sum())
+        assert abs(1 - 2 * differing / minhash.LONG_MINIMA - 0.75) < minhash.LONG_SLACK
+
+
 def test_one_of_each_group_stays(spark):
     left = minhash.without_near_duplicates(clashing(documents(spark)))
     assert left.columns == clashing(documents(spark)).columns

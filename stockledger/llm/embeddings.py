@@ -50,11 +50,27 @@ def _build(rows: pd.DataFrame, least: float) -> pd.DataFrame:
     )
 
 
-def _ask(queries: tuple, index: tuple, same: bool, threshold: float) -> pd.DataFrame:
-    """The links of one shard's vectors into another: their number by query, and a forest that joins the same nodes."""
-    ids, vectors = queries
-    own, copies, held, graph_data, beam = index
-    graph = Graph.load(held, graph_data)
+def _ask(one: tuple, two: tuple, same: bool, threshold: float) -> pd.DataFrame:
+    """The links between two shards: their number by vector of either, and a forest that joins the same nodes.
+
+    Each shard's vectors ask the other's graph. Searches are directed and may miss, so a pair that one of the
+    directions finds counts for both its ends.
+    """
+    (ids, copies, vectors, _, _), (own, held_copies, held, _, _) = one, two
+    met = np.zeros((len(ids), len(own)), bool)
+
+    def search(asking: np.ndarray, asked: tuple, hits: np.ndarray) -> None:
+        graph = Graph.load(asked[2], asked[3])
+        for k in range(len(asking)):
+            near, likes = graph.search(asking[k], asked[4], threshold - SLACK)
+            hits[k, near[likes >= threshold]] = True
+
+    search(vectors, two, met)
+    if same:
+        met |= met.T
+        np.fill_diagonal(met, False)
+    else:
+        search(held, one, met.T)
     shift = 0 if same else len(ids)
     nodes = ids if same else np.concatenate([ids, own])
     parent = np.arange(len(nodes))
@@ -67,15 +83,14 @@ def _ask(queries: tuple, index: tuple, same: bool, threshold: float) -> pd.DataF
                 return found
             found = up
 
-    counts = np.zeros(len(ids), np.int64)
+    counts = np.zeros(len(nodes), np.int64)
     for k in range(len(ids)):
-        near, likes = graph.search(vectors[k], beam, threshold - SLACK)
-        near = near[likes >= threshold]
-        if same:
-            near = near[near != k]
+        near = np.flatnonzero(met[k])
         if not len(near):
             continue
-        counts[k] = copies[near].sum()
+        counts[k] += held_copies[near].sum()
+        if not same:
+            counts[near + shift] += copies[k]
         tops = np.unique(roots(np.append(near + shift, k)))
         parent[tops] = tops[0]
         parent[k] = tops[0]
@@ -84,9 +99,9 @@ def _ask(queries: tuple, index: tuple, same: bool, threshold: float) -> pd.DataF
     linked = np.flatnonzero(counts)
     return pd.DataFrame(
         {
-            "rep": np.concatenate([ids[linked], nodes[tied]]),
+            "rep": np.concatenate([nodes[linked], nodes[tied]]),
             "links": np.concatenate([counts[linked], np.zeros(len(tied), np.int64)]),
-            "other": pd.array(np.concatenate([ids[linked], nodes[top[tied]]]), "Int64"),
+            "other": pd.array(np.concatenate([nodes[linked], nodes[top[tied]]]), "Int64"),
         }
     )
 
@@ -99,7 +114,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, shard_rows: int =
     components link with nothing, as do rows without a label. Equal vectors of a label are one class: copies
     are counted, never paired. Each label's classes are spread over shards of about ``shard_rows`` by a hash of
     their smallest id, each shard gets a graph and a beam that its audit passes, and every shard's vectors ask
-    every shard of their label. Links leave a task as counts and as a forest, never as all pairs. A row without
+    every shard of their label; a pair that either end finds counts for both. Links leave a task as counts and as a forest, never as all pairs. A row without
     an id is compared with nothing: null component, no links, kept; rows that share an id are one node.
     """
     rows = vectors.select(
@@ -145,24 +160,31 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, shard_rows: int =
                 one = np.frombuffer(row.vectors, np.float64).reshape(len(ids), -1)
                 held = np.frombuffer(row.held, np.float64).reshape(len(own), -1)
                 yield _ask(
-                    (ids, one), (own, np.asarray(row.copies), held, row.graph, row.beam), row.shard == row.to_shard, threshold
+                    (ids, np.asarray(row.copies), one, row.graph, row.beam),
+                    (own, np.asarray(row.own_copies), held, row.own_graph, row.own_beam),
+                    row.shard == row.to_shard,
+                    threshold,
                 )
 
     to = graphs.select(
         "block",
         F.col("shard").alias("to_shard"),
         F.col("ids").alias("own"),
-        "copies",
+        F.col("copies").alias("own_copies"),
         F.col("vectors").alias("held"),
-        "graph",
-        "beam",
+        F.col("graph").alias("own_graph"),
+        F.col("beam").alias("own_beam"),
     )
     meetings = graphs.select("block", "shard").join(graphs.select("block", F.col("shard").alias("to_shard")), "block")
+    meetings = meetings.where("shard <= to_shard")
     tasks = max(1, min(meetings.count(), TASKS))
     found = written(
-        meetings.join(graphs.select("block", "shard", "ids", "vectors"), ["block", "shard"])
+        meetings.join(graphs, ["block", "shard"])
         .join(to, ["block", "to_shard"])
-        .select("shard", "to_shard", "ids", "vectors", "own", "copies", "held", "graph", "beam")
+        .select(
+            *("shard", "to_shard", "ids", "copies", "vectors", "graph", "beam"),
+            *("own", "own_copies", "held", "own_graph", "own_beam"),
+        )
         .repartition(tasks)
         .mapInPandas(ask, FOUND),
         "vector-links",

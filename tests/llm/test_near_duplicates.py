@@ -182,6 +182,34 @@ def test_vectors_against_brute_force(spark):
     assert embeddings.near_vectors(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("same", [False, True])
+def test_pairs_count_for_both_ends(same):
+    # beams so narrow that a search misses much of what the search from the other end finds
+    drawn = np.random.default_rng(8)
+    left = drawn.standard_normal((400, 48))
+    right = left + 0.25 * drawn.standard_normal(left.shape)
+    shards = []
+    for k, vectors in enumerate([np.concatenate([left, right])] * 2 if same else [left, right]):
+        vectors = embeddings._units(vectors)
+        ids = np.arange(len(vectors)) + (0 if same else 1000 * k)
+        shards.append((ids, 1 + ids % 3, vectors, Graph.build(vectors).dump(), 2))
+    found = []
+    for one, two in (shards, shards[::-1]):
+        graph = Graph.load(two[2], two[3])
+        for i, v in zip(one[0].tolist(), one[2]):
+            near, likes = graph.search(v, 2, 0.93 - embeddings.SLACK)
+            found.append({(i, int(two[0][j])) for j in near[likes >= 0.93] if two[0][j] != i})
+    ways = set().union(*found)
+    both = ways | {(b, a) for a, b in ways}
+    assert len(ways) < len(both)  # some pairs are found from one end only
+    wanted = {a: sum(1 + b % 3 for x, b in both if x == a) for a, _ in both}
+    links = embeddings._ask(*shards, same, 0.93)
+    assert {int(k): n for k, n in links.groupby("rep")["links"].sum().items() if n} == wanted
+    top = groups(wanted, both)
+    tied = [(int(a), int(b)) for a, b in zip(links["rep"], links["other"]) if a != b]
+    assert groups(wanted, tied) == top
+
+
 def test_beam_widens_until_the_audit_passes():
     drawn = np.random.default_rng(5)
     vectors = drawn.standard_normal((1500, 24))

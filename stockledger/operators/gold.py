@@ -209,6 +209,7 @@ def days_of_supply(
     ``consumption`` has one row per month, hub and component. The trailing mean
     counts snapshot rows, not calendar months, and is shorter at the start. A
     window holds one row per month of one hub and component, so it stays small.
+    Several snapshots of a month follow each other by date, then by quantity.
     """
     cell = ["snapshot_month", "hub_id", "component_id"]
     used = consumption.select(
@@ -221,7 +222,7 @@ def days_of_supply(
     )
     trailing = (
         W.partitionBy("hub_id", "component_id")
-        .orderBy("snapshot_month")
+        .orderBy("snapshot_date", "on_hand_qty", "on_order_qty", "avg_age_days")
         .rowsBetween(1 - months, W.currentRow)
     )
     mean = F.col("trailing_mean")
@@ -296,15 +297,15 @@ def budget_vs_actual(
     """Booked against budgeted spend per month, cost centre and account.
 
     Both sides are summed to the cell before they meet; a cell present on one
-    side only counts zero on the other.
+    side only counts zero on the other. The account is part of the cell, so
+    accounts of other types go after the lines are summed.
     """
     cell = ["fiscal_month", "cost_center_id", "account_id"]
     spending = accounts.filter(F.col("account_type") == account_type)
-    booked = (
-        known(journal, spending, "account_id")
-        .groupBy(month_of("posting_date").alias("fiscal_month"), "cost_center_id", "account_id")
-        .agg(exact_sum("amount_usd").alias("actual"))
-    )
+    summed = journal.groupBy(
+        month_of("posting_date").alias("fiscal_month"), "cost_center_id", "account_id"
+    ).agg(exact_sum("amount_usd").alias("actual"))
+    booked = known(summed, spending, "account_id")
     planned = budget.groupBy(
         F.col("fiscal_month").cast("date").alias("fiscal_month"), "cost_center_id", "account_id"
     ).agg(exact_sum("budget_usd").alias("planned"))
@@ -350,18 +351,19 @@ def aging(
     names = ["current_usd"]
     names += [f"past_due_{low + 1}_{high}_usd" for low, high in zip(edges, edges[1:])]
     names += [f"past_due_over_{edges[-1]}_usd"]
-    owed = (
+    bucket = F.coalesce(*[F.when(inside, k) for k, inside in enumerate(buckets)])
+    # one sum for each supplier and bucket; the buckets become columns of the few groups
+    by_bucket = (
         invoices.filter(F.col("paid_date").isNull())
         .withColumn("days_past_due", days_between(F.col("due_date"), as_of))
-        .groupBy("supplier_id")
-        .agg(
-            F.count("*").alias("open_invoices"),
-            to_cents(exact_sum("amount_usd")).alias("open_usd"),
-            *[
-                to_cents(exact_sum(F.when(bucket, F.col("amount_usd")).otherwise(0.0))).alias(name)
-                for bucket, name in zip(buckets, names)
-            ],
-        )
+        .groupBy("supplier_id", bucket.alias("bucket"))
+        .agg(F.count("*").alias("open_invoices"), exact_sum("amount_usd").alias("amount"))
+    )
+    amounts = [F.when(F.col("bucket") == k, F.col("amount")).otherwise(0) for k in range(len(names))]
+    owed = by_bucket.groupBy("supplier_id").agg(
+        F.sum("open_invoices").alias("open_invoices"),
+        to_cents(F.sum("amount")).alias("open_usd"),
+        *[to_cents(F.sum(amount)).alias(name) for amount, name in zip(amounts, names)],
     )
     supplier = suppliers.select("supplier_id", "supplier_name", "payment_terms_days")
     return owed.join(supplier, "supplier_id").select(

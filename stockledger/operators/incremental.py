@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -146,22 +146,28 @@ def apply_changes(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
 
 
 def backfill(df: DataFrame, path: str, month_column: str, months: Sequence[str] | None) -> None:
-    """Write a month-partitioned table, or replace chosen months of it.
+    """Write a month-partitioned folder, or replace chosen months of it.
 
-    Only the partitions of the chosen months are overwritten; each is emptied
-    first, so a month that has no rows any more ends up empty. The rebalance
-    hint gathers a month's rows into few files and lets adaptive execution
-    split a month that is larger than the rest.
+    Only the partitions of the chosen months are overwritten. Spark writes the new rows aside and moves them in when
+    the whole write has succeeded; only then months that have no rows any more are emptied, so a write that fails
+    leaves every month as it was. Readers may see some months moved and others not: ``published.replace_days``
+    changes all at once. The rebalance hint gathers a month's rows into few files and lets adaptive execution split
+    a month that is larger than the rest.
     """
+    seen = Observation()
     if months is not None:
-        df = df.filter(F.col(month_column).isin([F.lit(m).cast("date") for m in months]))
-        nothing = df.sparkSession.createDataFrame([], df.drop(month_column).schema)
-        for month in months:
-            nothing.write.mode("overwrite").parquet(f"{path}/{month_column}={month}")
+        chosen = [F.lit(month).cast("date") for month in months]
+        df = df.filter(F.col(month_column).isin(chosen))
+        rows = [F.count(F.when(F.col(month_column) == day, 1)).alias(f"rows_{k}") for k, day in enumerate(chosen)]
+    moved = df.hint("rebalance", F.col(month_column))
     (
-        df.hint("rebalance", F.col(month_column))
+        (moved.observe(seen, *rows) if months else moved)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if months is not None else "static")
         .partitionBy(month_column)
         .parquet(path)
     )
+    nothing = df.sparkSession.createDataFrame([], df.drop(month_column).schema)
+    for k, month in enumerate(months or []):
+        if not seen.get[f"rows_{k}"]:
+            nothing.write.mode("overwrite").parquet(f"{path}/{month_column}={month}")

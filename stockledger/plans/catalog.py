@@ -20,6 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 INFRA = {"Brand#1": 1, "Brand#2": 64, "FRAME": 2}
 FAMILY_INFRA = {"E": {"Brand#3": 1}}
 PRICE_PATHS = {"ECONOMY": (0.012, 0.03, 3, 0), "SMALL": (-0.015, 0.08, 4, 1)}
+# added to the ids of owners that have stock and no moves
+STILL = 1_000_000_000_000
 BACKFILL_MONTHS = ["1996-03-01", "1998-11-01", "2001-02-01"]
 
 
@@ -353,14 +355,17 @@ def open_balance_edges(t: Trial) -> DataFrame:
 
 @query
 def balance_grid(t: Trial) -> DataFrame:
-    """Every month of every supplier, also of those whose stock never moves."""
+    """Every month of every supplier, and of payees whose stock never moves."""
     moves = F.array(
         F.struct(month_of("received_date").alias("month"), F.col("qty_received").alias("delta")),
         F.struct(month_of("promised_date").alias("month"), (-F.col("qty_ordered")).alias("delta")),
     )
-    moving = t.purchase_orders().filter(F.col("supplier_id") % 2 == 0)
-    delta = moving.select("supplier_id", F.inline(moves)).filter(F.col("month").isNotNull())
-    stock = t.suppliers().select("supplier_id", (F.col("payment_terms_days") * 10).alias("opening"))
+    delta = t.purchase_orders().select("supplier_id", F.inline(moves)).filter(F.col("month").isNotNull())
+    still = t.customers_as_payees().withColumn("supplier_id", F.col("supplier_id") + STILL)
+    owners = t.suppliers().select("supplier_id", "payment_terms_days").unionByName(
+        still.select("supplier_id", "payment_terms_days")
+    )
+    stock = owners.select("supplier_id", (F.col("payment_terms_days") * 10).alias("opening"))
     return supply.clamped_balance(
         delta, ["supplier_id"], "month", "delta", months=("1996-01-01", "1997-12-31"), stock=stock
     )
@@ -457,11 +462,9 @@ def post_depreciation(t: Trial) -> DataFrame:
 
 @query
 def post_depreciation_lines(t: Trial) -> DataFrame:
-    """The postings of one year, line by line."""
+    """All postings, line by line."""
     schedule = ledger.depreciation_schedule(t.racks(), WINDOW_END, cap_at_life=True)
-    return ledger.post_depreciation(schedule, t.region_centers()).filter(
-        F.year("posting_date") == 1999
-    )
+    return ledger.post_depreciation(schedule, t.region_centers())
 
 
 @query

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from stockledger import settings
 from stockledger.fixed_values import BRONZE, GOLD, GOLD_DATES, SILVER
 from stockledger.operators import gold, incremental, silver, supply
-from stockledger.operators.quality import Checks, run_checks
+from stockledger.operators.quality import Checks, Watch, report_of
+from stockledger.sources import published
 from stockledger.sources import tables as lake
 
 # The checks that come with the tables.
@@ -164,76 +165,115 @@ GOLD_MODELS = {
 
 
 def build(spark: SparkSession, root: str) -> DataFrame:
-    """Write silver and gold from bronze and report the checks on what was written."""
+    """Write silver and gold from bronze and report the checks on what was written.
+
+    Each table is written aside and then switched to, so a run that fails leaves every table whole, old or new.
+    Row-wise checks are counted in the writing; only keys are read again.
+    """
     settings.tune(spark, f"{root.rstrip('/')}/bronze")
     raw = bronze_tables(spark, root)
     layers = {"silver": SILVER_MODELS, "gold": GOLD_MODELS}
+    watched: list[tuple[str, str, int]] = []
     for layer, models in layers.items():
         for name, model in models.items():
-            lake.write_table(model.over(raw), root, layer, name)
+            watch = Watch(model.over(raw), name, CHECKS[name])
+            published.replace_table(watch.rows, lake.table_path(root, layer, name))
+            watched += watch.report()
     written = {name: table(spark, root, name) for name in CHECKS}
-    return run_checks(written, CHECKS)
+    return report_of(spark, watched, written, CHECKS)
+
+
+#: The area of journal rows whose account or cost centre is unknown so far.
+WAITING = "waiting"
 
 
-def append_journal(spark: SparkSession, root: str, lookback_days: int = 0) -> None:
+def append_journal(
+    spark: SparkSession, root: str, lookback_days: int = 0, batch: str | None = None
+) -> published.Version | None:
     """Add to the silver journal what the raw journal holds beyond it.
 
     The first run takes everything. Rows posted up to ``lookback_days`` before
     the newest loaded date still count as new when their id is unknown. Rows
-    whose account or cost centre is unknown so far wait in a table of their
+    whose account or cost centre is unknown so far wait in an area of their
     own and are tried again each time.
+
+    Loaded and waiting rows change in one step, so a run that is killed has
+    changed neither and can be started again. With a ``batch`` its name is part
+    of that step, and a batch that was applied before changes nothing.
     """
     model = SILVER_MODELS["stg_gl_journal"]
+    path = lake.table_path(root, "silver", "stg_gl_journal")
+    before = published.latest(spark, path)
+    if before is None:
+        before = _adopt(spark, path)
+    if before and batch is not None and published.applied(spark, path, batch):
+        return before
     settings.tune(spark, f"{root.rstrip('/')}/bronze/gl_journal")
     raw = bronze_tables(spark, root, model.reads)
-    try:
-        loaded = table(spark, root, "stg_gl_journal")
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-    else:
+    columns = raw["gl_journal"].columns
+    loaded = before.in_area() if before else []
+    waiting = before.in_area(WAITING) if before else []
+    if loaded:
+        journal = published.frame(spark, path, loaded)
         raw["gl_journal"] = incremental.incremental_append(
-            loaded, raw["gl_journal"], "journal_id", "posting_date", lookback_days
+            journal, raw["gl_journal"], "journal_id", "posting_date", lookback_days
         )
-    waiting = lake.table_path(root, "silver", "stg_gl_journal_waiting")
-    try:
-        held = spark.read.parquet(waiting)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-    else:
+    if waiting:
+        held = published.frame(spark, path, waiting)
+        if loaded:
+            held = held.join(journal.select("journal_id"), "journal_id", "left_anti")
         known = raw["gl_journal"].join(held, "journal_id", "left_anti")
-        raw["gl_journal"] = known.unionByName(held.select(known.columns))
-    # both results come from one copy of the new rows, since they change what made them
+        raw["gl_journal"] = known.unionByName(held.select(columns))
+    # both results come from one copy of the new rows
     copy = settings.scratch(spark, "journal")
     raw["gl_journal"].write.parquet(copy)
     raw["gl_journal"] = spark.read.schema(raw["gl_journal"].schema).parquet(copy)
     joined = model.over(raw)
-    rest = settings.scratch(spark, "journal-waiting")
-    raw["gl_journal"].join(joined, "journal_id", "left_anti").write.parquet(rest)
-    joined.write.mode("append").parquet(lake.table_path(root, "silver", "stg_gl_journal"))
-    spark.read.schema(raw["gl_journal"].schema).parquet(rest).write.mode("overwrite").parquet(waiting)
+    rest = raw["gl_journal"].join(joined, "journal_id", "left_anti")
+    run = published.new_run()
+    entries = [*published.stage(joined, path, run), *published.stage(rest, path, run, area=WAITING)]
+    return published.publish(spark, before, path, [*[e for e in loaded if e.run], *entries], batch)
+
+
+def _adopt(spark: SparkSession, path: str, column: str | None = None) -> published.Version | None:
+    """Publish what a plain folder holds, if there is one, as a table's first version."""
+    try:
+        plain = spark.read.parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    return published.replace_table(plain, path, column)
 
 
 def backfill_gold(
     spark: SparkSession, root: str, name: str, dates: Sequence[str] | None = None
-) -> None:
+) -> published.Version:
     """Write a fact partitioned by its date, or replace some of its dates.
 
-    Raw tables are read in the range of the dates. The stock fact averages a
-    key's last snapshot rows, however old they are, so it reads all of them. The
-    aging is a snapshot of one day and has no dates.
+    The rows are written aside and all dates change in one step; a run that
+    fails leaves the fact as it was. Raw tables are read in the range of the
+    dates. The stock fact averages a key's last snapshot rows, however old they
+    are, so it reads all of them. The aging is a snapshot of one day and has no
+    dates.
     """
     if name not in GOLD_DATES:
         raise ValueError(f"{name} is a snapshot: build it whole")
-    model = GOLD_MODELS[name]
+    model, column = GOLD_MODELS[name], GOLD_DATES[name]
     settings.tune(spark, *[lake.table_path(root, "bronze", raw) for raw in model.reads])
     raw = bronze_tables(spark, root, model.reads)
-    if dates:
-        raw = model.within(raw, dates)
-    facts = model.over(raw)
     path = lake.table_path(root, "gold", name)
-    incremental.backfill(facts, path, GOLD_DATES[name], dates)
+    if not dates:
+        facts = model.over(raw)
+        return published.replace_table(facts.hint("rebalance", F.col(column)), path, column)
+    before = published.latest(spark, path)
+    if before is None:
+        _adopt(spark, path, column)
+    elif any(not entry.slot and entry.run for entry in before.in_area()):
+        # the fact was built whole: its days get folders of their own first
+        published.replace_table(published.read(spark, path), path, column)
+    facts = model.over(model.within(raw, dates)).hint("rebalance", F.col(column))
+    return published.replace_days(facts, path, column, dates)
 
 
 def open_views(spark: SparkSession, root: str) -> None:

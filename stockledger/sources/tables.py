@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from stockledger.sources import published
+
 LAYERS = ("bronze", "silver", "gold")
 
 
@@ -33,10 +35,14 @@ def read_table(
 ) -> DataFrame:
     """Scan a table; ``limit`` caps the rows returned.
 
-    Give ``schema`` to skip reading a footer for it.
+    Give ``schema`` to skip reading a footer for it. Of a silver or gold table that is published in versions, the
+    newest is read; raw tables are plain folders.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    table = reader.parquet(table_path(root, layer, name, layout))
+    path = table_path(root, layer, name, layout)
+    table = published.read(spark, path) if layer != "bronze" and layout == LAYOUT else None
+    if table is None:
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        table = reader.parquet(path)
     return table if limit is None else table.limit(limit)
 
 

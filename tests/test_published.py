@@ -1,0 +1,242 @@
+"""Tables that change in one step: what readers see, what a failed write leaves."""
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from stockledger.operators import incremental
+from stockledger.plans import lakehouse
+from stockledger.sources import published
+from stockledger.sources import tables as lake
+from tests.rows import day, frame
+
+FACT = "month date, v long"
+
+
+def fact(spark, *rows):
+    return frame(spark, FACT, [(day(month), v) for month, v in rows])
+
+
+def broken(df):
+    """The same rows, but one month's fails while it is written."""
+    fails = F.when(F.col("month") == F.lit(day("2025-02-01")), F.raise_error(F.lit("no disk"))).otherwise(F.col("v"))
+    return df.withColumn("v", fails.cast("long"))
+
+
+def rows_of(df):
+    return sorted((str(r.month), r.v) for r in df.collect())
+
+
+JAN, FEB, MAR = "2025-01-01", "2025-02-01", "2025-03-01"
+
+
+def test_months_are_replaced_in_one_step(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    assert published.read(spark, path) is None
+    published.replace_table(fact(spark, (JAN, 1), (FEB, 2), (MAR, 3), (None, 4)), path, "month")
+    old = published.read(spark, path)
+    published.replace_days(fact(spark, (JAN, 10), (JAN, 11), (MAR, 99)), path, "month", [JAN, FEB])
+    assert rows_of(published.read(spark, path)) == [(JAN, 10), (JAN, 11), (MAR, 3), ("None", 4)]
+    # who began to read before still reads the version of then
+    assert rows_of(old) == [(JAN, 1), (FEB, 2), (MAR, 3), ("None", 4)]
+    assert rows_of(published.read(spark, path, number=1)) == rows_of(old)
+    assert published.read(spark, path).columns == ["month", "v"]
+
+
+def test_a_failed_write_leaves_the_months(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    before = fact(spark, (JAN, 1), (FEB, 2), (MAR, 3))
+    published.replace_table(before, path, "month")
+    plain = f"{tmp_path}/plain"
+    incremental.backfill(before, plain, "month", None)
+    new = broken(fact(spark, (JAN, 10), (FEB, 20), (MAR, 30)).repartition(3, "month"))
+    for write in (
+        lambda: published.replace_days(new, path, "month", [JAN, FEB, MAR]),
+        lambda: published.replace_table(new, path, "month"),
+        lambda: incremental.backfill(new, plain, "month", [JAN, FEB, MAR]),
+    ):
+        with pytest.raises(PySparkException, match="no disk"):
+            write()
+    assert rows_of(published.read(spark, path)) == rows_of(before)
+    assert rows_of(spark.read.parquet(plain)) == rows_of(before)
+    assert published.latest(spark, path).number == 1
+
+
+def test_rows_that_fail_a_check_are_not_published(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    published.replace_table(fact(spark, (JAN, 1)), path, "month")
+
+    def no_negatives(staged):
+        if staged.filter("v < 0").count():
+            raise ValueError("negative")
+
+    with pytest.raises(ValueError, match="negative"):
+        published.replace_days(fact(spark, (JAN, -1)), path, "month", [JAN], no_negatives)
+    assert rows_of(published.read(spark, path)) == [(JAN, 1)]
+
+
+def test_two_writers_on_one_version(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    first = published.replace_table(fact(spark, (JAN, 1)), path, "month")
+    entries = published.stage(fact(spark, (FEB, 2)), path, published.new_run(), "month")
+    published.replace_days(fact(spark, (MAR, 3)), path, "month", [MAR])
+    with pytest.raises(published.Conflict):
+        published.publish(spark, first, path, [*first.entries, *entries])
+    assert rows_of(published.read(spark, path)) == [(JAN, 1), (MAR, 3)]
+
+
+def test_writers_that_race_for_a_number(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    first = published.replace_table(fact(spark, (JAN, 1)), path, "month")
+    late = published.stage(fact(spark, (FEB, 2)), path, published.new_run(), "month")
+    won = published.replace_days(fact(spark, (MAR, 3)), path, "month", [MAR])
+    # the second writer has looked before the first one's version was there
+    real = published.latest
+    monkeypatch.setattr(published, "latest", lambda s, p, n=None: real(s, p, n) if n else first)
+    with pytest.raises(published.Conflict):
+        published.publish(spark, first, path, [*first.entries, *late])
+    monkeypatch.undo()
+    assert published.latest(spark, path) == won
+    assert rows_of(published.read(spark, path)) == [(JAN, 1), (MAR, 3)]
+
+
+def test_empty_tables_keep_their_columns(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    for write in (
+        lambda: published.replace_table(fact(spark), path, "month"),
+        lambda: published.replace_days(fact(spark, (JAN, 1)), path, "month", [FEB]),
+    ):
+        write()
+        assert published.read(spark, path).schema.simpleString() == "struct<month:date,v:bigint>"
+        assert published.read(spark, path).count() == 0
+    published.replace_days(fact(spark, (JAN, 1)), path, "month", [JAN])
+    assert rows_of(published.read(spark, path)) == [(JAN, 1)]
+
+
+def test_batches_are_applied_once_and_gathered(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    for batch in ("a", "b", "a", "b", "c"):
+        published.append(fact(spark, (JAN, ord(batch))), path, batch=batch)
+    assert rows_of(published.read(spark, path)) == [(JAN, 97), (JAN, 98), (JAN, 99)]
+    assert published.compact(spark, path).number == 4
+    assert len(published.latest(spark, path).entries) == 1
+    assert rows_of(published.read(spark, path)) == [(JAN, 97), (JAN, 98), (JAN, 99)]
+    # a gathered table still knows its batches
+    assert published.append(fact(spark, (JAN, 1)), path, batch="b").number == 4
+
+
+def test_unused_runs_go_and_used_ones_stay(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    for v in range(4):
+        published.replace_table(fact(spark, (JAN, v)), path)
+    waiting = published.stage(fact(spark, (FEB, 9)), path, published.new_run())
+    assert len(published.remove_unused(spark, path)) == 2
+    assert published.unused_runs(spark, path) == []
+    assert rows_of(published.read(spark, path)) == [(JAN, 3)]
+    assert rows_of(published.read(spark, path, number=3)) == [(JAN, 2)]
+    before = published.latest(spark, path)
+    published.publish(spark, before, path, [*before.entries, *waiting])
+    assert rows_of(published.read(spark, path)) == [(JAN, 3), (FEB, 9)]
+
+
+def test_months_are_pruned(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    published.replace_table(fact(spark, (JAN, 1), (FEB, 2)), path, "month")
+    plan = published.read(spark, path).filter(F.col("month") == F.lit(day(FEB)))._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan
+
+
+JOURNAL = (
+    "journal_id string, posting_date date, account_id string, cost_center_id string, "
+    "amount_usd double, source string, reference string, memo string"
+)
+
+
+@pytest.fixture
+def ledger(spark, tmp_path):
+    root = str(tmp_path)
+
+    def put(accounts, *journal):
+        lake.write_table(
+            frame(spark, "account_id string, account_name string, account_type string", [(a, "n", "Opex") for a in accounts]),
+            root, "bronze", "gl_accounts",
+        )
+        lake.write_table(
+            frame(spark, "cost_center_id string, cost_center_name string, org string, region_code string", [("C", "n", "o", "r")]),
+            root, "bronze", "cost_centers",
+        )
+        rows = [(j, day(d), a, "C", 1.0, "s", "r", "m") for j, d, a in journal]
+        lake.write_table(frame(spark, JOURNAL, rows), root, "bronze", "gl_journal")
+
+    return root, put
+
+
+def ids(spark, root, area=published.DATA):
+    table = published.read(spark, lake.table_path(root, "silver", "stg_gl_journal"), area)
+    return sorted(r.journal_id for r in table.collect())
+
+
+def test_an_append_that_is_killed_and_started_again(spark, ledger, monkeypatch):
+    root, put = ledger
+    put(["1"], ("J1", "2025-01-01", "1"), ("J2", "2025-01-02", "2"))
+    lakehouse.append_journal(spark, root)
+    assert (ids(spark, root), ids(spark, root, lakehouse.WAITING)) == (["J1"], ["J2"])
+    put(["1", "2"], ("J1", "2025-01-01", "1"), ("J2", "2025-01-02", "2"), ("J3", "2025-01-03", "1"))
+
+    class Killed(Exception):
+        pass
+
+    # at every write of the run: the joined rows, the waiting ones, the version
+    for step in ("stage", "publish"):
+        for after in (0, 1):
+            real, seen = getattr(published, step), []
+
+            def dies(*args, _real=real, _seen=seen, _after=after, **named):
+                if len(_seen) == _after:
+                    raise Killed
+                _seen.append(1)
+                return _real(*args, **named)
+
+            if step == "publish" and after:
+                continue
+            monkeypatch.setattr(published, step, dies)
+            with pytest.raises(Killed):
+                lakehouse.append_journal(spark, root)
+            monkeypatch.undo()
+            assert (ids(spark, root), ids(spark, root, lakehouse.WAITING)) == (["J1"], ["J2"])
+    for _ in range(2):
+        lakehouse.append_journal(spark, root)
+        assert (ids(spark, root), ids(spark, root, lakehouse.WAITING)) == (["J1", "J2", "J3"], [])
+
+
+def test_a_batch_of_the_journal_is_applied_once(spark, ledger):
+    root, put = ledger
+    put(["1"], ("J1", "2025-01-01", "1"))
+    first = lakehouse.append_journal(spark, root, batch="day 1")
+    put(["1"], ("J1", "2025-01-01", "1"), ("J2", "2025-01-02", "1"))
+    assert lakehouse.append_journal(spark, root, batch="day 1") == first
+    assert ids(spark, root) == ["J1"]
+    lakehouse.append_journal(spark, root, batch="day 2")
+    assert ids(spark, root) == ["J1", "J2"]
+
+
+def test_a_waiting_row_that_was_loaded_meanwhile(spark, ledger):
+    root, put = ledger
+    put(["1"], ("J1", "2025-01-01", "1"), ("J2", "2025-01-02", "2"))
+    lakehouse.append_journal(spark, root)
+    put(["1", "2"], ("J1", "2025-01-01", "1"), ("J2", "2025-01-02", "2"))
+    path = lake.table_path(root, "silver", "stg_gl_journal")
+    raw = lakehouse.bronze_tables(spark, root, lakehouse.SILVER_MODELS["stg_gl_journal"].reads)
+    published.replace_table(lakehouse.SILVER_MODELS["stg_gl_journal"].over(raw), path)
+    lakehouse.append_journal(spark, root)
+    assert (ids(spark, root), ids(spark, root, lakehouse.WAITING)) == (["J1", "J2"], [])
+
+
+def test_a_plain_journal_goes_on_in_versions(spark, ledger):
+    root, put = ledger
+    put(["1"], ("J1", "2025-01-01", "1"), ("J2", "2025-01-02", "1"))
+    raw = lakehouse.bronze_tables(spark, root, lakehouse.SILVER_MODELS["stg_gl_journal"].reads)
+    joined = lakehouse.SILVER_MODELS["stg_gl_journal"].over(raw)
+    lake.write_table(joined.filter("journal_id = 'J1'"), root, "silver", "stg_gl_journal")
+    lakehouse.append_journal(spark, root)
+    assert ids(spark, root) == ["J1", "J2"]

@@ -20,4 +20,4 @@ def test_query_matches_sql(spark, con, name):
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries())
     assert set(STATEMENTS) <= set(oracle_sql())
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))

@@ -254,16 +254,27 @@ def occurrences(
     ``pass_bytes``, and only that much is fetched and broadcast for each.
     """
     shards = shards_of(terms, shard_terms)
-    at = F.sum("bytes").over(W.orderBy("lang", "shard").rowsBetween(W.unboundedPreceding, W.currentRow))
-    passes = shards.select("lang", "shard", "bytes").withColumn("at", at)
-    numbered = passes.withColumn("pass", F.floor((F.col("at") - 1) / pass_bytes).cast("int")).drop("at", "bytes")
-    last = numbered.agg(F.max("pass")).first()[0]
+    # a row for each shard_terms terms
+    sizes = shards.select("lang", "shard", "bytes").orderBy("lang", "shard").collect()
+    passes: list[list[tuple[str, int]]] = []
+    room = 0
+    for lang, shard, size in sizes:
+        if not passes or size > room:
+            passes.append([])
+            room = pass_bytes
+        passes[-1].append((lang, shard))
+        room -= size
     parts = rows.sparkSession.createDataFrame([], "lang string, source string, ordinal long, n long")
-    for k in range(0 if last is None else last + 1):
-        held = shards.join(numbered.where(F.col("pass") == k), ["lang", "shard"]).select("lang", "shard", "first", "data")
-        found = [(r["lang"], r["shard"], r["first"], bytes(r["data"])) for r in held.collect()]
-        if found:
-            parts = parts.unionByName(recounted(rows, found, shard_terms))
+    for held in passes:
+        (first_lang, first), (last_lang, last) = held[0], held[-1]
+        key = F.struct("lang", "shard")
+        among = key.between(
+            F.struct(F.lit(first_lang).alias("lang"), F.lit(first).cast("long").alias("shard")),
+            F.struct(F.lit(last_lang).alias("lang"), F.lit(last).cast("long").alias("shard")),
+        )
+        found = shards.where(among).select("lang", "shard", "first", "data").collect()
+        sent = [(r["lang"], r["shard"], r["first"], bytes(r["data"])) for r in found]
+        parts = parts.unionByName(recounted(rows, sent, shard_terms))
     return parts.groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n"))
 
 
@@ -279,41 +290,39 @@ def compared(counts: DataFrame, groups: DataFrame, sizes: DataFrame) -> DataFram
     them, and the terms that stand out most in each source.
 
     ``counts`` as of ``occurrences``, ``groups``: every ``lang, source``, ``sizes``: ``lang, v`` with the number of
-    kept terms. A block holds the counts of a few terms for all sources of a language.
+    kept terms. A block holds the counts of a few terms for all sources of a language, fewer terms where a language
+    has very many sources; blocks are dealt out by language and number.
     """
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    # every group with what its shares need, and how many terms make a block of its language
+    # every group with what its shares need
     known = groups.join(totals, ["lang", "source"], "left").join(sizes, "lang", "left").fillna(0, ["total", "v"])
-    sources = known.groupBy("lang").agg(
-        F.count("*").alias("sources"), F.sum("total").cast("long").alias("lang_total"), F.max("v").alias("v")
-    )
-    wide = F.greatest(F.lit(1), F.least(F.lit(BLOCK_TERMS), F.floor(F.lit(BLOCK_CELLS) / F.col("sources"))))
-    # the pieces depend on the number of sources alone
-    blocks = sources.withColumn("wide", wide.cast("long")).drop("sources")
-    last = F.greatest(F.lit(0), F.floor((F.col("v") - 1) / F.col("wide"))).cast("long")
+    known = written(known, "groups")
+    langs = known.groupBy("lang").agg(F.sum("total").cast("long").alias("lang_total"), F.count("*").alias("sources"))
+    # one width for all languages, so that counts find their block without a join on the language
+    most = langs.agg(F.max("sources")).first()[0] or 1
+    wide = max(1, min(BLOCK_TERMS, BLOCK_CELLS // most))
+    last = F.greatest(F.lit(0), F.floor((F.col("v") - 1) / wide)).cast("long")
+    zero = F.lit(0).cast("long")
     heads = (
-        known.select("lang", "source", "total")
-        .join(blocks, "lang")
-        .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-        .select("lang", "block", "source", "total", "lang_total", "v", "wide", F.lit(-1).cast("long").alias("ordinal"), F.lit(0).cast("long").alias("n"))
+        known.join(langs.drop("sources"), "lang")
+        .withColumn("block", F.explode(F.sequence(zero, last)))
+        .select("lang", "block", "source", "total", "lang_total", "v", (zero - 1).alias("ordinal"), zero.alias("n"))
     )
-    zero = F.lit(0).cast("long")
-    cells = counts.join(blocks.select("lang", "wide"), "lang").select(
+    cells = counts.select(
         "lang",
-        F.floor(F.col("ordinal") / F.col("wide")).cast("long").alias("block"),
+        F.floor(F.col("ordinal") / wide).cast("long").alias("block"),
         "source",
         *[zero.alias(c) for c in ("total", "lang_total", "v")],
-        "wide",
         "ordinal",
         "n",
     )
 
-    def compare(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def compare(key, rows):
         lang, block = key
         is_head = rows["ordinal"].to_numpy() < 0
         head, cell = rows[is_head].sort_values("source"), rows[~is_head]
         names = head["source"].to_numpy()
-        v, wide = int(head["v"].iloc[0]), int(head["wide"].iloc[0])
+        v = int(head["v"].iloc[0])
         width = min(wide, v - block * wide)
         held = np.zeros((len(names), max(width, 0)), np.int64)
         held[np.searchsorted(names, cell["source"].to_numpy()), cell["ordinal"].to_numpy() - block * wide] = cell["n"]
@@ -343,7 +352,8 @@ def compared(counts: DataFrame, groups: DataFrame, sizes: DataFrame) -> DataFram
         return table
 
     schema = "lang string, source string, part string, item string, ordinal long, value long"
-    return heads.unionByName(cells).groupBy("lang", "block").applyInPandas(compare, schema)
+    dealt = heads.unionByName(cells).repartition("lang", "block")
+    return dealt.groupBy("lang", "block").applyInPandas(compare, schema)
 
 
 def _rank(*order: Column) -> Column:

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Odd, so that it has an inverse modulo 2**64.
-BASE = 0x9E3779B97F4A7C15
-BASE_INVERSE = pow(BASE, -1, 1 << 64)
+#: Spreads small numbers over 64 bits.
+ODD = 0x9E3779B97F4A7C15
+#: Hashes are polynomials modulo two primes below 2**31: a power of two would give some different words of any base
+#: the same hash, whatever the codes of their letters are.
+PRIMES = (2_147_483_647, 2_147_483_629)
+BASES = (1_583_458_089, 784_588_716)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -17,30 +20,43 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Powers:
-    """Powers of BASE and of its inverse modulo 2**64, as many as were asked for so far."""
+    """Powers of a base and of its inverse modulo a prime, as many as were asked for so far."""
 
-    def __init__(self):
+    def __init__(self, base: int, prime: int):
+        self.prime, self.base = prime, base
         self.up = self.down = np.ones(1, np.uint64)
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             size = 1 << (n - 1).bit_length()
-            self.up, self.down = (
-                np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size - 1, b, np.uint64)]))
-                for b in (BASE, BASE_INVERSE)
-            )
+            self.up = self._powers(self.base, size)
+            self.down = self._powers(pow(self.base, -1, self.prime), size)
         return self.up, self.down
 
+    def _powers(self, base: int, size: int) -> np.ndarray:
+        found = np.ones(1, np.uint64)
+        while len(found) < size:
+            found = np.concatenate([found, found * np.uint64(pow(base, len(found), self.prime)) % np.uint64(self.prime)])
+        return found
 
-POWERS = Powers()
+
+POWERS = tuple(Powers(base, prime) for base, prime in zip(BASES, PRIMES, strict=True))
 
 
 def stretch_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of each stretch of 64-bit codes, the same wherever the stretch stands."""
-    up, down = POWERS.upto(len(codes) + 1)
-    sums = np.zeros(len(codes) + 1, np.uint64)
-    np.cumsum(codes * up[: len(codes)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    found = np.zeros(len(starts), np.uint64)
+    for powers, shift in zip(POWERS, (0, 33), strict=True):
+        up, down = powers.upto(len(codes) + 1)
+        prime = np.uint64(powers.prime)
+        own = codes >> np.uint64(shift) & np.uint64((1 << 31) - 1)
+        own *= up[: len(codes)]
+        own %= prime
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(own, out=sums[1:])
+        part = (sums[ends] - sums[starts]) % prime * down[starts] % prime
+        found = found << np.uint64(31) | part
+    return mixed(found ^ mixed((ends - starts).astype(np.uint64) * np.uint64(ODD)))
 
 
 _BYTES = np.arange(256, dtype=np.uint64)
@@ -70,7 +86,7 @@ def shingles(hashes: np.ndarray, size: int = 5) -> np.ndarray:
     n = len(hashes)
     if not n:
         return hashes
-    weights = mixed(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(BASE))
+    weights = mixed(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(ODD))
     if n < size:
         return mixed(np.array([(hashes * weights[:n]).sum() + np.uint64(n)], np.uint64))
     total = np.full(n - size + 1, np.uint64(size))

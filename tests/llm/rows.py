@@ -49,3 +49,11 @@ def clashing(df):
 
     names = ["part", "rep", "score", "ids", "curve", "copies", "rate", "range", "gone", "row", "left", "id", "k"]
     return df.select("*", *(F.lit(f"own {n}").alias(n) for n in names))
+
+
+def colliding_words() -> tuple[str, str]:
+    """Two words that every polynomial hash modulo 2**64 with an odd base confuses, whatever its letters' codes."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))

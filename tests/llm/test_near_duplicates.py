@@ -8,7 +8,7 @@ from stockledger.llm import embeddings, minhash
 from stockledger.llm.components import components
 from stockledger.llm.hnsw import Graph
 from stockledger.llm.words import shingles, words
-from tests.llm.rows import clashing, documents, edge_texts, prose
+from tests.llm.rows import clashing, colliding_words, documents, edge_texts, prose
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
@@ -221,3 +221,9 @@ def test_beam_widens_until_the_audit_passes():
     assert beam > 4 and np.mean(hits) >= 9
     again = Graph.load(vectors, graph.dump())
     assert (np.sort(again.search(vectors[3], beam, 0.9)[0]) == np.sort(graph.search(vectors[3], beam, 0.9)[0])).all()
+
+
+def test_words_that_collide_modulo_a_power_of_two_are_not_linked(spark):
+    x, y = colliding_words()
+    found = minhash.near_duplicates(documents(spark, [(1, x), (2, y), (3, x)])).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(1, 1), (2, 2), (3, 1)}

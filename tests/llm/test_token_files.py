@@ -6,12 +6,13 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from stockledger.llm import rans
+from stockledger.llm import rans, tokens
 from stockledger.llm.packing import hilbert_keys, pack, packed_pieces
 from stockledger.llm.queries import tokenizer_path
 from stockledger.llm.token_files import read_token_files, round_trip, write_token_files
 from stockledger.llm.tokens import Encoder
-from tests.llm.rows import clashing, documents, edge_texts
+from stockledger.llm.words import words
+from tests.llm.rows import clashing, colliding_words, documents, edge_texts
 
 PATH = tokenizer_path()
 TRICKY = [
@@ -43,6 +44,27 @@ def test_ids_are_those_of_the_plain_call(coder):
     assert 50256 in wanted[TRICKY.index("x <|endoftext|> y")]
 
 
+def test_words_that_collide_modulo_a_power_of_two(spark, coder):
+    x, y = colliding_words()
+    hashes, _ = words([x, y])
+    assert hashes[0] != hashes[1]
+    texts = [x, y, f"{x} {y}", f"{y} {x}", "end"]
+    assert [np.frombuffer(b, coder.dtype).tolist() for b in coder.encode(texts)] == [whole(coder, t) for t in texts]
+    found = sorted(map(tuple, round_trip(documents(spark, list(enumerate(texts))), PATH).collect()))
+    start = 0
+    for (doc_id, at, n, crc), text in zip(found, texts, strict=True):
+        ids = np.array([*whole(coder, text), 0], "<u4")
+        assert (at, n, crc) == (start, len(ids), zlib.crc32(ids.tobytes())), doc_id
+        start += len(ids)
+
+
+def test_stretches_that_share_a_hash_go_whole(monkeypatch):
+    texts = ["one two three", "two one three", "", "three"]
+    monkeypatch.setattr(tokens, "stretch_hashes", lambda codes, starts, ends: (ends - starts).astype(np.uint64))
+    coder = Encoder(PATH)
+    assert [np.frombuffer(b, coder.dtype).tolist() for b in coder.encode(texts)] == [whole(coder, t) for t in texts]
+
+
 def test_files_hold_the_ids_of_the_plain_call(spark):
     plain = Tokenizer.from_file(PATH)
     rows = [(1, "x <|endoftext|> y"), (2, "z")]

@@ -183,8 +183,8 @@ def build(spark: SparkSession, root: str) -> DataFrame:
     return report_of(spark, watched, written, CHECKS)
 
 
-#: The area of journal rows whose account or cost centre is unknown so far.
-WAITING = "waiting"
+#: The areas of journal rows whose account or cost centre is unknown so far, and of those that came too late.
+WAITING, LATE = "waiting", "late"
 
 
 def append_journal(
@@ -201,6 +201,23 @@ def append_journal(
     changed neither and can be started again. With a ``batch`` its name is part
     of that step, and a batch that was applied before changes nothing.
     """
+    settings.tune(spark, f"{root.rstrip('/')}/bronze/gl_journal")
+    return _append(spark, root, lake.read_table(spark, root, "gl_journal"), lookback_days, batch, False)
+
+
+def append_rows(
+    spark: SparkSession, root: str, rows: DataFrame, lookback_days: int, batch: str
+) -> published.Version | None:
+    """``append_journal`` for lines that have just arrived, which may repeat among themselves.
+
+    Lines that are too old to be taken go to an area of their own, once for each id.
+    """
+    return _append(spark, root, rows.dropDuplicates(["journal_id"]), lookback_days, batch, True)
+
+
+def _append(
+    spark: SparkSession, root: str, rows: DataFrame, lookback_days: int, batch: str | None, keep_late: bool
+) -> published.Version | None:
     model = SILVER_MODELS["stg_gl_journal"]
     path = lake.table_path(root, "silver", "stg_gl_journal")
     before = published.latest(spark, path)
@@ -208,31 +225,37 @@ def append_journal(
         before = _adopt(spark, path)
     if before and batch is not None and published.applied(spark, path, batch):
         return before
-    settings.tune(spark, f"{root.rstrip('/')}/bronze/gl_journal")
-    raw = bronze_tables(spark, root, model.reads)
-    columns = raw["gl_journal"].columns
+    raw = bronze_tables(spark, root, [name for name in model.reads if name != "gl_journal"])
     loaded = before.in_area() if before else []
     waiting = before.in_area(WAITING) if before else []
+    late = before.in_area(LATE) if before else []
+    fresh, old = rows, None
     if loaded:
         journal = published.frame(spark, path, loaded)
-        raw["gl_journal"] = incremental.incremental_append(
-            journal, raw["gl_journal"], "journal_id", "posting_date", lookback_days
-        )
+        fresh = incremental.incremental_append(journal, rows, "journal_id", "posting_date", lookback_days)
+        if keep_late:
+            old = incremental.skipped_rows(journal, rows, "journal_id", "posting_date", lookback_days)
     if waiting:
         held = published.frame(spark, path, waiting)
         if loaded:
             held = held.join(journal.select("journal_id"), "journal_id", "left_anti")
-        known = raw["gl_journal"].join(held, "journal_id", "left_anti")
-        raw["gl_journal"] = known.unionByName(held.select(columns))
-    # both results come from one copy of the new rows
+        if old is not None:
+            old = old.join(held.select("journal_id"), "journal_id", "left_anti")
+        fresh = fresh.join(held, "journal_id", "left_anti")
+        fresh = fresh.select(rows.columns).unionByName(held.select(rows.columns))
+    # all results come from one copy of the new rows
     copy = settings.scratch(spark, "journal")
-    raw["gl_journal"].write.parquet(copy)
-    raw["gl_journal"] = spark.read.schema(raw["gl_journal"].schema).parquet(copy)
+    fresh.select(rows.columns).write.parquet(copy)
+    raw["gl_journal"] = spark.read.schema(fresh.select(rows.columns).schema).parquet(copy)
     joined = model.over(raw)
-    rest = raw["gl_journal"].join(joined, "journal_id", "left_anti")
+    rest = raw["gl_journal"].join(joined, "journal_id", "left_anti").select(rows.columns)
     run = published.new_run()
     entries = [*published.stage(joined, path, run), *published.stage(rest, path, run, area=WAITING)]
-    return published.publish(spark, before, path, [*[e for e in loaded if e.run], *entries], batch)
+    if old is not None:
+        if late:
+            old = old.join(published.frame(spark, path, late).select("journal_id"), "journal_id", "left_anti")
+        entries += published.stage(old.select(rows.columns), path, run, area=LATE)
+    return published.publish(spark, before, path, [*[e for e in loaded if e.run], *late, *entries], batch)
 
 
 def _adopt(spark: SparkSession, path: str, column: str | None = None) -> published.Version | None:

@@ -36,18 +36,11 @@ def known(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     return facts.join(dimension.select(key), key, "left_semi")
 
 
-def supplier_scorecard(
-    lines: DataFrame, suppliers: DataFrame, components: DataFrame | None = None
-) -> DataFrame:
-    """On-time, in-full and combined delivery of closed lines.
+def scorecard_parts(lines: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """What the scorecard needs of closed lines, summed per supplier, promised month and ``by``.
 
-    ``lines`` are flagged purchase-order lines; one result row per supplier and
-    promised month. Lateness is averaged over late lines only. Give
-    ``components`` when lines of unknown components may still be present: the
-    lines are summed per component before they meet, so the join sees sums.
+    Parts of different lines add up, so a fact can be kept by adding those of new lines (``plans.rollups``).
     """
-    cell = ["promised_month", "supplier_id"]
-    closed = lines.filter(F.col("status") == "Closed")
     late = ~F.col("is_on_time")
     sums = {
         "po_lines": F.count("*"),
@@ -59,16 +52,44 @@ def supplier_scorecard(
         "late_lines": F.count(F.when(late, F.col("days_late"))),
         "received_value_usd": exact_sum("received_value_usd"),
     }
-    named = [value.alias(name) for name, value in sums.items()]
+    closed = lines.filter(F.col("status") == "Closed")
+    return closed.groupBy("promised_month", "supplier_id", *by).agg(
+        *[value.alias(name) for name, value in sums.items()]
+    )
+
+
+def added_up(parts: DataFrame, cell: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Parts per ``cell``; ``keys`` are further columns that are no sums."""
+    sums = [name for name in parts.columns if name not in (*cell, *keys)]
+    return parts.groupBy(*cell).agg(*[F.sum(name).alias(name) for name in sums])
+
+
+def supplier_scorecard(
+    lines: DataFrame, suppliers: DataFrame, components: DataFrame | None = None
+) -> DataFrame:
+    """On-time, in-full and combined delivery of closed lines.
+
+    ``lines`` are flagged purchase-order lines; one result row per supplier and
+    promised month. Lateness is averaged over late lines only. Give
+    ``components`` when lines of unknown components may still be present: the
+    lines are summed per component before they meet, so the join sees sums.
+    """
     if components is None:
-        summed = closed.groupBy(*cell).agg(*named)
-    else:
-        by_component = closed.groupBy(*cell, "component_id").agg(*named)
-        summed = (
-            known(by_component, components, "component_id")
-            .groupBy(*cell)
-            .agg(*[F.sum(name).alias(name) for name in sums])
-        )
+        return _scorecard(scorecard_parts(lines), suppliers)
+    return scorecard_of(scorecard_parts(lines, ["component_id"]), suppliers, components)
+
+
+def scorecard_of(parts: DataFrame, suppliers: DataFrame, components: DataFrame) -> DataFrame:
+    """The scorecard from parts per component."""
+    kept = known(parts, components, "component_id")
+    cell = ["promised_month", "supplier_id"]
+    summed = added_up(kept, cell, ["component_id"])
+    # lines that were taken back leave cells without lines
+    return _scorecard(summed.filter(F.col("po_lines") > 0), suppliers)
+
+
+def _scorecard(summed: DataFrame, suppliers: DataFrame) -> DataFrame:
+    cell = ["promised_month", "supplier_id"]
     scores = summed.select(
         *cell,
         "po_lines",
@@ -112,21 +133,29 @@ def price_variance(
     the summed quantity and the component joins after the grouping. With
     ``suppliers``, lines are summed per supplier before unknown ones go.
     """
+    if suppliers is None:
+        return _variance(variance_parts(lines), components)
+    return variance_of(variance_parts(lines, ["supplier_id"]), components, suppliers)
+
+
+def variance_parts(lines: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """What the price variance needs of received lines; parts of different lines add up."""
     received = lines.filter((F.col("status") == "Closed") & (F.col("qty_received") > 0))
-    cell = [month_of("received_date").alias("received_month"), F.col("component_id")]
-    sums = [
+    return received.groupBy(month_of("received_date").alias("received_month"), "component_id", *by).agg(
+        F.count("*").alias("lines"),
         F.sum("qty_received").alias("qty_received"),
         exact_sum(F.col("qty_received") * F.col("unit_cost_usd")).alias("actual"),
-    ]
-    if suppliers is None:
-        bought = received.groupBy(*cell).agg(*sums)
-    else:
-        by_supplier = received.groupBy(*cell, "supplier_id").agg(*sums)
-        bought = (
-            known(by_supplier, suppliers, "supplier_id")
-            .groupBy("received_month", "component_id")
-            .agg(F.sum("qty_received").alias("qty_received"), F.sum("actual").alias("actual"))
-        )
+    )
+
+
+def variance_of(parts: DataFrame, components: DataFrame, suppliers: DataFrame) -> DataFrame:
+    """The price variance from parts per supplier."""
+    kept = known(parts, suppliers, "supplier_id")
+    bought = added_up(kept, ["received_month", "component_id"], ["supplier_id"])
+    return _variance(bought.filter(F.col("lines") > 0), components)
+
+
+def _variance(bought: DataFrame, components: DataFrame) -> DataFrame:
     component = components.select(
         "component_id",
         "component_name",
@@ -261,20 +290,36 @@ def days_of_supply(
 
 def capex_by_region(racks: DataFrame, regions: DataFrame) -> DataFrame:
     """Racks placed in service with their cost, per month, region and family."""
-    placed = (
+    return capex_of(capex_parts(racks), regions)
+
+
+def capex_parts(racks: DataFrame) -> DataFrame:
+    """What the capex fact needs of installed racks; parts of different racks add up."""
+    return (
         racks.filter(F.col("installed_date").isNotNull())
         .groupBy(
             month_of("installed_date").alias("in_service_month"), "region_code", "sku_family"
         )
         .agg(
             F.count("*").alias("racks_in_service"),
-            to_cents(exact_sum("capex_usd")).alias("capex_usd"),
-            to_cents(exact_sum("monthly_depreciation_usd")).alias(
-                "added_monthly_depreciation_usd"
-            ),
-            round_half_away(F.avg("request_to_live_days"), 1).alias("avg_request_to_live_days"),
+            exact_sum("capex_usd").alias("capex_usd"),
+            exact_sum("monthly_depreciation_usd").alias("added_monthly_depreciation_usd"),
+            F.sum("request_to_live_days").alias("days"),
+            F.count("request_to_live_days").alias("live"),
         )
     )
+
+
+def capex_of(parts: DataFrame, regions: DataFrame) -> DataFrame:
+    """The capex fact from parts that are summed per month, region and family."""
+    placed = parts.select(
+        "in_service_month",
+        "region_code",
+        "sku_family",
+        "racks_in_service",
+        *[to_cents(name).alias(name) for name in ("capex_usd", "added_monthly_depreciation_usd")],
+        round_half_away(F.col("days") / F.nullifzero("live"), 1).alias("avg_request_to_live_days"),
+    )
     return placed.join(regions.select("region_code", "region_name"), "region_code").select(
         "in_service_month",
         "region_code",

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from stockledger import settings
 from stockledger.functions import exact_sum, month_of, round_half_away, to_cents
-from stockledger.operators import gold, incremental, ledger, quality, silver, supply
+from stockledger.operators import gold, history, incremental, ledger, quality, silver, supply
 from stockledger import fixed_values as fixed
+from stockledger.plans import rollups
+from stockledger.sources import published
 from stockledger.sources import tables as lake
 from stockledger.sources.trial import LAYOUT, MONTHS, TABLES, WINDOW_END, WINDOW_START, Trial
-from stockledger.streaming import ingest
+from stockledger.streaming import drift, ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -673,6 +675,134 @@ def partition_backfill(t: Trial) -> DataFrame:
     return t.spark.read.parquet(path).select(facts.columns)
 
 
+@query
+def checksum_diff(t: Trial) -> DataFrame:
+    old, new = _two_states(t)
+    return incremental.checksum_diff(old, new, "o_orderkey")
+
+
+@query
+def replace_months(t: Trial) -> DataFrame:
+    """The capex fact in versions: three months are replaced in one step, one of them by nothing."""
+    facts = capex_by_region(t)
+    path = settings.scratch(t.spark, "versions")
+    published.replace_table(facts.hint("rebalance", F.col("in_service_month")), path, "in_service_month")
+    left = facts.filter(F.col("in_service_month") != F.lit(BACKFILL_MONTHS[1]).cast("date"))
+    corrected = left.withColumn("capex_usd", F.lit(0.0))
+    published.replace_days(corrected, path, "in_service_month", BACKFILL_MONTHS)
+    return published.read(t.spark, path)
+
+
+@query
+def append_batches(t: Trial) -> DataFrame:
+    """The journal in three batches, of which one is sent again; then gathered."""
+    journal = t.journal().select("journal_id", "posting_date", "amount_usd", "memo")
+    path = settings.scratch(t.spark, "batches")
+    first, last = (F.lit(day).cast("date") for day in ("1994-12-31", "1996-12-31"))
+    posted = F.col("posting_date")
+    batches = {
+        "old": posted <= first,
+        "middle": (posted > first) & (posted <= last),
+        "new": (posted > last) | posted.isNull(),
+    }
+    for batch in ("old", "middle", "old", "new", "middle"):
+        published.append(journal.filter(batches[batch]), path, batch=batch)
+    published.compact(t.spark, path)
+    return published.read(t.spark, path)
+
+
+@query
+def scorecard_rollup(t: Trial) -> DataFrame:
+    """The scorecard from parts that were added in three batches; one batch is corrected, one sent again."""
+    lines = silver.flag_po_lines(t.purchase_orders())
+    path, cell = settings.scratch(t.spark, "parts"), ["promised_month", "supplier_id", "component_id"]
+    third = F.col("line_number") % 3
+    wrong = lines.filter(third == 1).withColumn("qty_received", F.col("qty_received") + 1)
+    parts = [gold.scorecard_parts(some, ["component_id"]) for some in (lines.filter(third == 0), wrong)]
+    for batch, part in (("a", parts[0]), ("b", parts[1]), ("a", parts[0])):
+        rollups.add(part, path, batch)
+    right = gold.scorecard_parts(lines.filter(third == 1), ["component_id"])
+    rollups.change(parts[1], right, path, cell, "b corrected")
+    rollups.settle(t.spark, path, cell, "po_lines")
+    rollups.add(gold.scorecard_parts(lines.filter(third == 2), ["component_id"]), path, "c")
+    summed = rollups.current(t.spark, path, cell, "po_lines")
+    return gold.scorecard_of(summed, t.suppliers(), t.components())
+
+
+@query
+def capex_rollup(t: Trial) -> DataFrame:
+    """The capex fact from parts of racks that were added by the month of their request."""
+    racks = silver.measure_racks(t.racks())
+    path, cell = settings.scratch(t.spark, "parts"), ["in_service_month", "region_code", "sku_family"]
+    for batch, months in (("spring", range(1, 7)), ("autumn", range(7, 13)), ("spring", range(1, 7))):
+        some = racks.filter(F.month("requested_date").isin(*months))
+        rollups.add(gold.capex_parts(some), path, batch)
+    return gold.capex_of(rollups.current(t.spark, path, cell, "racks_in_service"), t.regions())
+
+
+SNAPSHOT_DAYS = ("1993-07-01", "1995-01-01", "1996-06-01", "1998-01-01")
+
+
+def _customer_snapshots(t: Trial) -> DataFrame:
+    """Customers with an order in the two years before each day: the priority of the latest, and how many."""
+    ordered = F.col("o_orderdate").cast("date")
+    days = F.filter(
+        F.array(*[F.lit(day).cast("date") for day in SNAPSHOT_DAYS]),
+        lambda day: (ordered <= day) & (ordered > F.date_sub(day, 730)),
+    )
+    seen = t.table("orders").select("o_custkey", "o_orderpriority", "o_orderdate", "o_orderkey", F.explode(days).alias("as_of"))
+    states = seen.groupBy("o_custkey", "as_of").agg(
+        F.max_by("o_orderpriority", F.struct("o_orderdate", "o_orderkey")).alias("priority"),
+        F.count("*").alias("orders"),
+    )
+    path = settings.scratch(t.spark, "snapshots")
+    states.write.parquet(path)
+    return t.spark.read.schema(states.schema).parquet(path)
+
+
+@query
+def scd2_late(t: Trial) -> DataFrame:
+    """Customers' history from four snapshots that arrive out of order."""
+    snapshots = _customer_snapshots(t)
+    tracked = ["priority"]
+    held = history.history_of(snapshots.filter(F.col("as_of") == SNAPSHOT_DAYS[3]), "o_custkey", tracked)
+    seen = [SNAPSHOT_DAYS[3]]
+    for day in (SNAPSHOT_DAYS[0], SNAPSHOT_DAYS[2], SNAPSHOT_DAYS[1]):
+        applied = t.spark.createDataFrame([(d,) for d in seen], "as_of string")
+        some = snapshots.filter(F.col("as_of") == F.lit(day).cast("date"))
+        held = history.apply_snapshot(held, some, "o_custkey", tracked, day, applied)
+        seen.append(day)
+    return held
+
+
+@query
+def orders_as_of(t: Trial) -> DataFrame:
+    """Orders with what was known of their customer on the day."""
+    versions = history.history_of(_customer_snapshots(t), "o_custkey", ["priority", "orders"])
+    orders = t.table("orders").select(
+        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("order_date"), "o_totalprice"
+    )
+    return history.as_of(orders, versions, "o_custkey", "order_date", ["priority", "orders"], "known_")
+
+
+@query
+def ingest_drift(t: Trial) -> DataFrame:
+    """Orders in one folder with three layouts; the next run finds a fourth that does not fit."""
+    orders, root = t.table("orders"), settings.scratch(t.spark, "drift")
+    part = F.pmod("o_custkey", F.lit(3))
+    layouts = [
+        orders.filter(part == 0).select("o_orderkey", "o_custkey"),
+        orders.filter(part == 1).select(F.col("o_custkey").alias("O_CustKey"), "o_totalprice", "o_orderkey"),
+        orders.filter(part == 2).select("o_orderkey", "o_orderstatus", "o_custkey"),
+    ]
+    misfit = orders.select(F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_orderstatus")
+    for k, drop in enumerate([*layouts, misfit]):
+        drop.write.parquet(f"{root}/in/{k}")
+        if k > 1:
+            drift.start_drift_ingest(t.spark, f"{root}/in", f"{root}/out", f"{root}/progress").awaitTermination()
+    return published.read(t.spark, f"{root}/out")
+
+
 @query
 def ingest_stream(t: Trial) -> DataFrame:
     """Events arrive in two drops; each run takes only the files it has not seen."""

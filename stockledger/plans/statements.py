@@ -1009,4 +1009,57 @@ _define(
            0, capex_usd) as capex_usd)
     from capex""",
 )
+_define("checksum_diff", "", STATEMENTS["table_diff"])
+_define("scorecard_rollup", "scorecard", "select * from scorecard")
+_define("capex_rollup", "capex", "select * from capex")
+_define(
+    "replace_months",
+    "capex",
+    """
+    select * replace (
+        if(in_service_month in (date '1996-03-01', date '2001-02-01'), 0, capex_usd) as capex_usd)
+    from capex where in_service_month <> date '1998-11-01'""",
+)
+_define("append_batches", "journal", "select journal_id, posting_date, amount_usd, memo from journal")
+_SNAPSHOTS = """
+    with days as (
+        select unnest([date '1993-07-01', date '1995-01-01', date '1996-06-01', date '1998-01-01']) as as_of),
+    numbered as (select as_of, row_number() over (order by as_of) as k, lead(as_of) over (order by as_of) as until
+                 from days),
+    seen as (
+        select o_custkey, as_of, k, until, o_orderpriority as priority,
+               count(*) over (partition by o_custkey, as_of) as orders,
+               row_number() over (partition by o_custkey, as_of order by o_orderdate desc, o_orderkey desc) as place
+        from orders join numbered on o_orderdate::date <= as_of and o_orderdate::date > as_of - 730),
+    states as (select * from seen where place = 1)"""
+_define(
+    "scd2_late",
+    "",
+    _SNAPSHOTS
+    + """,
+    islands as (
+        select *, k - row_number() over (partition by o_custkey, priority order by k) as island from states)
+    select o_custkey, priority, min(as_of) as valid_from,
+           nullif(max(coalesce(until, date '9999-12-31')), date '9999-12-31') as valid_to, max(k) = 4 as is_current
+    from islands group by o_custkey, priority, island""",
+)
+_define(
+    "orders_as_of",
+    "",
+    _SNAPSHOTS
+    + """
+    select o.o_orderkey, o.o_custkey, o.o_orderdate::date as order_date, o.o_totalprice,
+           s.priority as known_priority, s.orders as known_orders
+    from orders o left join states s
+      on s.o_custkey = o.o_custkey and o.o_orderdate::date >= s.as_of
+         and o.o_orderdate::date < coalesce(s.until, date '9999-12-31')""",
+)
+_define(
+    "ingest_drift",
+    "",
+    """
+    select o_orderkey, o_custkey, if(o_custkey % 3 = 1, o_totalprice, null) as o_totalprice,
+           if(o_custkey % 3 = 2, o_orderstatus, null) as o_orderstatus
+    from orders""",
+)
 _define("ingest_stream", "", "select * from events")

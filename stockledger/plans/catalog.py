@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -681,6 +682,21 @@ def checksum_diff(t: Trial) -> DataFrame:
     return incremental.checksum_diff(old, new, "o_orderkey")
 
 
+@query
+def bucketed_lines(t: Trial) -> DataFrame:
+    """Closed lines by category of their supplier, from two tables in buckets of the supplier."""
+    name = f"lines_{uuid.uuid4().hex}"
+    lines = t.purchase_orders().select("supplier_id", "status", "qty_received")
+    kept = [
+        lake.save_bucketed(df, f"{name}_{k}", ["supplier_id"], 8, settings.scratch(t.spark, "buckets"))
+        for k, df in enumerate((lines, t.suppliers()))
+    ]
+    closed = kept[0].filter(F.col("status") == "Closed")
+    return closed.join(kept[1], "supplier_id").groupBy("supplier_id", F.col("category").alias("supplier_category")).agg(
+        F.count("*").alias("po_lines"), F.sum("qty_received").alias("qty_received")
+    )
+
+
 @query
 def replace_months(t: Trial) -> DataFrame:
     """The capex fact in versions: three months are replaced in one step, one of them by nothing."""

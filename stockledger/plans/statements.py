@@ -1020,6 +1020,13 @@ _define(
         if(in_service_month in (date '1996-03-01', date '2001-02-01'), 0, capex_usd) as capex_usd)
     from capex where in_service_month <> date '1998-11-01'""",
 )
+_define(
+    "bucketed_lines",
+    "purchase_orders suppliers",
+    """
+    select supplier_id, supplier_category, count(*) as po_lines, sum(qty_received)::bigint as qty_received
+    from purchase_orders join suppliers using (supplier_id) where status = 'Closed' group by all""",
+)
 _define("append_batches", "journal", "select journal_id, posting_date, amount_usd, memo from journal")
 _SNAPSHOTS = """
     with days as (

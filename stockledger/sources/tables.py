@@ -59,6 +59,23 @@ def write_table(
     return path
 
 
+def save_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str | None = None) -> DataFrame:
+    """Save ``df`` as a table of the catalog whose rows lie in ``buckets`` by ``keys``, sorted; returns the table.
+
+    Joins and groupings on the keys of tables with equally many buckets need no exchange, however often they run.
+    ``table`` may name a schema, which is made if it is not there. A path keeps the files outside the warehouse.
+    """
+    spark = df.sparkSession
+    schema, _, name = table.rpartition(".")
+    if schema:
+        spark.sql(f"create schema if not exists `{schema}`")
+    # each bucket is written by one task, so it is one file
+    dealt = df.repartition(buckets, *keys)
+    writer = dealt.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    (writer if path is None else writer.option("path", path)).saveAsTable(table)
+    return spark.table(table)
+
+
 def export_table(
     df: DataFrame, root: str, name: str, formats: Sequence[str] = ("parquet", "csv")
 ) -> dict[str, str]:

@@ -53,12 +53,16 @@ def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP1_SQL = """
-with u as (
+with rest as (
   select page_id, row_number() over () as k,
-         coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
-                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
-         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*(/[^?#]*)', 1), '') as path
+         case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest
   from pages),
+u as (
+  select page_id, k,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) as path
+  from rest),
 r(verdict, host, path) as (values
   ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
   ('block', 'net', '/es/'), ('block', 'net', '/fr/'))
@@ -167,7 +171,7 @@ def op9_soft_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = domains_of_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     mixed = mixing.mix(_documents(spark, sf_dir).select("doc_id", "text"), labelled, MIX_TARGETS, MIX_FACTOR)
     shares = [F.col("posteriors")[k].alias(f"p_{domain}") for k, domain in enumerate(MIX_TARGETS)]
-    return mixed.select("doc_id", "n_tokens", *shares, "rate", "copies")
+    return mixed.select("doc_id", "n_tokens", *shares, "rate", "copies", "miss")
 
 
 def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -302,9 +302,44 @@ def test_domains_are_learned(spark):
 
 def test_out_of_reach_targets_stay_nonnegative(spark):
     docs, known = corpus(spark)
-    mixed = mixing.mix(docs, known, {"good": 0.0, "poor": 0.0, "toxic": 1.0}).collect()
+    with pytest.warns(UserWarning, match="can't meet"):
+        mixed = mixing.mix(docs, known, {"good": 0.0, "poor": 0.0, "toxic": 1.0}).collect()
     rates = [r["rate"] for r in mixed]
-    assert min(rates) == 0 and max(rates) > 1
+    assert min(rates) == 0 and max(rates) > 1 and {r["miss"] for r in mixed} == {mixed[0]["miss"]}
+
+
+def nearest(shares, tokens, targets, steps=60_000):
+    """The totals of the nonnegative least squares, by accelerated descent."""
+    a = shares * tokens[:, None] / tokens.sum()
+    t = targets / tokens.sum()
+    bound = np.linalg.norm(a.T @ a, 2)
+    rate = before = np.ones(len(a))
+    for k in range(steps):
+        ahead = rate + k / (k + 3) * (rate - before)
+        before, rate = rate, np.maximum(0, ahead - a @ (ahead @ a - t) / bound)
+    return rate @ a * tokens.sum()
+
+
+@pytest.mark.parametrize("targets", [(0.84, 0.14, 0.02), (0.2, 0.2, 0.6), (0.0, 0.0, 1.0), (0.97, 0.0, 0.03), (1 / 3, 1 / 3, 1 / 3)])
+def test_totals_are_those_of_the_nonnegative_least_squares(spark, targets):
+    drawn = np.random.default_rng(5)
+    shares = drawn.dirichlet([0.8, 0.4, 0.15], 300) * 0.9 + np.array([0.06, 0.03, 0.01])
+    tokens = drawn.integers(1, 400, 300).astype(float)
+    table = spark.createDataFrame(
+        [(int(n), p.tolist()) for n, p in zip(tokens, shares, strict=True)], "n_tokens long, posteriors array<double>"
+    )
+    wanted = np.array(targets) * 1.25 * tokens.sum()
+    calls, real = [], mixing._sums
+    mixing._sums = lambda *args: calls.append(1) or real(*args)
+    try:
+        shift, totals = mixing.fit_rates(table, wanted)
+    finally:
+        mixing._sums = real
+    best = nearest(shares, tokens, wanted)
+    assert np.abs(totals - best).max() <= 2e-3 * wanted.sum()
+    assert np.linalg.norm(totals - wanted) <= np.linalg.norm(best - wanted) + 2e-4 * wanted.sum()
+    assert np.allclose((mixing.rates(shares, shift) * tokens) @ shares, totals)
+    assert len(calls) <= 30
 
 
 def test_mixture_of_nothing(spark):

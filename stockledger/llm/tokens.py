@@ -46,9 +46,8 @@ class Encoder:
     """Encodes texts with a tokenizer of the ``tokenizers`` library as its plain call does, with nothing added.
 
     With a plain byte-level pre-tokenizer texts are cut into ``stretches``. Words repeat, so each distinct one
-    goes to the tokenizer once, and its ids are remembered under a hash of 62 bits, with a check of 32 bits that is
-    made in another way, depends on the order of bytes and is compared for every stretch; the ids of the texts are
-    put together from there in numpy. Other pre-tokenizers, texts with rare white space and texts that hold an
+    goes to the tokenizer once, and its ids are remembered under a hash of 64 bits, with a check of 32 bits that is
+    made in another way and compared for every stretch; the ids of the texts are put together from there in numpy. Other pre-tokenizers, texts with rare white space and texts that hold an
     added token's string, such as a special token's, go there whole.
     """
 
@@ -69,8 +68,8 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
-        self.places, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        # stretches by hash: hash, check, place of the ids in the pool, their number; large levels first
+        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         self.pool, self.used = np.zeros(1 << 16, self.dtype), 0
 
     def encode(self, texts: list[str], end: int | None = None) -> list[bytes]:
@@ -104,50 +103,58 @@ class Encoder:
         ends = np.append(starts[1:], len(data))
         hashes = stretch_hashes(CODES[data], starts, ends)
         distinct, first, place = np.unique(hashes, return_index=True, return_inverse=True)
-        checks = _checks(data, starts, ends)
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(CHECKS[data])])
+        checks = (mixed(sums[ends] - sums[starts]) >> np.uint64(32)).astype(np.uint32)
         own = checks[first]
         if (checks != own[place]).any():  # two stretches with one hash
             parts = [np.frombuffer(self._packed(x.decode("utf-8", "surrogatepass")), self.dtype) for x in raw]
             return np.concatenate(parts), np.cumsum([len(x) for x in parts])
-        at, known = self._look_up(distinct, own)
+        places, counts, known = self._look_up(distinct, own)
         if not known.all():
-            if len(self.keys) > REMEMBERED or self.used > REMEMBERED_IDS:
+            if sum(len(level[0]) for level in self.levels) > REMEMBERED or self.used > REMEMBERED_IDS:
                 self._forget()
                 known[:] = False
             new = np.flatnonzero(~known)
             some = first[new]
-            self._learn(distinct[new], own[new], [whole[a:b] for a, b in zip(starts[some].tolist(), ends[some].tolist())])
-            at, _ = self._look_up(distinct, own)
-        sizes = self.sizes[at][place].astype(np.int64)
+            parts = [whole[a:b] for a, b in zip(starts[some].tolist(), ends[some].tolist())]
+            self._learn(distinct[new], own[new], parts)
+            places, counts, _ = self._look_up(distinct, own)
+        sizes = counts[place]
         stops = np.cumsum(sizes)
         total = int(stops[-1])
-        source = np.repeat(self.places[at][place] - (stops - sizes), sizes) + np.arange(total)
-        counts = np.concatenate([[0], stops])
-        return self.pool[source], counts[np.searchsorted(starts, bounds[1:])]
-
-    def _look_up(self, hashes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(self.keys):
-            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-        return at, (self.keys[at] == hashes) & (self.checks[at] == checks)
+        source = np.repeat(places[place] - (stops - sizes), sizes) + np.arange(total)
+        before = np.concatenate([[0], stops])
+        return self.pool[source], before[np.searchsorted(starts, bounds[1:])]
+
+    def _look_up(self, hashes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the ids of each stretch lie, how many they are, and whether it is remembered."""
+        places, sizes = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+        known = np.zeros(len(hashes), bool)
+        for keys, marks, there, counts in self.levels:
+            at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+            hit = (keys[at] == hashes) & (marks[at] == checks)
+            places[hit], sizes[hit] = there[at[hit]], counts[at[hit]]
+            known |= hit
+        return places, sizes, known
 
     def _learn(self, hashes: np.ndarray, checks: np.ndarray, parts: list[bytes]) -> None:
-        """Remembers new stretches; a hash that is known with another check gives way."""
+        """Remembers new stretches, in rising order of their hashes.
+
+        They make a level of their own; a level joins the one before it unless that is four times as large, so
+        what is remembered is copied a few times only.
+        """
         ids, places, sizes = self._ids(parts)
-        while self.used + len(ids) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        size = len(self.pool)
+        while self.used + len(ids) > size:
+            size *= 2
+        if size > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(size - self.used, self.dtype)])
         self.pool[self.used : self.used + len(ids)] = ids
-        places += self.used
+        level = (hashes, checks, places + self.used, sizes.astype(np.int32))
         self.used += len(ids)
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-            stays = np.ones(len(self.keys), bool)
-            stays[at[self.keys[at] == hashes]] = False
-            self.keys, self.checks = self.keys[stays], self.checks[stays]
-            self.places, self.sizes = self.places[stays], self.sizes[stays]
-        into = np.searchsorted(self.keys, hashes)
-        self.keys, self.checks = np.insert(self.keys, into, hashes), np.insert(self.checks, into, checks)
-        self.places, self.sizes = np.insert(self.places, into, places), np.insert(self.sizes, into, sizes)
+        while self.levels and len(self.levels[-1][0]) < 4 * len(level[0]):
+            level = _joined(self.levels.pop(), level)
+        self.levels.append(level)
 
     def _ids(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and where each stretch's begin there and how many; most from calls with line feeds between."""
@@ -175,15 +182,13 @@ class Encoder:
         return ids, places, sizes
 
 
-def _checks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """32 bits of each stretch that change with its bytes and with their places."""
-    codes = CHECKS[data]
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(codes)])
-    placed = np.concatenate([[np.uint64(0)], np.cumsum(codes * np.arange(len(data), dtype=np.uint64))])
-    here = sums[ends] - sums[starts]
-    # the sum over places from the start of the stretch
-    weighed = placed[ends] - placed[starts] - here * starts.astype(np.uint64)
-    return (mixed(here + mixed(weighed)) >> np.uint64(32)).astype(np.uint32)
+def _joined(old: tuple[np.ndarray, ...], new: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+    """Two levels as one; a hash that both have, with different checks, keeps the new entry."""
+    at = np.minimum(np.searchsorted(new[0], old[0]), len(new[0]) - 1)
+    stays = new[0][at] != old[0]
+    both = [np.concatenate([a[stays], b]) for a, b in zip(old, new, strict=True)]
+    order = np.argsort(both[0], kind="stable")
+    return tuple(column[order] for column in both)
 
 
 def _cuttable(described: dict) -> bool:

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Spreads small numbers over 64 bits.
+#: Odd, so that it has an inverse modulo 2**64.
 ODD = 0x9E3779B97F4A7C15
-#: Hashes are polynomials modulo two primes below 2**31: a power of two would give some different words of any base
-#: the same hash, whatever the codes of their letters are.
-PRIMES = (2_147_483_647, 2_147_483_629)
-BASES = (1_583_458_089, 784_588_716)
+#: A prime, and a base for it. A polynomial modulo 2**64 alone gives some different words the same hash with any
+#: base and whatever the codes of their letters are, so hashes take in one modulo a prime.
+PRIME, BASE = (1 << 31) - 1, 1_583_458_089
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -20,43 +19,46 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Powers:
-    """Powers of a base and of its inverse modulo a prime, as many as were asked for so far."""
+    """Powers of a base and of its inverse, as many as were asked for so far."""
 
-    def __init__(self, base: int, prime: int):
-        self.prime, self.base = prime, base
+    def __init__(self, base: int, modulus: int):
+        self.modulus, self.bases = modulus, (base, pow(base, -1, modulus))
         self.up = self.down = np.ones(1, np.uint64)
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = 1 << (n - 1).bit_length()
-            self.up = self._powers(self.base, size)
-            self.down = self._powers(pow(self.base, -1, self.prime), size)
+            self.up, self.down = (self._powers(base, 1 << (n - 1).bit_length()) for base in self.bases)
         return self.up, self.down
 
     def _powers(self, base: int, size: int) -> np.ndarray:
         found = np.ones(1, np.uint64)
         while len(found) < size:
-            found = np.concatenate([found, found * np.uint64(pow(base, len(found), self.prime)) % np.uint64(self.prime)])
+            more = found * np.uint64(pow(base, len(found), self.modulus))
+            found = np.concatenate([found, more % np.uint64(self.modulus) if self.modulus < 1 << 64 else more])
         return found
 
 
-POWERS = tuple(Powers(base, prime) for base, prime in zip(BASES, PRIMES, strict=True))
+WIDE, PRIMED = Powers(ODD, 1 << 64), Powers(BASE, PRIME)
 
 
 def stretch_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of each stretch of 64-bit codes, the same wherever the stretch stands."""
-    found = np.zeros(len(starts), np.uint64)
-    for powers, shift in zip(POWERS, (0, 33), strict=True):
-        up, down = powers.upto(len(codes) + 1)
-        prime = np.uint64(powers.prime)
-        own = codes >> np.uint64(shift) & np.uint64((1 << 31) - 1)
-        own *= up[: len(codes)]
-        own %= prime
-        sums = np.zeros(len(codes) + 1, np.uint64)
-        np.cumsum(own, out=sums[1:])
-        part = (sums[ends] - sums[starts]) % prime * down[starts] % prime
-        found = found << np.uint64(31) | part
-    return mixed(found ^ mixed((ends - starts).astype(np.uint64) * np.uint64(ODD)))
+    n = len(codes)
+    sums = np.zeros(n + 1, np.uint64)
+    up, down = WIDE.upto(n + 1)
+    np.cumsum(codes * up[:n], out=sums[1:])
+    wide = (sums[ends] - sums[starts]) * down[starts]
+    up, down = PRIMED.upto(n + 1)
+    own = codes >> np.uint64(33)
+    own *= up[:n]
+    # below 2**32 and the same modulo the prime, which is one less than 2**31
+    high = own >> np.uint64(31)
+    own &= np.uint64(PRIME)
+    own += high
+    np.cumsum(own, out=sums[1:])
+    prime = np.uint64(PRIME)
+    primed = (sums[ends] - sums[starts]) % prime * down[starts] % prime
+    return mixed(wide + mixed(primed << np.uint64(32) | (ends - starts).astype(np.uint64) & np.uint64(0xFFFFFFFF)))
 
 
 _BYTES = np.arange(256, dtype=np.uint64)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stockledger.llm.layout import slices
+from stockledger.llm.layout import slices, tidy
 from stockledger.llm.scratch import written
 from stockledger.llm.transducer import FOLDED, Transducer, built
 
@@ -76,7 +76,7 @@ def document_counts(rows: DataFrame, held: int = HELD) -> DataFrame:
                     found, room = {}, held
         yield from out()
 
-    parts = rows.select("lang", "text").mapInArrow(counted, "lang string, term string, n long")
+    parts = rows.select("lang", "text").mapInArrow(tidy(counted), "lang string, term string, n long")
     return parts.groupBy("lang", "term").agg(F.sum("n").alias("n"))
 
 
@@ -241,7 +241,7 @@ def recounted(rows: DataFrame, shards: list[tuple[str, int, str, bytes]], shard_
         yield from out()
 
     schema = "lang string, source string, ordinal long, n long"
-    return rows.select("lang", "source", "text").mapInArrow(counted, schema)
+    return rows.select("lang", "source", "text").mapInArrow(tidy(counted), schema)
 
 
 def occurrences(

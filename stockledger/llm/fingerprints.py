@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockledger.llm.layout import slices
+from stockledger.llm.layout import slices, tidy
 from stockledger.llm.words import mixed, stretch_hashes
 
 #: Minima in a fingerprint, each kept as 16 bits; documents in one range of ids, unless that gives more ranges.
@@ -212,7 +212,7 @@ def fingerprinted(docs: DataFrame, rows_in_range: int = RANGE_ROWS) -> DataFrame
         .repartitionByRange("range")
         .sortWithinPartitions("range", "extra", F.desc("id"), "tie")
         .select("range", "extra", "doc_id", "text")
-        .mapInArrow(compare, RESULT)
+        .mapInArrow(tidy(compare), RESULT)
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockledger.llm.layout import slices
+from stockledger.llm.layout import slices, tidy
 
 UNKNOWN = "und"
 #: Code points of a language's text that its automaton is built from, and of one document that go into it.
@@ -213,7 +213,7 @@ def identify(docs: DataFrame, model: tuple[tuple[str, str], ...], text: str = "t
                     names=schema.names,
                 )
 
-    return docs.select(kept).mapInArrow(run, schema)
+    return docs.select(kept).mapInArrow(tidy(run), schema)
 
 
 def fold(doc_id: str = "doc_id") -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockledger.llm.components import components
-from stockledger.llm.layout import slices
+from stockledger.llm.layout import slices, tidy
 from stockledger.llm.scratch import written
 from stockledger.llm.words import mixed, shingles, words
 
@@ -100,7 +100,7 @@ def signed(docs: DataFrame, size: int = 5) -> DataFrame:
                     names=[x.split()[0] for x in SIGNED.split(", ")],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SIGNED)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidy(run), SIGNED)
 
 
 def estimate(left: str, right: str) -> Column:
@@ -153,7 +153,7 @@ def long_signed(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
                     [part.column(0), *(pa.array(found[:, k]) for k in range(LONG_PACKED))], names=["rep", *LONG]
                 )
 
-    rows = _chosen(docs, ids).mapInArrow(run, schema)
+    rows = _chosen(docs, ids).mapInArrow(tidy(run), schema)
     return rows.groupBy("rep").agg(*(F.first(c).alias(c) for c in LONG))
 
 
@@ -181,13 +181,13 @@ def confirmed(docs: DataFrame, pairs: DataFrame, percent: int, size: int) -> Dat
                 [pa.array([c[k] for k in kept], pa.int64()) for c in columns[:2]], names=["a", "b"]
             )
 
-    sets = written(_chosen(docs, ids).mapInArrow(build, "id long, own binary"), "sets", "none")
+    sets = written(_chosen(docs, ids).mapInArrow(tidy(build), "id long, own binary"), "sets", "none")
     return (
         pairs.select("a", "b")
         .join(sets.select(F.col("id").alias("a"), F.col("own").alias("left")), "a")
         .join(sets.select(F.col("id").alias("b"), F.col("own").alias("right")), "b")
         .select("a", "b", "left", "right")
-        .mapInArrow(compare, "a long, b long")
+        .mapInArrow(tidy(compare), "a long, b long")
     )
 
 

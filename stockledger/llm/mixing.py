@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockledger.llm.layout import slices
+from stockledger.llm.layout import slices, tidy
 from stockledger.llm.scratch import written
 from stockledger.llm.words import words
 
@@ -112,7 +112,7 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domains: list[str], sample
 
     rows = (
         texts.select("doc_id", "hash", "domain", "text")
-        .mapInArrow(seen, "doc_id long, hash long, domain string, features binary")
+        .mapInArrow(tidy(seen), "doc_id long, hash long, domain string, features binary")
         .toArrow()
         .sort_by([("hash", "ascending"), ("doc_id", "ascending")])
     )
@@ -147,7 +147,7 @@ def memberships(docs: DataFrame, classifier: Classifier) -> DataFrame:
                     names=schema.names,
                 )
 
-    return docs.select(kept).mapInArrow(run, schema)
+    return docs.select(kept).mapInArrow(tidy(run), schema)
 
 
 def _sums(table: DataFrame, shifts: list[np.ndarray], width: int) -> list[tuple[np.ndarray, float, np.ndarray]]:
@@ -171,7 +171,7 @@ def _sums(table: DataFrame, shifts: list[np.ndarray], width: int) -> list[tuple[
 
     rows = (
         table.select("n_tokens", "posteriors")
-        .mapInArrow(add, "k int, v double")
+        .mapInArrow(tidy(add), "k int, v double")
         .groupBy("k")
         .agg(F.sum("v").alias("v"))
         .toArrow()
@@ -274,5 +274,5 @@ def mix(
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rates(own, shift))], names=schema.names)
 
     chance = F.pmod(F.xxhash64("doc_id", "text", F.lit("copies")), F.lit(SLOTS)) / F.lit(SLOTS)
-    mixed = table.mapInArrow(run, schema).withColumn("copies", F.floor(F.col("rate") + chance).cast("long"))
+    mixed = table.mapInArrow(tidy(run), schema).withColumn("copies", F.floor(F.col("rate") + chance).cast("long"))
     return mixed.withColumn("miss", F.lit(miss))

@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockledger.llm.layout import PART, START, ordered, part_starts, slices
+from stockledger.llm.layout import PART, START, ordered, part_starts, slices, tidy
 from stockledger.llm.scratch import written
 from stockledger.llm.token_files import unpacked
 from stockledger.llm.tokens import encoder
@@ -108,7 +108,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1) -
                 )
 
     keyed = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        tokenise, "doc_id long, curve long, doc_tokens long, ids binary"
+        tidy(tokenise), "doc_id long, curve long, doc_tokens long, ids binary"
     )
     keyed = written(keyed, "curve-keys", "none")  # the ranges are drawn from it
     line = ordered(keyed, ["curve", "doc_id"], "doc_tokens", "curve")
@@ -134,7 +134,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1) -
                     names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
                 )
 
-    return line.select("doc_id", "doc_tokens", PART, START, "ids").mapInArrow(cut, PIECES)
+    return line.select("doc_id", "doc_tokens", PART, START, "ids").mapInArrow(tidy(cut), PIECES)
 
 
 def packed_pieces(docs: DataFrame, tokenizer: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockledger.llm.layout import slices
+from stockledger.llm.layout import slices, tidy
 
 #: Words in the windows that the base rule looks at.
 BASE_LENGTH = 3
@@ -168,7 +168,7 @@ def repetition(
                 )
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(measured, f"doc_id {kind}, " + ", ".join(f"{name} long" for name in names))
+    return rows.mapInArrow(tidy(measured), f"doc_id {kind}, " + ", ".join(f"{name} long" for name in names))
 
 
 def base_failed() -> Column:

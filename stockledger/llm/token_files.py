@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockledger.llm import rans
-from stockledger.llm.layout import PART, START, Mapper, ordered, part_starts, slices
+from stockledger.llm.layout import PART, START, Mapper, ordered, part_starts, slices, tidy
 from stockledger.llm.scratch import shared_folder
 from stockledger.llm.tokens import encoder
 
@@ -120,7 +120,7 @@ def write_token_files(
         if held:
             yield block()
 
-    table.select("doc_id", "n_tokens", PART, START, "ids").mapInArrow(run, BLOCKS).write.option(
+    table.select("doc_id", "n_tokens", PART, START, "ids").mapInArrow(tidy(run), BLOCKS).write.option(
         "compression", "none"
     ).parquet(f"{path}/blocks")
 
@@ -159,7 +159,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.parquet(f"{path}/blocks")
         .select("part", "start_in_part", "doc_ids", "doc_lengths", "payload")
-        .mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+        .mapInArrow(tidy(run), "doc_id long, start long, n_tokens long, ids binary")
     )
 
 

@@ -185,7 +185,23 @@ def plan_vs_actual(
     racks: DataFrame,
     versions: Sequence[tuple[str, str, str]] = fixed.FORECAST_VERSIONS,
 ) -> DataFrame:
-    """Forecast racks by version against racks requested.
+    """Forecast racks by version against racks requested, see ``plan_of``."""
+    return plan_of(requested_parts(racks), forecast, versions)
+
+
+def requested_parts(racks: DataFrame) -> DataFrame:
+    """Racks by the month of their request; parts of different racks add up."""
+    return racks.groupBy(
+        month_of("requested_date").alias("forecast_month"), "region_code", "sku_family"
+    ).agg(F.count("*").alias("actual_racks"))
+
+
+def plan_of(
+    requested: DataFrame,
+    forecast: DataFrame,
+    versions: Sequence[tuple[str, str, str]] = fixed.FORECAST_VERSIONS,
+) -> DataFrame:
+    """Forecast racks by version against counted requests.
 
     ``versions`` gives each forecast version with the prefixes of its value
     and its error columns. Cells without a forecast do not appear; cells
@@ -204,9 +220,6 @@ def plan_vs_actual(
             for version, value, _ in versions
         ]
     )
-    requested = racks.groupBy(
-        month_of("requested_date").alias("forecast_month"), "region_code", "sku_family"
-    ).agg(F.count("*").alias("actual_racks"))
     actual = F.coalesce(F.col("actual_racks"), F.lit(0))
     values = [F.col(f"{value}_racks") for _, value, _ in versions]
     return planned.join(requested, cell, "left").select(
@@ -345,12 +358,27 @@ def budget_vs_actual(
     side only counts zero on the other. The account is part of the cell, so
     accounts of other types go after the lines are summed.
     """
+    return budget_of(booked_parts(journal), budget, accounts, cost_centers, account_type)
+
+
+def booked_parts(journal: DataFrame) -> DataFrame:
+    """Journal lines summed by month, cost centre and account; parts of different lines add up."""
+    return journal.groupBy(
+        month_of("posting_date").alias("fiscal_month"), "cost_center_id", "account_id"
+    ).agg(F.count("*").alias("lines"), exact_sum("amount_usd").alias("actual"))
+
+
+def budget_of(
+    parts: DataFrame,
+    budget: DataFrame,
+    accounts: DataFrame,
+    cost_centers: DataFrame,
+    account_type: str = fixed.SPENDING_TYPE,
+) -> DataFrame:
+    """Budget against parts that are summed per month, cost centre and account."""
     cell = ["fiscal_month", "cost_center_id", "account_id"]
     spending = accounts.filter(F.col("account_type") == account_type)
-    summed = journal.groupBy(
-        month_of("posting_date").alias("fiscal_month"), "cost_center_id", "account_id"
-    ).agg(exact_sum("amount_usd").alias("actual"))
-    booked = known(summed, spending, "account_id")
+    booked = known(parts.drop("lines"), spending, "account_id")
     planned = budget.groupBy(
         F.col("fiscal_month").cast("date").alias("fiscal_month"), "cost_center_id", "account_id"
     ).agg(exact_sum("budget_usd").alias("planned"))

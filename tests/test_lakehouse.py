@@ -11,7 +11,11 @@ from tests.rows import PO, by, components, day, frame, po, suppliers
 
 @pytest.fixture(scope="module")
 def root(spark, tmp_path_factory):
-    folder = str(tmp_path_factory.mktemp("lake"))
+    return small_lake(spark, str(tmp_path_factory.mktemp("lake")))
+
+
+def small_lake(spark, folder):
+    """The raw tables of a small lake, written under a folder."""
     rack = (
         "rack_id string, region_code string, hub_id string, sku_id string, sku_family string, "
         "requested_date date, shipped_date date, installed_date date, live_date date, "

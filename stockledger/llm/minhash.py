@@ -24,6 +24,8 @@ LONG_MINIMA, LONG_SLACK = 4096, 0.042
 LONG_PACKED = LONG_MINIMA // 64
 #: Ids that may be broadcast (8 bytes each); more are joined by shuffles.
 BROADCAST_IDS = 1_000_000
+#: Bands that join most of a large group before the others are looked at.
+EARLY_BANDS = 8
 #: Products of shingles and permutations that are made at once.
 CHUNK = 1 << 20
 
@@ -196,8 +198,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
 
     Two documents are linked when their sets of ``size``-word shingles share ``percent`` of a hundred of their
     union. Documents with one set are one class, so copies are never paired. A class goes into the bands of
-    its signature. In each band the classes are first held against one of them only, another one in each band.
-    What that leaves in separate components is then compared within the band by the bit counts of long
+    its signature. In some bands the classes are first held against one of them only, another one in each band; then,
+    in every band, one class of each component that this gave is held against one of them. What that leaves in separate components is then compared within the band by the bit counts of long
     signatures, as a join condition, so that no pair of one component is made, and of others only those that
     are very close to the threshold. Every pair that an estimate lets through is confirmed on whole sets.
 
@@ -216,32 +218,44 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
         .agg(*(F.first(c).alias(c) for c in [*SHORT, "bands"]))
     )
     reps = written(reps, "classes", "none")
-    members = reps.select("rep", F.explode("bands").alias("band"))
-    leaders = members.groupBy("band").agg(
-        F.min_by("rep", F.xxhash64("rep", "band")).alias("leader"), F.count("*").alias("n")
-    )
-    leaders = leaders.where("n > 1")
-    shared = written(members.join(leaders.select("band", "leader"), "band"), "bands", "none")
-
+    members = reps.select("rep", F.posexplode("bands").alias("place", "band"))
+    crowded = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
+    shared = written(members.join(crowded, "band"), "bands", "none")
     short = reps.select("rep", *SHORT)
-    first = shared.where("rep <> leader").select(
-        F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")
-    )
-    first = first.distinct()
-    first = written(
-        first.join(short.select(F.col("rep").alias("b"), *SHORT).alias("y"), "b")
-        .join(short.select(F.col("rep").alias("a"), *SHORT).alias("x"), "a")
-        .where(estimate("x", "y") >= percent / 100 - SLACK)
-        .select("a", "b"),
-        "pairs",
+
+    def compared(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Pairs of each row with one of its band that the short signatures let through, and the links among them."""
+        leaders = rows.groupBy("band").agg(F.min_by("rep", F.xxhash64("rep", "band")).alias("leader"))
+        pairs = rows.join(leaders, "band").where("rep <> leader").select(
+            F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")
+        )
+        pairs = written(
+            pairs.distinct()
+            .join(short.select(F.col("rep").alias("b"), *SHORT).alias("y"), "b")
+            .join(short.select(F.col("rep").alias("a"), *SHORT).alias("x"), "a")
+            .where(estimate("x", "y") >= percent / 100 - SLACK)
+            .select("a", "b"),
+            "pairs",
+        )
+        return pairs, written(confirmed(docs, pairs, percent, size), "near")
+
+    def with_components(joined: DataFrame) -> DataFrame:
+        """The members of bands with the component that they are in so far."""
+        return shared.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
+            "band", "rep", F.coalesce("component", "rep").alias("component")
+        )
+
+    # a few bands join most of a large group; in all bands one member then stands for its component
+    first, links = compared(shared.where(F.col("place") < EARLY_BANDS).select("band", "rep"))
+    standing = with_components(components(links)).groupBy("band", "component").agg(
+        F.min_by("rep", F.xxhash64("rep", "band")).alias("rep")
     )
-    links = written(confirmed(docs, first, percent, size), "near")
+    more, further = compared(written(standing.select("band", "rep"), "standing"))
+    first, links = first.union(more), links.union(further)
     joined = components(links)
 
     # the bands that still hold several components
-    labelled = shared.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "band", "rep", F.coalesce("component", "rep").alias("component")
-    )
+    labelled = with_components(joined)
     mixed_bands = (
         labelled.groupBy("band")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))

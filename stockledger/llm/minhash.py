@@ -25,7 +25,7 @@ LONG_PACKED = LONG_MINIMA // 64
 #: Ids that may be broadcast (8 bytes each); more are joined by shuffles.
 BROADCAST_IDS = 1_000_000
 #: Bands that join most of a large group before the others are looked at.
-EARLY_BANDS = 8
+EARLY_BANDS = 4
 #: Products of shingles and permutations that are made at once.
 CHUNK = 1 << 20
 
@@ -161,7 +161,7 @@ def long_signed(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
 
 def confirmed(docs: DataFrame, pairs: DataFrame, percent: int, size: int) -> DataFrame:
     """Those of the pairs ``a, b`` of ids whose whole shingle sets are alike by ``percent`` of a hundred."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    ids = pairs.select(F.col("a").alias("doc_id")).distinct().union(pairs.select("b").distinct()).distinct()
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -220,6 +220,24 @@ def test_shuffles_are_cut_for_the_input(spark, uneven, tmp_path, monkeypatch):
     settings.tune(spark)
 
 
+def test_many_rows_in_small_files_are_not_gathered_on_the_driver(spark, tmp_path):
+    rows, folder = spark.range(0, 1_000_000, 1, 4), str(tmp_path)
+    price, day = F.rand(3).alias("price"), F.date_add(F.lit("1995-01-01").cast("date"), (F.col("id") % 700).cast("int"))
+    orders = rows.select(F.col("id").alias("o_orderkey"), day.alias("o_orderdate"), price.alias("o_totalprice"))
+    orders.write.parquet(f"{folder}/orders.parquet")
+    rows.select(
+        *[F.col("id").alias(name) for name in ("l_orderkey", "l_partkey", "l_suppkey")],
+        (F.col("id") % 7).cast("int").alias("l_linenumber"),
+        F.lit(8.0).alias("l_quantity"),
+        price.alias("l_extendedprice"),
+        F.lit("N").alias("l_returnflag"),
+        F.lit("F").alias("l_linestatus"),
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    lines = Trial(settings.tune(spark, folder), folder).purchase_orders()
+    assert "Broadcast" not in lines._jdf.queryExecution().executedPlan().toString()
+    assert settings.input_bytes(spark, f"{folder}/orders.parquet") < 32 * 1024**2
+
+
 def test_what_the_user_sets_stays(spark):
     key = "spark.sql.autoBroadcastJoinThreshold"
     with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):

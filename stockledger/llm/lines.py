@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ HASH_BITS = 57
 FIRST = 6
 #: Lines that may be broadcast by their numbers or places (some 20 bytes each); more are joined by shuffles.
 BROADCAST_LINES = 1_000_000
+#: Passes at most in which pairs are held against each other's sets.
+PASSES = 16
 
 
 def _words(text: Column) -> Column:
@@ -116,20 +120,28 @@ def _later(docs: DataFrame, classes: DataFrame, seen: DataFrame, pairs: DataFram
     # a document that is repeated gives its sets again
     sets = found.groupBy("id").agg(F.first("tokens").alias("tokens"), F.first(F.struct("doc", "spot")).alias("place"))
     sets = written(sets, "line-sets")
-    other = sets.toDF("other", "other_tokens", "other_place")
     common = F.size(F.array_intersect("tokens", "other_tokens"))
-    return (
-        pairs.join(sets, "id")
-        .join(other, "other")
-        .select(
-            F.when(F.col("place") > F.col("other_place"), F.col("id")).otherwise(F.col("other")).alias("id"),
-            common.alias("common"),
-            (F.size("tokens") + F.size("other_tokens")).alias("both"),
+    # pairs carry a set to the next shuffle, so they go in passes of about as many as there are sets
+    passes = max(1, min(PASSES, round(pairs.count() / max(1, sets.count()))))
+
+    def alike(k: int) -> DataFrame:
+        mine = F.pmod(F.xxhash64("id"), F.lit(passes)) == k
+        other = sets.toDF("other", "other_tokens", "other_place")
+        return (
+            pairs.where(mine)
+            .join(sets.where(mine), "id")
+            .join(other, "other")
+            .select(
+                F.when(F.col("place") > F.col("other_place"), F.col("id")).otherwise(F.col("other")).alias("id"),
+                common.alias("common"),
+                (F.size("tokens") + F.size("other_tokens")).alias("both"),
+            )
+            .where(F.col("common") * 100 >= (F.col("both") - F.col("common")) * percent)
+            .select("id")
+            .distinct()
         )
-        .where(F.col("common") * 100 >= (F.col("both") - F.col("common")) * percent)
-        .select("id")
-        .distinct()
-    )
+
+    return reduce(DataFrame.union, [written(alike(k), "line-alike") for k in range(passes)]).distinct()
 
 
 def line_decisions(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -238,6 +250,8 @@ def _other_pairs(seen: DataFrame, settled: DataFrame, percent: int) -> DataFrame
         F.col("x.settled").alias("settled"),
         F.col("y.settled").alias("other_settled"),
     ).distinct()
+    # written here, so that the files of the large shuffle of entries go before the next ones come
+    found = written(found, "line-candidates")
     # what is known of the later class needs no pair
     places = seen.select("id", F.struct("doc", "spot").alias("place"))
     found = found.join(places, "id").join(places.toDF("other", "other_place"), "other")

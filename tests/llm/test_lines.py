@@ -1,7 +1,11 @@
 import random
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from stockledger.llm import lines
+from stockledger.llm.scratch import CLEANUP, written
 from tests.llm.rows import clashing, documents, edge_texts, prose
 
 def word_set(line):
@@ -80,6 +84,25 @@ def test_documents_without_their_repeated_lines(spark):
     assert found == sorted(((i, t, None if t is None else len(t)) for i, t in wanted), key=str)
 
 
+def test_shuffles_of_written_tables_leave_no_files(spark):
+    held = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffled():
+        blocks = held.getAllBlocks()
+        names = {str(blocks.apply(k)) for k in range(blocks.size())}
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = shuffled()
+    counts = written(spark.range(5000).groupBy((F.col("id") % 50).alias("k")).count(), "counts")
+    assert counts.agg(F.sum("count")).first()[0] == 5000 and spark.conf.getAll.get(CLEANUP) is None
+    # that of the sum may stay; files go in the background
+    left = lambda: {name.split("_")[1] for name in shuffled() - before}
+    until = time.monotonic() + 20
+    while len(left()) > 1 and time.monotonic() < until:
+        time.sleep(0.2)
+    assert len(left()) <= 1
+
+
 def test_the_plan_has_no_python(spark):
     plan = lines.dedup_lines(documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoop"))

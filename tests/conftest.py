@@ -22,3 +22,12 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="module", autouse=True)
+def own_views(spark):
+    """Views that a module's tests register go with it; otherwise every schema seems to hold them."""
+    yield
+    for view in spark.sql("show views").collect():
+        if view["isTemporary"]:
+            spark.catalog.dropTempView(view["viewName"])

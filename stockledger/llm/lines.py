@@ -10,21 +10,33 @@ from pyspark.sql import functions as F
 from stockledger.llm.scratch import written
 
 BLANKS = r"[\x20\x09-\x0D]+"
-#: Counters that the words are hashed to for their rarity: some 256 KB, whatever the corpus.
-COUNTERS = 1 << 18
+#: Counters that the words are hashed to for their rarity: 1 MB, whatever the corpus.
+COUNTERS = 1 << 20
 #: Bits of a token that hold its hash; those above hold its rarity.
 HASH_BITS = 57
-#: Rarest tokens by which a line is first held against the earliest line that has one of them among its own.
+#: Rarity classes below this are rare (a count under 23): such a token is a signature alone, others go by twos.
+RARE = 9
+#: Least percentage of likeness at which lines alike always have two neighbouring tokens in common.
+BY_TWOS = 75
+#: Signatures by which a line is first held against the earliest line that has one of them among its own.
 FIRST = 6
+#: Columns of the parities of a line's tokens.
+BITS = ["even", "odd"]
 #: Lines that may be broadcast by their numbers or places (some 20 bytes each); more are joined by shuffles.
 BROADCAST_LINES = 1_000_000
 #: Passes at most in which pairs are held against each other's sets.
 PASSES = 16
+#: Passes in which lines meet by their keys: the shuffle of all keys takes more room than the lines' table.
+KEY_PASSES = 2
+
+
+def _trimmed(text: Column) -> Column:
+    return F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
 
 
 def _words(text: Column) -> Column:
     """The words of a text that has some, in lower case; none of them is empty."""
-    return F.split(F.regexp_replace(text, rf"\A{BLANKS}|{BLANKS}\z", ""), BLANKS)
+    return F.split(_trimmed(text), BLANKS)
 
 
 def rarity(docs: DataFrame) -> DataFrame:
@@ -46,6 +58,29 @@ def rarity(docs: DataFrame) -> DataFrame:
     return spark.createDataFrame([(list(classes),)], "classes array<tinyint>")
 
 
+def _signatures(tokens: Column, percent: int) -> Column:
+    """32-bit keys of the tokens from the rarest on, of which two lines that are alike share at least one.
+
+    A rare token of the prefix is a key alone. Lines that share no rare token differ in all that they have, r
+    here; the others then hold two tokens that are neighbours in both lines, since differing tokens part fewer
+    neighbours than there are. The first such two begin at place 1 + 2n(1 - percent / 100) - r at the latest. Keys
+    of two tokens stay rare in a large corpus, where a single token of the prefix does not. Other keys that
+    share a number are told apart by the filters.
+    """
+    n = F.size(tokens)
+    prefix = n - F.ceil(n * percent / F.lit(100)).cast("int") + 1
+    if percent < BY_TWOS:
+        return F.transform(F.slice(tokens, F.lit(1), prefix), lambda t: F.hash(t))
+    limit = F.lit(RARE << HASH_BITS)
+    rare = F.size(F.filter(F.slice(tokens, F.lit(1), prefix), lambda t: t < limit))
+    last = F.least(n - 1, F.floor(n * (2 * (100 - percent)) / F.lit(100)).cast("int") + 1 - rare)
+    length = F.when(rare >= prefix, prefix).otherwise(F.greatest(rare, last))
+    return F.transform(
+        F.slice(tokens, F.lit(1), length),
+        lambda t, k: F.when(t < limit, F.hash(t)).otherwise(F.hash(t, F.get(tokens, k + 1))),
+    )
+
+
 def _tokens(line: Column, classes: Column) -> Column:
     """A line's distinct words as integers, the rarest first: rarity class above, hash below."""
 
@@ -69,16 +104,27 @@ def _lines(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """``doc_id, doc, version, line_no, tokens`` of every line that has a word."""
     rows = docs.select(
         "doc_id", *_document(), F.posexplode(F.split(F.lower("text"), "\n")).alias("line_no", "line")
-    ).where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    ).where(_trimmed(F.col("line")) != "")
+    return _tokenized(rows, classes, ["doc_id", "doc", "version", "line_no"])
+
+
+def _tokenized(rows: DataFrame, classes: DataFrame, kept: list[str]) -> DataFrame:
+    """The columns ``kept`` and the ``tokens`` of each ``line``."""
     # the tokens come out of a generator, which is not folded into what uses them more than once; the outer
     # form, since the plain one is preceded by a filter that makes them again
     return (
         rows.withColumn("classes", classes.scalar())
-        .select("doc_id", "doc", "version", "line_no", F.array(_tokens(F.col("line"), F.col("classes"))).alias("t"))
-        .select("doc_id", "doc", "version", "line_no", F.explode_outer("t").alias("tokens"))
+        .select(*kept, F.array(_tokens(F.col("line"), F.col("classes"))).alias("t"))
+        .select(*kept, F.explode_outer("t").alias("tokens"))
     )
 
 
+def _parities() -> list[Column]:
+    """Whether an even or an odd number of ``tokens`` falls on each of 128 places, in two numbers."""
+    one = "aggregate(tokens, 0L, (acc, t) -> if(t & 64L {} 0L, acc ^ shiftleft(1L, cast(t & 63L as int)), acc))"
+    return [F.expr(one.format(sign)).alias(name) for sign, name in zip(("=", "<>"), BITS)]
+
+
 def _spot() -> Column:
     """The version of a document and the line in one number, which orders lines as they do."""
     return F.shiftleft(F.col("version").cast("long"), 32).bitwiseOR(F.col("line_no").cast("long"))
@@ -90,15 +136,15 @@ def _shares(percent: int) -> Column:
 
 
 def _may_match(percent: int) -> Column:
-    """The filters by length, bitmap, prefix and position for two entries of one token."""
+    """The filters by length, parities and position for two entries of one key."""
     least = _shares(percent)
     n = F.col("x.n") + F.col("y.n")
     behind = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    # a token that only one line has turns one parity, so no more of them differ than there are such tokens
+    differ = reduce(Column.__add__, [F.bit_count(F.col(f"x.{k}").bitwiseXOR(F.col(f"y.{k}"))) for k in BITS])
     return (
         (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-        & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= n - least * 2)
-        & (F.col("x.pos") <= F.col("x.n") - least + 1)
-        & (F.col("y.pos") <= F.col("y.n") - least + 1)
+        & (differ <= n - least * 2)
         & (F.least("x.pos", "y.pos") + behind >= least)
     )
 
@@ -106,17 +152,19 @@ def _may_match(percent: int) -> Column:
 def _later(docs: DataFrame, classes: DataFrame, seen: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """``id`` of the later class of those pairs whose token sets are alike by ``percent`` of a hundred.
 
-    Only the documents that hold the first line of a class in question are split again.
+    Only the first lines of the classes in question are split into words again.
     """
     ids = pairs.select("id").union(pairs.select("other")).distinct()
     wanted = written(seen.select("id", "doc", "spot").join(ids, "id", "left_semi"), "line-places")
-    small = wanted.count() <= BROADCAST_LINES
-    keys = wanted.select("doc", F.shiftright("spot", 32).cast("int").alias("version")).distinct()
-    chosen = docs.select("*", *_document()).join(
-        F.broadcast(keys) if small else keys, ["doc", "version"], "left_semi"
+    by = wanted.groupBy("doc", F.shiftright("spot", 32).cast("int").alias("version")).agg(
+        F.collect_list(F.struct("id", "doc", "spot", F.col("spot").bitwiseAND(F.lit((1 << 32) - 1)).alias("line_no"))).alias("wanted")
+    )
+    chosen = docs.select("text", *_document()).join(
+        F.broadcast(by) if wanted.count() <= BROADCAST_LINES else by, ["doc", "version"]
     )
-    lines = _lines(chosen.select("doc_id", "text"), classes).select("doc", _spot().alias("spot"), "tokens")
-    found = lines.join(F.broadcast(wanted) if small else wanted, ["doc", "spot"])
+    lines = chosen.select("wanted", F.posexplode(F.split(F.lower("text"), "\n")).alias("at", "line"))
+    lines = lines.select("line", F.explode(F.filter("wanted", lambda w: w["line_no"] == F.col("at"))).alias("w"))
+    found = _tokenized(lines.select("line", "w.*"), classes, ["id", "doc", "spot"])
     # a document that is repeated gives its sets again
     sets = found.groupBy("id").agg(F.first("tokens").alias("tokens"), F.first(F.struct("doc", "spot")).alias("place"))
     sets = written(sets, "line-sets")
@@ -162,7 +210,6 @@ def line_decisions(docs: DataFrame, percent: int = 75) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     classes = written(rarity(docs), "rarity")
     n = F.size("tokens")
-    prefix = F.slice("tokens", F.lit(1), n - F.ceil(n * percent / F.lit(100)).cast("int") + 1)
     occurrences = written(
         _lines(docs, classes).select(
             "doc_id",
@@ -172,9 +219,8 @@ def line_decisions(docs: DataFrame, percent: int = 75) -> DataFrame:
             n.alias("n_words"),
             F.xxhash64("tokens").alias("id1"),
             F.xxhash64("tokens", F.lit(1)).alias("id2"),
-            # a 32-bit key for each token of the prefix: others that share it are told apart by the filters
-            F.transform(prefix, lambda t: F.hash(t)).alias("prefix"),
-            F.expr("aggregate(tokens, 0L, (acc, t) -> acc | shiftleft(1L, cast(t & 63L as int)))").alias("bits"),
+            _signatures(F.col("tokens"), percent).alias("prefix"),
+            *_parities(),
         ),
         "lines",
     )
@@ -185,9 +231,9 @@ def line_decisions(docs: DataFrame, percent: int = 75) -> DataFrame:
             F.min(F.struct("doc", _spot().alias("spot"))).alias("place"),
             F.first("n_words").alias("n"),
             F.first("prefix").alias("prefix"),
-            F.first("bits").alias("bits"),
+            *[F.first(k).alias(k) for k in BITS],
         )
-        .select(*same, "place.*", "n", "prefix", "bits")
+        .select(*same, "place.*", "n", "prefix", *BITS)
         # numbers are short in a shuffle; writing the table fixes them
         .withColumn("id", F.monotonically_increasing_id())
     )
@@ -199,7 +245,7 @@ def line_decisions(docs: DataFrame, percent: int = 75) -> DataFrame:
     decided = seen.select(*same, "id", "doc", "spot").join(gone, "id", "left")
     first = (F.col("doc") == F.col("first_doc")) & (_spot() == F.col("first_spot"))
     return (
-        occurrences.drop("prefix", "bits")
+        occurrences.drop("prefix", *BITS)
         .join(
             decided.select(
                 *same,
@@ -215,13 +261,13 @@ def line_decisions(docs: DataFrame, percent: int = 75) -> DataFrame:
 
 def _first_pairs(seen: DataFrame, percent: int) -> DataFrame:
     """Each class with the earliest of those that share one of its rarest tokens, where they may match."""
-    entry = ["doc", "spot", "id", "n", "pos", "bits"]
+    entry = ["doc", "spot", "id", "n", "pos", *BITS]
     rarest = seen.select(
-        F.posexplode(F.slice("prefix", 1, FIRST)).alias("at", "token"), "doc", "spot", "id", "n", "bits"
+        F.posexplode(F.slice("prefix", 1, FIRST)).alias("at", "token"), "doc", "spot", "id", "n", *BITS
     ).withColumn("pos", F.col("at") + 1)
     leaders = rarest.groupBy("token").agg(F.min(F.struct(*entry)).alias("y"), F.count("*").alias("members"))
-    leaders = leaders.where("members > 1").select("token", "y.id", "y.n", "y.pos", "y.bits")
-    narrow = rarest.select("token", "id", "n", "pos", "bits")
+    leaders = leaders.where("members > 1").select("token", *[f"y.{k}" for k in ("id", "n", "pos", *BITS)])
+    narrow = rarest.select("token", "id", "n", "pos", *BITS)
     return (
         narrow.alias("x")
         .join(leaders.alias("y"), "token")
@@ -236,22 +282,24 @@ def _other_pairs(seen: DataFrame, settled: DataFrame, percent: int) -> DataFrame
     known = settled.withColumn("settled", F.lit(True))
     if settled.count() <= BROADCAST_LINES:
         known = F.broadcast(known)
-    entries = seen.join(known, "id", "left").select(
-        "id", "n", "bits", F.coalesce("settled", F.lit(False)).alias("settled"), F.posexplode("prefix").alias("at", "token")
-    )
-    entries = entries.select("token", "id", "n", (F.col("at") + 1).alias("pos"), "settled", "bits")
-    # every condition needs both sides, so that neither is filtered on its own and both read one shuffle
-    may = (F.col("x.id") < F.col("y.id")) & ~(F.col("x.settled") & F.col("y.settled")) & _may_match(percent)
-    same = F.col("x.token") == F.col("y.token")
-    joined = entries.alias("x").join(entries.alias("y"), same & may)
-    found = joined.select(
-        F.col("x.id").alias("id"),
-        F.col("y.id").alias("other"),
-        F.col("x.settled").alias("settled"),
-        F.col("y.settled").alias("other_settled"),
-    ).distinct()
-    # written here, so that the files of the large shuffle of entries go before the next ones come
-    found = written(found, "line-candidates")
+    classes = seen.join(known, "id", "left").withColumn("settled", F.coalesce("settled", F.lit(False)))
+
+    def met(k: int) -> DataFrame:
+        entries = classes.select("id", "n", *BITS, "settled", F.posexplode("prefix").alias("at", "token"))
+        entries = entries.where(F.pmod("token", F.lit(KEY_PASSES)) == k)
+        entries = entries.select("token", "id", "n", (F.col("at") + 1).alias("pos"), "settled", *BITS)
+        # every condition needs both sides, so that neither is filtered on its own and both read one shuffle
+        may = (F.col("x.id") < F.col("y.id")) & ~(F.col("x.settled") & F.col("y.settled")) & _may_match(percent)
+        joined = entries.alias("x").join(entries.alias("y"), (F.col("x.token") == F.col("y.token")) & may)
+        return joined.select(
+            F.col("x.id").alias("id"),
+            F.col("y.id").alias("other"),
+            F.col("x.settled").alias("settled"),
+            F.col("y.settled").alias("other_settled"),
+        ).distinct()
+
+    # written here, so that the files of a large shuffle of entries go before the next ones come
+    found = reduce(DataFrame.union, [written(met(k), "line-candidates") for k in range(KEY_PASSES)]).distinct()
     # what is known of the later class needs no pair
     places = seen.select("id", F.struct("doc", "spot").alias("place"))
     found = found.join(places, "id").join(places.toDF("other", "other_place"), "other")

@@ -2,6 +2,7 @@ import random
 import re
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from stockledger.llm import lines
@@ -66,6 +67,66 @@ def test_lines_of_very_many_words(spark):
     checked(spark, [(1, " ".join(long)), (2, " ".join([*long[:-9], "new"])), (3, " ".join(other))])
 
 
+def changed_lines(drawn, words, most):
+    """Lines of ``words`` and variants of them, with as many words taken, put in or changed as may keep them alike."""
+    rows = []
+    for i in range(50):
+        base = drawn.sample(words, drawn.randrange(1, most))
+        text = [base]
+        for _ in range(4):
+            own = list(base)
+            for _ in range(drawn.randrange(len(base) // 3 + 2)):
+                how = drawn.randrange(3)
+                if how and len(own) > 1:
+                    own.pop(drawn.randrange(len(own)))
+                if how < 2:
+                    own.insert(drawn.randrange(len(own) + 1), drawn.choice(words))
+            text.append(own)
+        rows.append((i, "\n".join(" ".join(line) for line in text)))
+    return rows
+
+
+@pytest.mark.parametrize("rare", [0, 5, lines.RARE])
+def test_keys_of_one_and_two_tokens(spark, monkeypatch, rare):
+    # words of any frequency: all lines alike are found by the keys, whatever counts as rare
+    monkeypatch.setattr(lines, "RARE", rare)
+    drawn = random.Random(11 + rare)
+    words = [f"w{int(k**1.5)}" for k in range(90)]
+    found = checked(spark, changed_lines(drawn, words, 40))
+    assert sum(r["near"] for r in found) > 20
+
+
+def test_unlike_lines_of_many_common_words_are_not_compared(spark, monkeypatch):
+    drawn = random.Random(8)
+    words = [f"w{k}" for k in range(1500)]
+    rows = [(i, " ".join(drawn.sample(words, 120))) for i in range(400)]
+    compared = []
+
+    def counted(df, name, *more):
+        table = written(df, name, *more)
+        compared.extend([table.count()] if name in ("line-pairs", "line-candidates") else [])
+        return table
+
+    monkeypatch.setattr(lines, "written", counted)
+    checked(spark, rows)
+    assert sum(compared) < len(rows)
+
+
+def test_only_lines_in_question_are_split_again(spark, monkeypatch):
+    split = []
+    tokenized = lines._tokenized
+
+    def counted(rows, classes, kept):
+        split.append(rows.count())
+        return tokenized(rows, classes, kept)
+
+    monkeypatch.setattr(lines, "_tokenized", counted)
+    other = [prose(k, 12) for k in range(40)]
+    rows = [(1, "\n".join(["one two three four five", *other])), (2, "one two three four five six")]
+    checked(spark, rows)
+    assert split[0] == 42 and 0 < split[1] < 10
+
+
 def test_documents_without_their_repeated_lines(spark):
     rows = [
         (1, "one two three four\n\nfive six seven eight"),

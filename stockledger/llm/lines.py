@@ -27,7 +27,7 @@ BROADCAST_LINES = 1_000_000
 #: Passes at most in which pairs are held against each other's sets.
 PASSES = 16
 #: Passes in which lines meet by their keys: the shuffle of all keys takes more room than the lines' table.
-KEY_PASSES = 2
+KEY_PASSES = 4
 
 
 def _trimmed(text: Column) -> Column:

@@ -18,7 +18,8 @@ HASH_BITS = 57
 RARE = 9
 #: Least percentage of likeness at which lines alike always have two neighbouring tokens in common.
 BY_TWOS = 75
-#: Signatures by which a line is first held against the earliest line that has one of them among its own.
+#: Keys by which a line is first held against the earliest line that has one of them among its own. Those of rare
+#: tokens are left out: what a large group of near copies has in common is not rare.
 FIRST = 6
 #: Columns of the parities of a line's tokens.
 BITS = ["even", "odd"]
@@ -58,6 +59,19 @@ def rarity(docs: DataFrame) -> DataFrame:
     return spark.createDataFrame([(list(classes),)], "classes array<tinyint>")
 
 
+def _prefix(tokens: Column, percent: int) -> Column:
+    """The length of the prefix of which lines that are alike share a token."""
+    return F.size(tokens) - F.ceil(F.size(tokens) * percent / F.lit(100)).cast("int") + 1
+
+
+def _rare(tokens: Column, percent: int) -> Column:
+    """How many tokens of the prefix are rare: as many keys stand for one token, the others for two."""
+    if percent < BY_TWOS:
+        return F.lit(0)
+    head = F.slice(tokens, F.lit(1), _prefix(tokens, percent))
+    return F.size(F.filter(head, lambda t: t < F.lit(RARE << HASH_BITS)))
+
+
 def _signatures(tokens: Column, percent: int) -> Column:
     """32-bit keys of the tokens from the rarest on, of which two lines that are alike share at least one.
 
@@ -68,11 +82,11 @@ def _signatures(tokens: Column, percent: int) -> Column:
     share a number are told apart by the filters.
     """
     n = F.size(tokens)
-    prefix = n - F.ceil(n * percent / F.lit(100)).cast("int") + 1
+    prefix = _prefix(tokens, percent)
     if percent < BY_TWOS:
         return F.transform(F.slice(tokens, F.lit(1), prefix), lambda t: F.hash(t))
     limit = F.lit(RARE << HASH_BITS)
-    rare = F.size(F.filter(F.slice(tokens, F.lit(1), prefix), lambda t: t < limit))
+    rare = _rare(tokens, percent)
     last = F.least(n - 1, F.floor(n * (2 * (100 - percent)) / F.lit(100)).cast("int") + 1 - rare)
     length = F.when(rare >= prefix, prefix).otherwise(F.greatest(rare, last))
     return F.transform(
@@ -202,10 +216,10 @@ def line_decisions(docs: DataFrame, percent: int = 75) -> DataFrame:
     word are no rows. Rows that repeat a document and its text are one document and get the same decisions.
     Null texts have no lines; no rows give no rows.
 
-    Lines of one set are a class: only the first can stay. Classes are joined by the tokens of their prefix,
-    the rarest first, with filters by length, place in the prefix and a 64-bit map of the sets. A class is
-    first held against the earliest class under each of its rarest tokens; one that matches is settled. Only
-    the rest meets all earlier classes of its prefix tokens, so a large group of near copies is not paired up.
+    Lines of one set are a class: only the first can stay. Classes are joined by the keys of their prefix,
+    the rarest first, with filters by length, place in the prefix and parities of the sets. A class is
+    first held against the earliest class under each of a few keys; one that matches is settled. Only the rest
+    meets all earlier classes of its keys, so a large group of near copies is not paired up.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     classes = written(rarity(docs), "rarity")
@@ -220,6 +234,7 @@ def line_decisions(docs: DataFrame, percent: int = 75) -> DataFrame:
             F.xxhash64("tokens").alias("id1"),
             F.xxhash64("tokens", F.lit(1)).alias("id2"),
             _signatures(F.col("tokens"), percent).alias("prefix"),
+            _rare(F.col("tokens"), percent).alias("rare"),
             *_parities(),
         ),
         "lines",
@@ -231,9 +246,10 @@ def line_decisions(docs: DataFrame, percent: int = 75) -> DataFrame:
             F.min(F.struct("doc", _spot().alias("spot"))).alias("place"),
             F.first("n_words").alias("n"),
             F.first("prefix").alias("prefix"),
+            F.first("rare").alias("rare"),
             *[F.first(k).alias(k) for k in BITS],
         )
-        .select(*same, "place.*", "n", "prefix", *BITS)
+        .select(*same, "place.*", "n", "prefix", "rare", *BITS)
         # numbers are short in a shuffle; writing the table fixes them
         .withColumn("id", F.monotonically_increasing_id())
     )
@@ -245,7 +261,7 @@ def line_decisions(docs: DataFrame, percent: int = 75) -> DataFrame:
     decided = seen.select(*same, "id", "doc", "spot").join(gone, "id", "left")
     first = (F.col("doc") == F.col("first_doc")) & (_spot() == F.col("first_spot"))
     return (
-        occurrences.drop("prefix", *BITS)
+        occurrences.drop("prefix", "rare", *BITS)
         .join(
             decided.select(
                 *same,
@@ -260,11 +276,12 @@ def line_decisions(docs: DataFrame, percent: int = 75) -> DataFrame:
 
 
 def _first_pairs(seen: DataFrame, percent: int) -> DataFrame:
-    """Each class with the earliest of those that share one of its rarest tokens, where they may match."""
+    """Each class with the earliest of those that share one of its first keys of two tokens, where they may match."""
     entry = ["doc", "spot", "id", "n", "pos", *BITS]
     rarest = seen.select(
-        F.posexplode(F.slice("prefix", 1, FIRST)).alias("at", "token"), "doc", "spot", "id", "n", *BITS
-    ).withColumn("pos", F.col("at") + 1)
+        F.posexplode(F.slice("prefix", F.col("rare") + 1, F.lit(FIRST))).alias("at", "token"),
+        *("doc", "spot", "id", "n", "rare", *BITS),
+    ).withColumn("pos", F.col("rare") + F.col("at") + 1)
     leaders = rarest.groupBy("token").agg(F.min(F.struct(*entry)).alias("y"), F.count("*").alias("members"))
     leaders = leaders.where("members > 1").select("token", *[f"y.{k}" for k in ("id", "n", "pos", *BITS)])
     narrow = rarest.select("token", "id", "n", "pos", *BITS)

@@ -164,23 +164,23 @@ def _may_match(percent: int) -> Column:
 
 
 def _later(docs: DataFrame, classes: DataFrame, seen: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """``id`` of the later class of those pairs whose token sets are alike by ``percent`` of a hundred.
+    """``id`` of the later class, the ``other``, of those pairs whose token sets are alike by ``percent`` of a hundred.
 
     Only the first lines of the classes in question are split into words again.
     """
     ids = pairs.select("id").union(pairs.select("other")).distinct()
     wanted = written(seen.select("id", "doc", "spot").join(ids, "id", "left_semi"), "line-places")
     by = wanted.groupBy("doc", F.shiftright("spot", 32).cast("int").alias("version")).agg(
-        F.collect_list(F.struct("id", "doc", "spot", F.col("spot").bitwiseAND(F.lit((1 << 32) - 1)).alias("line_no"))).alias("wanted")
+        F.collect_list(F.struct("id", F.col("spot").bitwiseAND(F.lit((1 << 32) - 1)).alias("line_no"))).alias("wanted")
     )
     chosen = docs.select("text", *_document()).join(
         F.broadcast(by) if wanted.count() <= BROADCAST_LINES else by, ["doc", "version"]
     )
     lines = chosen.select("wanted", F.posexplode(F.split(F.lower("text"), "\n")).alias("at", "line"))
     lines = lines.select("line", F.explode(F.filter("wanted", lambda w: w["line_no"] == F.col("at"))).alias("w"))
-    found = _tokenized(lines.select("line", "w.*"), classes, ["id", "doc", "spot"])
+    found = _tokenized(lines.select("line", "w.*"), classes, ["id"])
     # a document that is repeated gives its sets again
-    sets = found.groupBy("id").agg(F.first("tokens").alias("tokens"), F.first(F.struct("doc", "spot")).alias("place"))
+    sets = found.groupBy("id").agg(F.first("tokens").alias("tokens"))
     sets = written(sets, "line-sets")
     common = F.size(F.array_intersect("tokens", "other_tokens"))
     # pairs carry a set to the next shuffle, so they go in passes of about as many as there are sets
@@ -188,13 +188,13 @@ def _later(docs: DataFrame, classes: DataFrame, seen: DataFrame, pairs: DataFram
 
     def alike(k: int) -> DataFrame:
         mine = F.pmod(F.xxhash64("id"), F.lit(passes)) == k
-        other = sets.toDF("other", "other_tokens", "other_place")
+        other = sets.toDF("other", "other_tokens")
         return (
             pairs.where(mine)
             .join(sets.where(mine), "id")
             .join(other, "other")
             .select(
-                F.when(F.col("place") > F.col("other_place"), F.col("id")).otherwise(F.col("other")).alias("id"),
+                F.col("other").alias("id"),
                 common.alias("common"),
                 (F.size("tokens") + F.size("other_tokens")).alias("both"),
             )
@@ -250,7 +250,8 @@ def line_decisions(docs: DataFrame, percent: int = 75) -> DataFrame:
             *[F.first(k).alias(k) for k in BITS],
         )
         .select(*same, "place.*", "n", "prefix", "rare", *BITS)
-        # numbers are short in a shuffle; writing the table fixes them
+        # numbers are short in a shuffle and stand as the lines do; writing the table fixes them
+        .orderBy("doc", "spot")
         .withColumn("id", F.monotonically_increasing_id())
     )
     seen = written(seen, "line-classes")
@@ -300,28 +301,19 @@ def _other_pairs(seen: DataFrame, settled: DataFrame, percent: int) -> DataFrame
     if settled.count() <= BROADCAST_LINES:
         known = F.broadcast(known)
     classes = seen.join(known, "id", "left").withColumn("settled", F.coalesce("settled", F.lit(False)))
+    # one condition on both sides, so that neither is filtered on its own and both read one shuffle
+    earlier = F.col("x.id") < F.when(F.col("y.settled"), F.lit(-1)).otherwise(F.col("y.id"))
 
     def met(k: int) -> DataFrame:
         entries = classes.select("id", "n", *BITS, "settled", F.posexplode("prefix").alias("at", "token"))
         entries = entries.where(F.pmod("token", F.lit(KEY_PASSES)) == k)
         entries = entries.select("token", "id", "n", (F.col("at") + 1).alias("pos"), "settled", *BITS)
-        # every condition needs both sides, so that neither is filtered on its own and both read one shuffle
-        may = (F.col("x.id") < F.col("y.id")) & ~(F.col("x.settled") & F.col("y.settled")) & _may_match(percent)
-        joined = entries.alias("x").join(entries.alias("y"), (F.col("x.token") == F.col("y.token")) & may)
-        return joined.select(
-            F.col("x.id").alias("id"),
-            F.col("y.id").alias("other"),
-            F.col("x.settled").alias("settled"),
-            F.col("y.settled").alias("other_settled"),
-        ).distinct()
+        may = (F.col("x.token") == F.col("y.token")) & earlier & _may_match(percent)
+        joined = entries.alias("x").join(entries.alias("y"), may)
+        return joined.select(F.col("x.id").alias("id"), F.col("y.id").alias("other")).distinct()
 
     # written here, so that the files of a large shuffle of entries go before the next ones come
-    found = reduce(DataFrame.union, [written(met(k), "line-candidates") for k in range(KEY_PASSES)]).distinct()
-    # what is known of the later class needs no pair
-    places = seen.select("id", F.struct("doc", "spot").alias("place"))
-    found = found.join(places, "id").join(places.toDF("other", "other_place"), "other")
-    later = F.when(F.col("place") > F.col("other_place"), F.col("settled")).otherwise(F.col("other_settled"))
-    return found.where(~later).select("id", "other")
+    return reduce(DataFrame.union, [written(met(k), "line-candidates") for k in range(KEY_PASSES)]).distinct()
 
 
 def dedup_lines(docs: DataFrame, percent: int = 75) -> DataFrame:

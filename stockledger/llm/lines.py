@@ -301,8 +301,10 @@ def _other_pairs(seen: DataFrame, settled: DataFrame, percent: int) -> DataFrame
     if settled.count() <= BROADCAST_LINES:
         known = F.broadcast(known)
     classes = seen.join(known, "id", "left").withColumn("settled", F.coalesce("settled", F.lit(False)))
-    # one condition on both sides, so that neither is filtered on its own and both read one shuffle
-    earlier = F.col("x.id") < F.when(F.col("y.settled"), F.lit(-1)).otherwise(F.col("y.id"))
+    # both sides' columns in every condition, so that neither is filtered or cut on its own and both read one shuffle
+    none = F.when(F.col("x.settled"), F.lit(-1)).otherwise(F.lit(-2))
+    open_later = F.col("x.id") < F.when(F.col("y.settled"), none).otherwise(F.col("y.id"))
+    earlier = (F.col("x.id") < F.col("y.id")) & open_later
 
     def met(k: int) -> DataFrame:
         entries = classes.select("id", "n", *BITS, "settled", F.posexplode("prefix").alias("at", "token"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +17,9 @@ from stockledger.llm.words import mixed, stretch_hashes
 
 #: Minima in a fingerprint, each kept as 16 bits; documents in one range of ids, unless that gives more ranges.
 MINIMA, RANGE_ROWS, RANGES = 128, 1000, 20_000
+#: Characters hashed at once, so that they stay in the processor's cache; rows, and about the characters, of a group
+#: of texts that is compared at once.
+HASHED_CHARS, RESULT_ROWS, GROUP_CHARS = 1 << 15, 256, 1 << 21
 RESULT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double"
@@ -52,28 +56,116 @@ def parse(text: str, begin: int, seen: set[str], until: int, ends: list[int]) ->
     return begin
 
 
+#: Where characters end, as numbers that need not be made again for each text; a phrase that none goes on.
+PLACES, LEAF = list(range(1, 1 << 17)), {}
+
+
+def _places(begin: int, n: int) -> list[int] | range:
+    """The places behind each of ``n`` characters from ``begin``."""
+    return PLACES[begin : begin + n] if begin + n <= len(PLACES) else range(begin + 1, begin + n + 1)
+
+
+def grow(
+    text: str, at: int, root: dict, state: tuple[dict, dict, str], ends: list[int], log: list | None = None
+) -> tuple[dict, dict, str]:
+    """Walks ``text``, which stands at ``at``, down a tree of phrases and adds a leaf wherever the tree ends.
+
+    The phrases are those of ``parse``: each is one of the tree and one more character. A node is a dict from
+    characters to nodes; nodes that nothing goes on from are all ``LEAF``, and made on their own once something does.
+    ``state`` is the node the walk stands on, the one above and the character between; the new one is returned.
+    Where phrases end goes into ``ends``, where leaves were added into ``log``.
+    """
+    node, above, last = state
+    add = ends.append
+    for c, end in zip(text, _places(at, len(text))):
+        if c in node:
+            above = node
+            last = c
+            node = node[c]
+        else:
+            if node is LEAF:
+                above[last] = {c: LEAF}
+                if log is not None:
+                    log.append((above, last))
+            else:
+                node[c] = LEAF
+                if log is not None:
+                    log.append((node, c))
+            add(end)
+            node = root
+    return node, above, last
+
+
+def both_phrases(text: str, half: int, edited: str, at: int, ends: list[int]) -> tuple[int, int, int, int]:
+    """Parses a text and another that has the same first ``half`` characters, which are parsed once.
+
+    The text stands at ``at``; behind it stands the edited one from the end of the last phrase that both have.
+    Where phrases end goes into ``ends``: those of both, of the text alone, of the edited one alone. Returns the
+    counts of the three and where the last phrase that both have ends in the text.
+    """
+    root: dict = {}
+    first = len(ends)
+    middle = grow(text[:half], at, root, (root, root, ""), ends)
+    both = len(ends) - first
+    begin = ends[-1] - at if both else 0
+    log: list = []
+    grow(text[half:], at + half, root, middle, ends, log)
+    own = len(ends) - first - both
+    for node, c in reversed(log):  # as it was at half
+        if node[c] is LEAF:
+            del node[c]
+        else:
+            node[c] = LEAF
+    grow(edited[half:], at + len(text) + half - begin, root, middle, ends)
+    return both, own, len(ends) - first - both - own, begin
+
+
+#: The code that each character is hashed as.
+POINTS = mixed(np.arange(1, 0x110001, dtype=np.uint64))
+
+
 def phrase_hashes(text: str, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each stretch of the text, the same wherever the stretch stands."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    return stretch_hashes(mixed(points + np.uint64(1)), starts, ends)
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    return stretch_hashes(POINTS.take(points), starts, ends)
 
 
-def minima(hashes: np.ndarray) -> np.ndarray:
-    """The low 16 bits, never 0, of the smallest hash in each of MINIMA bins; 0 where a bin has none."""
+NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+
+def _least(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A row of MINIMA bins for each of ``counts``, which say how many hashes in a row are its own: the smallest
+    hash in each bin, without the bin; NONE where a bin has none."""
     bins = (hashes % np.uint64(MINIMA)).astype(np.int64)
-    least = np.full(MINIMA, np.uint64(0xFFFFFFFFFFFFFFFF))
-    rest = hashes // np.uint64(MINIMA)
-    np.minimum.at(least, bins, rest)
+    bins += np.repeat(np.arange(len(counts)) * MINIMA, counts)
+    least = np.full(len(counts) * MINIMA, NONE)
+    np.minimum.at(least, bins, hashes // np.uint64(MINIMA))
+    return least.reshape(len(counts), MINIMA)
+
+
+def _low(least: np.ndarray) -> np.ndarray:
+    """The low 16 bits, never 0; 0 where a bin has none."""
     low = (least & np.uint64(0xFFFF)).astype(np.uint16)
     low[low == 0] = 1
-    low[least == np.uint64(0xFFFFFFFFFFFFFFFF)] = 0
+    low[least == NONE] = 0
     return low
 
 
+def minima(hashes: np.ndarray) -> np.ndarray:
+    """The low 16 bits, never 0, of the smallest hash in each of MINIMA bins; 0 where a bin has none."""
+    return _low(_least(hashes, np.array([len(hashes)])))[0]
+
+
+def _alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``likeness`` of each row of minima with the same row of others."""
+    filled = np.count_nonzero((a != 0) | (b != 0), axis=1)
+    same = np.count_nonzero((a == b) & (a != 0), axis=1)
+    return np.where(filled > 0, same / np.maximum(filled, 1), 1.0)
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """The share of equal minima among the bins that either has filled; 1 for two without phrases."""
-    filled = int(np.count_nonzero((a != 0) | (b != 0)))
-    return float(np.count_nonzero((a == b) & (a != 0)) / filled) if filled else 1.0
+    return float(_alike(a[None], b[None])[0])
 
 
 def written_as(values: np.ndarray) -> str:
@@ -94,28 +186,39 @@ def fingerprint(text: str) -> np.ndarray:
 
 def both_fingerprints(text: str, half: int, edited: str) -> tuple[np.ndarray, np.ndarray]:
     """The minima of a text and of another that has the same first ``half`` characters, which are parsed once."""
-    seen: set[str] = set()
+    own, other = _fingerprints([(text, half, edited)])
+    return own[0], other[0]
+
+
+def _fingerprints(pairs: list[tuple[str, int, str]]) -> tuple[np.ndarray, np.ndarray]:
+    """A row of ``both_fingerprints`` for each text, count of its first characters and edited text."""
+    own, other = [], []
+    pieces: list[str] = []
     ends: list[int] = []
-    begin = parse(text, 0, seen, half, ends)
-    other, other_ends = set(seen), list(ends)
-    parse(text, begin, seen, len(text), ends)
-    parse(edited, begin, other, len(edited), other_ends)
-    found = []
-    for whole, stops in ((text, ends), (edited, other_ends)):
-        if not stops:
-            found.append(np.zeros(0, np.uint64))
-            continue
-        at = np.array(stops, np.int64)
-        found.append(phrase_hashes(whole, np.concatenate([[0], at[:-1]]), at))
-    return minima(found[0]), minima(found[1])
-
-
-def _compared(text: str, after: str) -> tuple:
-    cut = len(text) // 2
-    half = len(text) - cut
-    edited = text[:half] + after[:cut]
-    own, other = both_fingerprints(text, half, edited)
-    return len(text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), own, other
+    counts: list[int] = []
+    firsts: list[tuple[int, int]] = []  # the phrases that begin a piece, and where they begin
+    at = 0
+    for k, (text, half, edited) in enumerate(pairs):
+        before = len(ends)
+        both, mine, others, begin = both_phrases(text, half, edited, at, ends)
+        if both + mine:
+            firsts.append((before, at))
+        if others:
+            firsts.append((before + both + mine, at + len(text)))
+        counts += both, mine, others
+        pieces += text, edited[begin:]
+        at += len(text) + len(edited) - begin
+        if at >= HASHED_CHARS or k == len(pairs) - 1:
+            stops = np.frombuffer(array("q", ends), np.int64)
+            starts = np.concatenate([[0], stops[:-1]]).astype(np.int64)[: len(stops)]
+            if firsts:
+                which, where = zip(*firsts)
+                starts[list(which)] = where
+            least = _least(phrase_hashes("".join(pieces), starts, stops), np.array(counts)).reshape(-1, 3, MINIMA)
+            own.append(_low(np.minimum(least[:, 0], least[:, 1])))
+            other.append(_low(np.minimum(least[:, 0], least[:, 2])))
+            pieces, ends, counts, firsts, at = [], [], [], [], 0
+    return np.concatenate(own), np.concatenate(other)
 
 
 def _ranges(docs: DataFrame, rows_in_range: int) -> tuple[np.ndarray, dict[int, int]]:
@@ -183,25 +286,6 @@ def fingerprinted(docs: DataFrame, rows_in_range: int = RANGE_ROWS) -> DataFrame
                     names=["range", "extra", "doc_id", "id", "tie", "text"],
                 )
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = _stream(batches)
-        current, out = next(rows, None), []
-        while current is not None:
-            following = next(rows, None)
-            range_, extra, doc_id, text, own = current
-            if not extra:
-                # the first extra row of the range ends it; what follows it there ties with it
-                after = following
-                n, digest, mine, edited = _compared(text, after[3])
-                own.append(mine)
-                out.append((doc_id, n, digest, mine, edited, after))
-                if len(out) >= 256:
-                    yield _finished(out)
-                    out = []
-            current = following
-        if out:
-            yield _finished(out)
-
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         _order_id().alias("id"),
@@ -212,28 +296,71 @@ def fingerprinted(docs: DataFrame, rows_in_range: int = RANGE_ROWS) -> DataFrame
         .repartitionByRange("range")
         .sortWithinPartitions("range", "extra", F.desc("id"), "tie")
         .select("range", "extra", "doc_id", "text")
-        .mapInArrow(tidy(compare), RESULT)
+        .mapInArrow(tidy(compared), RESULT)
     )
 
 
-def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """``doc_id, text``, the next document's text and whether that ends the range, for each document of a range."""
+    before = None
     for batch in batches:
-        for part in slices(batch, "text"):
-            for row in zip(*(column.to_pylist() for column in part.columns)):
-                yield (*row, [])
-
-
-def _finished(rows: list[tuple]) -> pa.RecordBatch:
-    columns: list[list] = [[] for _ in range(7)]
-    for doc_id, n, digest, mine, edited, after in rows:
-        following = after[4][0] if after[4] else fingerprint(after[3])
-        for column, value in zip(
-            columns,
-            (doc_id, n, digest, written_as(mine), written_as(edited), likeness(mine, edited), likeness(mine, following)),
-        ):
-            column.append(value)
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds)],
-        names=[x.split()[0] for x in RESULT.split(", ")],
-    )
+        for part in slices(batch, "text", 1 << 20):
+            for _, extra, doc_id, text in zip(*(column.to_pylist() for column in part.columns)):
+                # the first extra row of the range ends it; what follows it there ties with it
+                if before is not None and not before[0]:
+                    yield before[1], before[2], text, extra
+                before = extra, doc_id, text
+
+
+def compared(
+    batches: Iterator[pa.RecordBatch], most_rows: int = RESULT_ROWS, most_chars: int = GROUP_CHARS
+) -> Iterator[pa.RecordBatch]:
+    """The result's rows of sorted ``range, extra, doc_id, text``, compared in groups."""
+    group, held, chars = [], None, 0
+    for pair in _pairs(batches):
+        group.append(pair)
+        chars += len(pair[1])
+        if len(group) == most_rows or chars >= most_chars:
+            found, held = _compared(group, held)
+            yield found
+            group, chars = [], 0
+    if group:
+        yield _compared(group, held)[0]
+
+
+def _compared(group: list[tuple], held: tuple | None) -> tuple[pa.RecordBatch, tuple | None]:
+    """The result's rows of a group of ``_pairs`` and of the row ``held`` back of the group before.
+
+    The group's last row is held back, as the next group has the minima that it is compared with, unless it ends
+    its range.
+    """
+    rows, pairs = [], []
+    for doc_id, text, after, _ in group:
+        cut = len(text) // 2
+        half = len(text) - cut
+        edited = text[:half] + after[:cut]
+        pairs.append((text, half, edited))
+        rows.append((doc_id, len(text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()))
+    own, other = _fingerprints(pairs)
+    following = np.concatenate([own[1:], own[:1]])
+    for k, (_, _, after, ends) in enumerate(group):
+        if ends:
+            following[k] = fingerprint(after)
+    if held is not None:
+        rows = [held[0], *rows]
+        following = np.concatenate([own[:1], following])
+        own, other = np.concatenate([held[1][None], own]), np.concatenate([held[2][None], other])
+    held = None if group[-1][3] else (rows[-1], own[-1], other[-1])
+    n = len(rows) - (held is not None)
+    columns = list(zip(*rows[:n])) or [(), (), ()]
+    own, other, following = own[:n], other[:n], following[:n]
+    arrays = [
+        pa.array(columns[0], pa.int64()),
+        pa.array(columns[1], pa.int64()),
+        pa.array(columns[2], pa.string()),
+        pa.array([written_as(x) for x in own], pa.string()),
+        pa.array([written_as(x) for x in other], pa.string()),
+        pa.array(_alike(own, other), pa.float64()),
+        pa.array(_alike(own, following), pa.float64()),
+    ]
+    return pa.RecordBatch.from_arrays(arrays, names=[x.split()[0] for x in RESULT.split(", ")]), held

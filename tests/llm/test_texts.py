@@ -1,8 +1,10 @@
 import hashlib
 import math
 import random
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,6 +80,68 @@ def test_fingerprints_of_few(spark):
     check_fingerprints(spark, [(None, "without an id"), (7, "abc def"), (1 << 62, None), (-(1 << 62), "x" * 50)], rows_in_range=1)
 
 
+def drawn_texts(seed, n):
+    drawn = random.Random(seed)
+    for _ in range(n):
+        letters = drawn.choice(["a", "ab", "abc", "aé漢👍", "abcdefghij \n", "a\ud800b"])
+        yield tuple("".join(drawn.choices(letters, k=drawn.choice([0, 1, 2, 3, 10, 50, 300]))) for _ in range(2))
+
+
+def test_tree_finds_the_phrases_of_both_texts():
+    for text, after in drawn_texts(1, 300):
+        cut = len(text) // 2
+        half = len(text) - cut
+        edited = text[:half] + after[:cut]
+        ends: list[int] = []
+        both, own, other, begin = fingerprints.both_phrases(text, half, edited, 0, ends)
+        assert len(ends) == both + own + other
+        stops = [0, *ends[: both + own]]
+        assert sorted(text[a:b] for a, b in zip(stops, stops[1:])) == sorted(phrases(text))
+        stops = [0, *ends[:both], *(e - len(text) + begin for e in ends[both + own :])]
+        assert sorted(edited[a:b] for a, b in zip(stops, stops[1:])) == sorted(phrases(edited))
+
+
+@pytest.mark.parametrize("most_rows, most_chars", [(1, 10**6), (2, 10**6), (3, 200), (1000, 10**6)])
+def test_groups_of_texts_do_not_show(most_rows, most_chars):
+    texts = [text for text, _ in drawn_texts(2, 40)]
+    rows = [(0, False, k, text) for k, text in enumerate(texts[:15])] + [(0, True, 15, texts[15]), (0, True, 15, "tied")]
+    rows += [(1, False, k, texts[k]) for k in range(15, 39)] + [(1, True, 0, texts[0])]
+    rows = [(r, e, k, t.encode("utf-8", "replace").decode()) for r, e, k, t in rows]
+    names = ["range", "extra", "doc_id", "text"]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows[a : a + 7]]) for a in range(0, len(rows), 7)]
+    found = [tuple(r.values()) for b in fingerprints.compared(iter(batches), most_rows, most_chars) for r in b.to_pylist()]
+    wanted = []
+    for (_, extra, k, text), (_, _, _, after) in zip(rows, rows[1:]):
+        if extra:
+            continue
+        cut = len(text) // 2
+        edited = text[: len(text) - cut] + after[:cut]
+        own, other, following = (fingerprints.fingerprint(t) for t in (text, edited, after))
+        marks = fingerprints.written_as(own), fingerprints.written_as(other)
+        near = fingerprints.likeness(own, other), fingerprints.likeness(own, following)
+        wanted.append((k, len(text), hashlib.sha256(edited.encode()).hexdigest(), *marks, *near))
+    assert found == wanted
+
+
+def test_both_texts_take_less_time_than_slices_of_one():
+    """A text and its edited one were parsed by slices of the text: one and a half times as long as one alone."""
+    drawn = random.Random(3)
+    words = ["".join(drawn.choices("etaoinshrdlu", k=drawn.randint(1, 9))) for _ in range(2000)]
+    text, after = (" ".join(drawn.choices(words, k=1500)) for _ in range(2))
+    half = len(text) - len(text) // 2
+    edited = text[:half] + after[: len(text) // 2]
+
+    def least(function, *of):
+        took = []
+        for _ in range(15):
+            start = time.process_time()
+            function(*of)
+            took.append(time.process_time() - start)
+        return min(took)
+
+    assert least(fingerprints.both_fingerprints, text, half, edited) < 1.2 * least(fingerprints.fingerprint, text)
+
+
 # --- languages -----------------------------------------------------------------------------------------
 
 WORDS = {

@@ -31,7 +31,8 @@ def parse(text: str, begin: int, seen: set[str], until: int, ends: list[int]) ->
 
     New phrases go into ``seen``, where they end into ``ends``. Stops at the first phrase that ends behind
     ``until`` and returns where it begins; a rest that is all in ``seen`` is no phrase. Every phrase but its
-    last character is in ``seen``, so the longest match is found by widening or narrowing the last length.
+    last character is in ``seen``, so the longest match is found by widening or narrowing the last length, by one
+    character at first and further the longer it takes, and by halving what is left between.
     """
     n, size, add = len(text), 1, seen.add
     while begin < n:
@@ -39,14 +40,28 @@ def parse(text: str, begin: int, seen: set[str], until: int, ends: list[int]) ->
         if end > n:
             end = n
         if text[begin:end] in seen:
+            known = end
             end += 1
             while end <= n and text[begin:end] in seen:
-                end += 1
+                known = end
+                end += 1 + (end - begin - size >> 2)
             if end > n:
-                return begin if until < n else n
+                if known == n or text[begin:n] in seen:
+                    return begin if until < n else n
+                end = n
         else:
-            while end - begin > 1 and text[begin : end - 1] not in seen:
-                end -= 1
+            known = end - 1
+            while known > begin and text[begin:known] not in seen:
+                end = known
+                known -= 1 + (size - known + begin >> 2)
+            if known < begin:
+                known = begin
+        while end - known > 1:
+            middle = (known + end) // 2
+            if text[begin:middle] in seen:
+                known = middle
+            else:
+                end = middle
         if end > until:
             return begin
         add(text[begin:end])
@@ -56,19 +71,17 @@ def parse(text: str, begin: int, seen: set[str], until: int, ends: list[int]) ->
     return begin
 
 
+#: Texts of more characters are parsed by slices: few look-ups of long phrases are faster there than many nodes of a
+#: tree that the processor's cache can't hold.
+TREE_CHARS = 1 << 17
 #: Where characters end, as numbers that need not be made again for each text; a phrase that none goes on.
-PLACES, LEAF = list(range(1, 1 << 17)), {}
-
-
-def _places(begin: int, n: int) -> list[int] | range:
-    """The places behind each of ``n`` characters from ``begin``."""
-    return PLACES[begin : begin + n] if begin + n <= len(PLACES) else range(begin + 1, begin + n + 1)
+PLACES, LEAF = list(range(1, TREE_CHARS + 1)), {}
 
 
 def grow(
     text: str, at: int, root: dict, state: tuple[dict, dict, str], ends: list[int], log: list | None = None
 ) -> tuple[dict, dict, str]:
-    """Walks ``text``, which stands at ``at``, down a tree of phrases and adds a leaf wherever the tree ends.
+    """Walks ``text``, which stands at ``at`` in one of TREE_CHARS, down a tree of phrases and adds a leaf where it ends.
 
     The phrases are those of ``parse``: each is one of the tree and one more character. A node is a dict from
     characters to nodes; nodes that nothing goes on from are all ``LEAF``, and made on their own once something does.
@@ -77,7 +90,7 @@ def grow(
     """
     node, above, last = state
     add = ends.append
-    for c, end in zip(text, _places(at, len(text))):
+    for c, end in zip(text, PLACES[at : at + len(text)]):
         if c in node:
             above = node
             last = c
@@ -96,28 +109,32 @@ def grow(
     return node, above, last
 
 
-def both_phrases(text: str, half: int, edited: str, at: int, ends: list[int]) -> tuple[int, int, int, int]:
+def both_phrases(text: str, half: int, edited: str) -> tuple[list[int], int, list[int], int]:
     """Parses a text and another that has the same first ``half`` characters, which are parsed once.
 
-    The text stands at ``at``; behind it stands the edited one from the end of the last phrase that both have.
-    Where phrases end goes into ``ends``: those of both, of the text alone, of the edited one alone. Returns the
-    counts of the three and where the last phrase that both have ends in the text.
+    Returns where the text's phrases end, how many of them both have, where the further ones of the edited text
+    end, and where these begin.
     """
+    ends: list[int] = []
+    tail: list[int] = []
+    if len(text) > TREE_CHARS:
+        seen: set[str] = set()
+        begin = parse(text, 0, seen, half, ends)
+        both, other = len(ends), set(seen)
+        parse(text, begin, seen, len(text), ends)
+        parse(edited, begin, other, len(edited), tail)
+        return ends, both, tail, begin
     root: dict = {}
-    first = len(ends)
-    middle = grow(text[:half], at, root, (root, root, ""), ends)
-    both = len(ends) - first
-    begin = ends[-1] - at if both else 0
-    log: list = []
-    grow(text[half:], at + half, root, middle, ends, log)
-    own = len(ends) - first - both
+    middle = grow(text[:half], 0, root, (root, root, ""), ends)
+    both, log = len(ends), []
+    grow(text[half:], half, root, middle, ends, log)
     for node, c in reversed(log):  # as it was at half
         if node[c] is LEAF:
             del node[c]
         else:
             node[c] = LEAF
-    grow(edited[half:], at + len(text) + half - begin, root, middle, ends)
-    return both, own, len(ends) - first - both - own, begin
+    grow(edited[half:], half, root, middle, tail)
+    return ends, both, tail, ends[both - 1] if both else 0
 
 
 #: The code that each character is hashed as.
@@ -130,6 +147,38 @@ def phrase_hashes(text: str, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return stretch_hashes(POINTS.take(points), starts, ends)
 
 
+def _hashed(pieces: Iterator[tuple[str, int, np.ndarray]]) -> np.ndarray:
+    """The hashes of phrases that follow each other in texts: where they begin in each and where they end."""
+    found: list[np.ndarray] = [np.zeros(0, np.uint64)]
+    texts: list[str] = []
+    starts: list[np.ndarray] = []
+    ends: list[np.ndarray] = []
+    chars = 0
+
+    def hash_all() -> None:
+        found.append(phrase_hashes("".join(texts), np.concatenate(starts), np.concatenate(ends)))
+        texts.clear(), starts.clear(), ends.clear()
+
+    for text, begin, stops in pieces:
+        k = 0
+        while k < len(stops):
+            # long texts are cut where phrases end
+            until = len(stops) if stops[-1] - begin <= HASHED_CHARS else max(k + 1, int(np.searchsorted(stops, begin + HASHED_CHARS)))
+            own = stops[k:until] + (chars - begin)
+            k, part = until, text[begin : stops[until - 1]]
+            begin = int(stops[until - 1])
+            texts.append(part)
+            starts.append(np.concatenate([[chars], own[:-1]]))
+            ends.append(own)
+            chars += len(part)
+            if chars >= HASHED_CHARS:
+                hash_all()
+                chars = 0
+    if texts:
+        hash_all()
+    return np.concatenate(found)
+
+
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -192,33 +241,18 @@ def both_fingerprints(text: str, half: int, edited: str) -> tuple[np.ndarray, np
 
 def _fingerprints(pairs: list[tuple[str, int, str]]) -> tuple[np.ndarray, np.ndarray]:
     """A row of ``both_fingerprints`` for each text, count of its first characters and edited text."""
-    own, other = [], []
-    pieces: list[str] = []
-    ends: list[int] = []
     counts: list[int] = []
-    firsts: list[tuple[int, int]] = []  # the phrases that begin a piece, and where they begin
-    at = 0
-    for k, (text, half, edited) in enumerate(pairs):
-        before = len(ends)
-        both, mine, others, begin = both_phrases(text, half, edited, at, ends)
-        if both + mine:
-            firsts.append((before, at))
-        if others:
-            firsts.append((before + both + mine, at + len(text)))
-        counts += both, mine, others
-        pieces += text, edited[begin:]
-        at += len(text) + len(edited) - begin
-        if at >= HASHED_CHARS or k == len(pairs) - 1:
-            stops = np.frombuffer(array("q", ends), np.int64)
-            starts = np.concatenate([[0], stops[:-1]]).astype(np.int64)[: len(stops)]
-            if firsts:
-                which, where = zip(*firsts)
-                starts[list(which)] = where
-            least = _least(phrase_hashes("".join(pieces), starts, stops), np.array(counts)).reshape(-1, 3, MINIMA)
-            own.append(_low(np.minimum(least[:, 0], least[:, 1])))
-            other.append(_low(np.minimum(least[:, 0], least[:, 2])))
-            pieces, ends, counts, firsts, at = [], [], [], [], 0
-    return np.concatenate(own), np.concatenate(other)
+
+    def pieces() -> Iterator[tuple[str, int, np.ndarray]]:
+        for text, half, edited in pairs:
+            ends, both, tail, begin = both_phrases(text, half, edited)
+            counts.extend((both, len(ends) - both, len(tail)))
+            yield text, 0, np.frombuffer(array("q", ends), np.int64)
+            yield edited, begin, np.frombuffer(array("q", tail), np.int64)
+
+    hashes = _hashed(pieces())
+    least = _least(hashes, np.array(counts)).reshape(-1, 3, MINIMA)
+    return _low(np.minimum(least[:, 0], least[:, 1])), _low(np.minimum(least[:, 0], least[:, 2]))
 
 
 def _ranges(docs: DataFrame, rows_in_range: int) -> tuple[np.ndarray, dict[int, int]]:

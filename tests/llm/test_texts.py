@@ -87,18 +87,42 @@ def drawn_texts(seed, n):
         yield tuple("".join(drawn.choices(letters, k=drawn.choice([0, 1, 2, 3, 10, 50, 300]))) for _ in range(2))
 
 
-def test_tree_finds_the_phrases_of_both_texts():
+@pytest.mark.parametrize("tree_chars", [1 << 17, 0])
+def test_phrases_of_both_texts(monkeypatch, tree_chars):
+    monkeypatch.setattr(fingerprints, "TREE_CHARS", tree_chars)
     for text, after in drawn_texts(1, 300):
         cut = len(text) // 2
         half = len(text) - cut
         edited = text[:half] + after[:cut]
-        ends: list[int] = []
-        both, own, other, begin = fingerprints.both_phrases(text, half, edited, 0, ends)
-        assert len(ends) == both + own + other
-        stops = [0, *ends[: both + own]]
-        assert sorted(text[a:b] for a, b in zip(stops, stops[1:])) == sorted(phrases(text))
-        stops = [0, *ends[:both], *(e - len(text) + begin for e in ends[both + own :])]
-        assert sorted(edited[a:b] for a, b in zip(stops, stops[1:])) == sorted(phrases(edited))
+        ends, both, tail, begin = fingerprints.both_phrases(text, half, edited)
+        for whole, stops in ((text, [0, *ends]), (edited, [0, *ends[:both], *tail])):
+            assert sorted(whole[a:b] for a, b in zip(stops, stops[1:])) == sorted(phrases(whole))
+        assert begin == [0, *ends][both] <= half
+
+
+@pytest.mark.parametrize("chars", [1, 7, 100])
+def test_hashes_of_long_texts_in_pieces(monkeypatch, chars):
+    texts = [(text, len(text) - len(text) // 2, text[: len(text) - len(text) // 2] + after) for text, after in drawn_texts(4, 60)]
+    whole = fingerprints._fingerprints(texts)
+    monkeypatch.setattr(fingerprints, "HASHED_CHARS", chars)
+    assert all((a == b).all() for a, b in zip(fingerprints._fingerprints(texts), whole))
+
+
+def test_lengths_that_alternate_take_few_look_ups():
+    class Counted(set):
+        asked = 0
+
+        def __contains__(self, phrase):
+            Counted.asked += 1
+            return super().__contains__(phrase)
+
+    # a phrase as long as can be and a phrase of one character in turn: found one character further at a time,
+    # each phrase took as many look-ups as it has characters
+    text = "".join("a" * k + chr(0x4E00 + k) for k in range(300))
+    seen, ends = Counted(), []
+    fingerprints.parse(text, 0, seen, len(text), ends)
+    assert seen == phrases(text)
+    assert Counted.asked < len(text) / 2
 
 
 @pytest.mark.parametrize("most_rows, most_chars", [(1, 10**6), (2, 10**6), (3, 200), (1000, 10**6)])

@@ -255,33 +255,59 @@ def _fingerprints(pairs: list[tuple[str, int, str]]) -> tuple[np.ndarray, np.nda
     return _low(np.minimum(least[:, 0], least[:, 1])), _low(np.minimum(least[:, 0], least[:, 2]))
 
 
-def _ranges(docs: DataFrame, rows_in_range: int) -> tuple[np.ndarray, dict[int, int]]:
-    """Bounds that cut the ids into ranges of about equal counts, and the largest id of each range that has any.
+def _ranges(docs: DataFrame, rows_in_range: int) -> tuple[np.ndarray, np.ndarray, dict[int, tuple[int, int]]]:
+    """Bounds that cut the rows into ranges of about equal counts, and the last row of each range that has any.
 
-    Both have a number for each range, from the id column alone.
+    Bounds and rows are an id and a turned tie, in two arrays and in pairs by the range's number. An id that takes
+    several cuts has its ties, which are hashes, cut evenly. Ties are read only if there is such an id, else all
+    are the least.
     """
     ids = docs.select(_order_id().alias("id"))
     n = ids.count()
     if not n:
-        return np.zeros(0, np.int64), {}
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), {}
     parts = min(RANGES, -(-n // rows_in_range))
     shares = [k / parts for k in range(1, parts)]
     cuts = ids.agg(F.percentile_approx("id", shares, 10 * parts)).first()[0] if shares else []
-    bounds = np.unique(np.array(cuts, np.int64))
+    bounds, times = np.unique(np.array(cuts, np.int64), return_counts=True)
+    turned = [k * (1 << 64) // m - (1 << 63) for m in times.tolist() for k in range(m)]
+    bounds, turned = np.repeat(bounds, times), np.array(turned, np.int64)
+    tied = bool((times > 1).any())
+    rows = docs.select(_order_id().alias("id"), (F.bitwise_not(_tie()) if tied else F.lit(-(1 << 63))).alias("turned"))
 
     def largest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        most = np.full(len(bounds) + 1, np.iinfo(np.int64).min)
-        seen = np.zeros(len(bounds) + 1, bool)
+        most: dict[int, tuple[int, int]] = {}
         for batch in batches:
-            own = batch.column(0).to_numpy()
-            place = np.searchsorted(bounds, own, side="right")
-            np.maximum.at(most, place, own)
-            seen[place] = True
-        kept = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(kept), pa.array(most[kept])], names=["range", "id"])
-
-    tops = ids.mapInArrow(largest, "range long, id long").groupBy("range").agg(F.max("id").alias("id")).collect()
-    return bounds, {row["range"]: row["id"] for row in tops}
+            own, ties = (column.to_numpy() for column in batch.columns)
+            place = _place(bounds, turned, own, ties)
+            by = np.lexsort((ties, own, place))
+            ends = by[np.append(place[by][1:] != place[by][:-1], True)[: len(by)]]
+            for row in zip(place[ends].tolist(), own[ends].tolist(), ties[ends].tolist()):
+                most[row[0]] = max(most.get(row[0], row[1:]), row[1:])
+        found = [(k, *top) for k, top in most.items()]
+        columns = [pa.array(c, pa.int64()) for c in zip(*found)] if found else [pa.array([], pa.int64())] * 3
+        yield pa.RecordBatch.from_arrays(columns, names=["range", "id", "turned"])
+
+    tops = rows.mapInArrow(largest, "range long, id long, turned long")
+    tops = tops.groupBy("range").agg(F.max(F.struct("id", "turned")).alias("top")).collect()
+    return bounds, turned, {row["range"]: tuple(row["top"]) for row in tops}
+
+
+def _place(bounds: np.ndarray, turned: np.ndarray, ids: np.ndarray, ties: np.ndarray) -> np.ndarray:
+    """The range of each row: how many bounds stand at it or before it."""
+    place = np.searchsorted(bounds, ids, side="right")
+    first = np.searchsorted(bounds, ids, side="left")
+    several = np.flatnonzero(place - first > 1)
+    for begin in np.unique(first[several]).tolist():
+        rows = several[first[several] == begin]
+        end = int(place[rows[0]])
+        place[rows] = begin + np.searchsorted(turned[begin:end], ties[rows], side="right")
+    return place
+
+
+def _tie():
+    """What rows that share an id are ordered by."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def _order_id():
@@ -298,10 +324,11 @@ def fingerprinted(docs: DataFrame, rows_in_range: int = RANGE_ROWS) -> DataFrame
     is empty; an empty text has no phrases, and two of them are alike by 1. Null ids come last, rows that
     share an id stand in the order of a hash of their text. No rows give no rows.
 
-    Ids are cut into ranges of equal counts and each range's text is moved once, sorted within the range. The
-    first row of a range is sent to the next range too, where it follows the last row.
+    Ids are cut into ranges of equal counts, an id of many rows by those hashes, and each range's text is moved once,
+    sorted within the range. The first row of a range is sent to the next range too, where it follows the last row.
     """
-    bounds, tops = _ranges(docs, rows_in_range)
+    bounds, turned, tops = _ranges(docs, rows_in_range)
+    tied = bool((bounds[1:] == bounds[:-1]).any())
     order = sorted(tops)
     follows = {low: high for low, high in zip(order, order[1:])}  # the range that a range's first row is sent to
     if order:
@@ -310,8 +337,10 @@ def fingerprinted(docs: DataFrame, rows_in_range: int = RANGE_ROWS) -> DataFrame
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(1).to_numpy()
-            own = np.searchsorted(bounds, ids, side="right")
-            first = np.array([k for k, (r, i) in enumerate(zip(own.tolist(), ids.tolist())) if tops[r] == i], np.int64)
+            ties = ~batch.column(2).to_numpy() if tied else np.full(len(ids), -(1 << 63))
+            own = _place(bounds, turned, ids, ties)
+            keys = zip(own.tolist(), zip(ids.tolist(), ties.tolist()))
+            first = np.array([k for k, (r, key) in enumerate(keys) if tops[r] == key], np.int64)
             for rows, extra in ((np.arange(len(ids)), False), (first, True)):
                 taken = batch.take(pa.array(rows))
                 to = [follows[r] for r in own[rows].tolist()] if extra else own[rows]
@@ -324,7 +353,7 @@ def fingerprinted(docs: DataFrame, rows_in_range: int = RANGE_ROWS) -> DataFrame
         F.col("doc_id").cast("long").alias("doc_id"),
         _order_id().alias("id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    ).select("doc_id", "id", F.xxhash64("text").alias("tie"), "text")
+    ).select("doc_id", "id", _tie().alias("tie"), "text")
     return (
         rows.mapInArrow(place, "range long, extra boolean, doc_id long, id long, tie long, text string")
         .repartitionByRange("range")

@@ -166,6 +166,32 @@ def test_both_texts_take_less_time_than_slices_of_one():
     assert least(fingerprints.both_fingerprints, text, half, edited) < 1.2 * least(fingerprints.fingerprint, text)
 
 
+@pytest.mark.parametrize("rows_in_range", [1, 7, 1000])
+def test_many_rows_of_one_id_are_cut_by_their_texts(spark, rows_in_range):
+    """They all stood in one range, and each of them was sent to the next one too."""
+    texts = [text for text, _ in drawn_texts(6, 150) if text.isascii()]
+    rows = [(None if k % 3 else 5, text) for k, text in enumerate(texts)] + [(k, prose(k, 9)) for k in range(20)]
+    df = documents(spark, rows).repartition(3)
+    # ordered by id and hash, as Spark has it
+    ordered = [(r["doc_id"], r["text"]) for r in df.orderBy(F.desc_nulls_last("doc_id"), F.xxhash64("text")).collect()]
+    found = fingerprints.fingerprinted(df, rows_in_range).select("doc_id", "n_chars", "edited_sha256", "fingerprint").collect()
+    wanted = []
+    for (i, text), (_, after) in zip(ordered, ordered[1:] + ordered[:1]):
+        cut = len(text) // 2
+        edited = text[: len(text) - cut] + after[:cut]
+        wanted.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest(), fingerprints.written_as(fingerprints.fingerprint(text))))
+    assert sorted(map(tuple, found), key=str) == sorted(wanted, key=str)
+
+
+def test_ranges_of_few_ids(spark):
+    rows = [(None if k % 2 else 5, prose(k, 4)) for k in range(400)]
+    bounds, turned, tops = fingerprints._ranges(documents(spark, rows), 10)
+    assert len(tops) > 20
+    docs = documents(spark, rows).select(fingerprints._order_id().alias("id"), fingerprints._tie().alias("tie")).collect()
+    ids, ties = (np.array([row[k] for row in docs], np.int64) for k in (0, 1))
+    assert np.bincount(fingerprints._place(bounds, turned, ids, ~ties)).max() < 40
+
+
 # --- languages -----------------------------------------------------------------------------------------
 
 WORDS = {
